@@ -68,7 +68,7 @@ def salted_lookup(child: DataFrame, parent: DataFrame, child_key: str, row_id: s
         F.broadcast(hot), parent["_parent_key"] == hot["_hot_key"], "left"
     ).select(
         parent["*"],
-        F.explode(F.sequence(F.lit(0), copies)).cast("bigint").alias("_parent_salt"),
+        F.explode(F.sequence(F.lit(0), copies)).alias("_parent_salt"),
     )
     return salted_child.join(
         salted_parent,

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ledgerweave.sources.schema import LAYOUTS, Layout, row_key
 
-ROWS_PER_FILE = 50_000_000
+ROWS_PER_FILE = 2_500_000  # about 128 MB of ledger rows
 ZORDER_BITS = 8
 
 
