@@ -14,7 +14,14 @@ def literal_array(values: Sequence) -> Column:
     """A short literal array.  Longer pools belong in a table and are joined."""
     if not 0 < len(values) <= MAX_LITERAL_POOL:
         raise ValueError(f"a literal pool holds 1..{MAX_LITERAL_POOL} values, not {len(values)}")
-    return F.array(*(F.lit(v) for v in values))
+    return F.expr(f"array({', '.join(sql_literal(v) for v in values)})")
+
+
+def sql_literal(value: object) -> str:
+    """A string, integer or double as SQL text."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else f"{value!r}"
 
 
 def cyclic_pick(values: Sequence, position: Column) -> Column:

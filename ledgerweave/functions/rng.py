@@ -30,19 +30,33 @@ def salt_key(salt: str, seed: int) -> int:
 
 @dataclass(frozen=True)
 class RowRandom:
-    """Draws for the row identified by ``id``; each salt is an independent stream."""
+    """Draws for the row identified by column ``id``; each salt is an independent stream."""
 
-    id: Column
+    id: str = "id"
     seed: int = 42
 
+    @property
+    def row(self) -> Column:
+        """The row id."""
+        return F.col(self.id)
+
+    def stream(self, salt: str) -> str:
+        """The full name of a salt's stream."""
+        return salt
+
+    def uniform_sql(self, salt: str) -> str:
+        key = salt_key(self.stream(salt), self.seed)
+        bits = f"xxhash64({key}L, cast(`{self.id}` as bigint))"
+        return f"(shiftrightunsigned({bits}, 12) / {UNIFORM_STEPS!r}D)"
+
     def uniform(self, salt: str) -> Column:
         """Double in [0, 1) with 52 random bits."""
-        key = F.lit(salt_key(salt, self.seed)).cast("bigint")
-        bits = F.xxhash64(key, self.id.cast("bigint"))
-        return F.shiftrightunsigned(bits, 12) / F.lit(UNIFORM_STEPS)
+        return F.expr(self.uniform_sql(salt))
 
     def index(self, salt: str, n: int | Column) -> Column:
         """Bigint in 0..n-1; ``n`` may be a column or a scalar subquery."""
+        if isinstance(n, int):
+            return F.expr(f"floor({self.uniform_sql(salt)} * {n})")
         return F.floor(self.uniform(salt) * n)
 
     def pick(self, salt: str, values: Sequence) -> Column:
@@ -62,7 +76,8 @@ class RowRandom:
 
     def between(self, salt: str, low: float, high: float) -> Column:
         """Double in [low, high)."""
-        return F.lit(float(low)) + self.uniform(salt) * F.lit(float(high) - float(low))
+        span = float(high) - float(low)
+        return F.expr(f"{float(low)!r}D + {self.uniform_sql(salt)} * {span!r}D")
 
     def decimal(self, salt: str, low: float, high: float) -> Column:
         """Decimal(28,5) in [low, high)."""
@@ -75,12 +90,12 @@ class RowRandom:
 
     def standard_normal(self, salt: str) -> Column:
         """Box-Muller normal; 1-u lies in (0, 1], so the logarithm is finite."""
-        radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - self.uniform(f"{salt}/radius")))
-        return radius * F.cos(F.lit(2 * math.pi) * self.uniform(f"{salt}/angle"))
+        radius, angle = (self.uniform_sql(f"{salt}/{part}") for part in ("radius", "angle"))
+        return F.expr(f"sqrt(-2D * ln(1D - {radius})) * cos({2 * math.pi!r}D * {angle})")
 
     def sign(self, salt: str, negative_share: float) -> Column:
         """-1 with the given probability, else 1."""
-        return F.when(self.flag(salt, negative_share), F.lit(-1)).otherwise(F.lit(1))
+        return F.expr(f"if({self.uniform_sql(salt)} < {negative_share!r}D, -1, 1)")
 
     def date(self, salt: str, start: dt.date | str, end: dt.date | str) -> Column:
         """Date in [start, end)."""

@@ -19,7 +19,7 @@ from ledgerweave.sources.schema import Relation, schema
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table: its name and its number of rows."""
-    return _union(
+    return union_all(
         df.agg(F.count("*").alias("row_cnt")).select(F.lit(name).alias("table_name"), "row_cnt")
         for name, df in tables.items()
     )
@@ -44,14 +44,14 @@ def orphan_report(tables: Mapping[str, DataFrame], relations: Sequence[Relation]
     are compared as strings.
     """
     children = dict.fromkeys(r.child for r in relations)
-    used = _union(
+    used = union_all(
         _key_rows(tables[child], [(r.name, r.column) for r in relations if r.child == child])
         for child in children
     )
     used = used.groupBy("relation", "key").agg(
         F.count("*").alias("child_rows"), F.lit(0).alias("parents")
     )
-    known = _union(
+    known = union_all(
         _key_rows(tables[r.parent], [(r.name, r.key)]).select(
             "relation", "key", F.lit(0).cast("bigint").alias("child_rows"), F.lit(1).alias("parents")
         )
@@ -88,7 +88,7 @@ def key_uniqueness(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> Dat
             F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus_rows"),
         ).select(F.lit(name).alias("table_name"), F.lit(",".join(key)).alias("key_columns"), "*")
 
-    return _union(summary(name, df, key) for name, (df, key) in tables.items())
+    return union_all(summary(name, df, key) for name, (df, key) in tables.items())
 
 
 def null_counts(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -237,5 +237,6 @@ def _key_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return rows.where(F.col("key").isNotNull())
 
 
-def _union(frames: Iterable[DataFrame]) -> DataFrame:
+def union_all(frames: Iterable[DataFrame]) -> DataFrame:
+    """The rows of all frames, matched by column name."""
     return reduce(DataFrame.unionByName, frames)

@@ -20,7 +20,7 @@ _HASH_DIGITS = 3  # 4096 buckets, each sorted on its own
 
 def dense_key(random: RowRandom, salt: str, n: int | Column, cyclic: bool = False) -> Column:
     """A key in 1..n: drawn from the salt's stream, or the row id modulo n."""
-    position = F.pmod(random.id, F.lit(n)) if cyclic else random.index(salt, n)
+    position = F.pmod(random.row, F.lit(n)) if cyclic else random.index(salt, n)
     return position + F.lit(1)
 
 

@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerweave.session import tune
 from ledgerweave.sources.facts import Periods
-from ledgerweave.sources.generate import Volumes, generate
+from ledgerweave.sources.generate import Volumes, generate, generate_clustered
 from ledgerweave.sources.schema import (
     DERIVATIONS,
     DIMENSIONS,
     FACTS,
+    LAYOUTS,
     RELATIONS,
     TABLES,
     conform,
@@ -113,14 +114,14 @@ def _write(
     ids: DataFrame | None,
 ) -> None:
     rows = volumes.of(table)
-    # A fact on a plain range deals its periods in blocks of ids, so it is already laid
-    # out by period and is written without a shuffle.
-    blocked = table in FACTS and ids is None and not spec.cyclic
-    periods = Periods("blocked", rows) if blocked else Periods()
-    df = generate(spark, table, volumes, spec, periods, ids)
-    save_declared(
-        df, table, _name(target, table), rows, mode, already_partitioned=blocked
-    )
+    if table in FACTS and ids is None and not spec.cyclic:
+        # Ascending ids get ascending periods, so the fact is generated in its layout.
+        df = generate(spark, table, volumes, spec, Periods("blocked", rows))
+    elif table in LAYOUTS:
+        df = generate_clustered(spark, table, volumes, spec, ids)
+    else:
+        df = generate(spark, table, volumes, spec, ids=ids)
+    save_declared(df, table, _name(target, table), rows, mode, already_partitioned=True)
 
 
 def _name(target: str, table: str) -> str:

@@ -38,17 +38,16 @@ from ledgerweave.operators.joins import lookup, salted_lookup
 from ledgerweave.plans.build import build
 from ledgerweave.session import tune
 from ledgerweave.sources.facts import income_statement_fact
-from ledgerweave.sources.generate import CALENDAR, Volumes, generate
+from ledgerweave.sources.generate import CALENDAR, Volumes, generate, generate_clustered
 from ledgerweave.sources.schema import RELATIONS, Relation, project
 from ledgerweave.sources.spec import ID, Spec, ids_from
 from ledgerweave.sources.tables import (
-    file_count,
     read_table,
+    recluster,
     save_declared,
     save_table,
     scratch_path,
     size_files,
-    zorder,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,32 +141,49 @@ def read_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def volumes(spark: SparkSession, sf_dir: str) -> Volumes:
-    """A ledger as large as orders, with the products, customers and companies of the data."""
-    orders = read(spark, sf_dir, "orders")
-    years = orders.agg(
-        fiscal_year(F.min("o_orderdate")), fiscal_year(F.max("o_orderdate")), F.count("*")
-    ).first()
+    """A ledger as large as orders, with the products, customers and companies of the data.
+
+    One job reads the three counts and the span of the order dates: four rows come back.
+    """
+    sources = {
+        "finance_product_dim_v": "part",
+        "finance_customer_dim_v": "customer",
+        "company_code": "supplier",
+        LEDGER: "orders",
+    }
+    none = F.lit(None).cast("int")
+    sized = checks.union_all(
+        read(spark, sf_dir, source).agg(
+            F.lit(table).alias("table_name"),
+            F.count("*").alias("row_cnt"),
+            (fiscal_year(F.min("o_orderdate")) if table == LEDGER else none).alias("first"),
+            (fiscal_year(F.max("o_orderdate")) if table == LEDGER else none).alias("last"),
+        )
+        for table, source in sources.items()
+    )
+    found = {row["table_name"]: row for row in sized.collect()}
+    orders = found.pop(LEDGER)
     return Volumes(
-        ledger_rows=years[2],
-        first_fiscal_year=years[0],
-        last_fiscal_year=years[1],
-        rows={
-            "finance_product_dim_v": read(spark, sf_dir, "part").count(),
-            "finance_customer_dim_v": read(spark, sf_dir, "customer").count(),
-            "company_code": read(spark, sf_dir, "supplier").count(),
-        },
+        ledger_rows=orders["row_cnt"],
+        first_fiscal_year=orders["first"],
+        last_fiscal_year=orders["last"],
+        rows={table: row["row_cnt"] for table, row in found.items()},
     )
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ledger(spark: SparkSession, sf_dir: str, sized: Volumes | None = None) -> DataFrame:
     """One ledger row per order."""
     ids = ids_from(read(spark, sf_dir, "orders"), F.col("o_orderkey"))
-    return generate(spark, LEDGER, volumes(spark, sf_dir), SPEC, ids=ids)
+    return generate(spark, LEDGER, sized or volumes(spark, sf_dir), SPEC, ids=ids)
 
 
-def dimension(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A parent of ``ledger``, in the same volumes."""
-    return generate(spark, table, volumes(spark, sf_dir), SPEC)
+def with_parents(
+    spark: SparkSession, sf_dir: str, *tables: str
+) -> tuple[DataFrame, list[DataFrame]]:
+    """The ledger, and its parents in the same volumes."""
+    sized = volumes(spark, sf_dir)
+    parents = [generate(spark, table, sized, SPEC) for table in tables]
+    return ledger(spark, sf_dir, sized), parents
 
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,7 +204,7 @@ def cyclic_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weighted_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    random = RowRandom(F.col(ID))
+    random = RowRandom(ID)
     return event_rows(spark, sf_dir).select(
         F.col(ID).alias("event_id"),
         random.weighted("currency", pools.CURRENCIES, pools.CURRENCY_WEIGHTS).alias("currency"),
@@ -243,7 +259,7 @@ def formatted_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def uniform_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    random = RowRandom(F.col(ID))
+    random = RowRandom(ID)
     return event_rows(spark, sf_dir).select(
         F.col(ID).alias("event_id"),
         random.decimal("qty", 0, 50_000).alias("qty"),
@@ -252,7 +268,7 @@ def uniform_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lognormal_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    random = RowRandom(F.col(ID))
+    random = RowRandom(ID)
     amounts = {
         name: from_units(to_units(random.log_normal(name, p.mean, p.std_dev))).alias(f"{name}_amt")
         for name, p in pools.AMOUNTS.items()
@@ -262,7 +278,7 @@ def lognormal_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def signed_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sign flips, correlated amounts and dependent quantities."""
-    random = RowRandom(F.col(ID))
+    random = RowRandom(ID)
     drawn = event_rows(spark, sf_dir).select(
         F.col(ID).alias("event_id"),
         random.sign("sign", pools.NEGATIVE_SHARE).alias("sign"),
@@ -283,7 +299,7 @@ def signed_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    random = RowRandom(F.col(ID))
+    random = RowRandom(ID)
     return event_rows(spark, sf_dir).select(
         F.col(ID).alias("event_id"),
         random.date("posted", "2019-06-01", "2026-06-01").alias("posted_dt"),
@@ -291,7 +307,7 @@ def random_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    random = RowRandom(F.col(ID))
+    random = RowRandom(ID)
     created, updated = random.audit_dates("audit", *pools.AUDIT_WINDOW, pools.AUDIT_UPDATE_SHARE)
     return event_rows(spark, sf_dir).select(
         F.col(ID).alias("event_id"),
@@ -351,7 +367,7 @@ def dimension_query(table: str) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = read(spark, sf_dir, source)
-        sized = replace(volumes(spark, sf_dir), rows={table: rows.count()})
+        sized = Volumes(rows={table: rows.count()})
         return generate(spark, table, sized, SPEC, ids=ids_from(rows, F.col(key) + 1))
 
     return query
@@ -359,10 +375,11 @@ def dimension_query(table: str) -> Query:
 
 def geo_security(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each security role, and the ledger rows and amount of its region."""
-    roles = dimension(spark, sf_dir, "atscale_geo_security")
-    centers = dimension(spark, sf_dir, "profit_center")
+    rows, (roles, centers) = with_parents(
+        spark, sf_dir, "atscale_geo_security", "profit_center"
+    )
     rows = lookup(
-        ledger(spark, sf_dir),
+        rows,
         centers,
         ("profit_center_id", "profit_center_id"),
         ["geography_nm"],
@@ -382,11 +399,9 @@ def geo_security(spark: SparkSession, sf_dir: str) -> DataFrame:
 def exchange_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each exchange rate, and how many ledger rows refer to it."""
     key = "finance_foreign_currency_exchange_rate_id"
-    rates = dimension(spark, sf_dir, "finance_foreign_currency_exchange_rate")
-    used = (
-        ledger(spark, sf_dir)
-        .groupBy(F.col("etm_foreign_currency_exchange_rate_id").alias(key))
-        .agg(F.count("*").alias("ledger_rows"))
+    rows, (rates,) = with_parents(spark, sf_dir, "finance_foreign_currency_exchange_rate")
+    used = rows.groupBy(F.col("etm_foreign_currency_exchange_rate_id").alias(key)).agg(
+        F.count("*").alias("ledger_rows")
     )
     return rates.join(used, key, "left").fillna(0, ["ledger_rows"])
 
@@ -432,7 +447,7 @@ def fk_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A product and a customer for every order by arithmetic, drawn and cyclic."""
     products = read(spark, sf_dir, "part").count()
     customers = read(spark, sf_dir, "customer").count()
-    random = RowRandom(F.col("o_orderkey"))
+    random = RowRandom("o_orderkey")
     return read(spark, sf_dir, "orders").select(
         "o_orderkey",
         fk.dense_key(random, "product_id", products).alias("product_id"),
@@ -443,7 +458,7 @@ def fk_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fk_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys that are formulas of a dense id, and codes that follow from an assigned key."""
-    random = RowRandom(F.col("o_orderkey"))
+    random = RowRandom("o_orderkey")
     assigned = read(spark, sf_dir, "orders").select(
         "o_orderkey",
         fk.dense_key(random, "account", 8_000).alias("account"),
@@ -469,7 +484,7 @@ def fk_ordinal_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A part for every order from a parent whose keys have gaps."""
     parts = read(spark, sf_dir, "part").where("p_size < 40").select("p_partkey")
     orders = read(spark, sf_dir, "orders").select("o_orderkey")
-    random = RowRandom(F.col("o_orderkey"))
+    random = RowRandom("o_orderkey")
     return fk.assign_parent_key(orders, parts, "p_partkey", random, "part", "part_key")
 
 
@@ -516,7 +531,7 @@ def orders_by_quarter_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     The orders are summed per period and profit center first, so both joins see only
     partial sums and one shuffle carries them.
     """
-    random = RowRandom(F.col("o_orderkey"))
+    random = RowRandom("o_orderkey")
     p = pools.AMOUNTS["revenue"]
     amount = F.floor(random.log_normal("amount", p.mean, p.std_dev) * 1e5 + 0.5)
     rows = read(spark, sf_dir, "orders").select(
@@ -531,7 +546,8 @@ def orders_by_quarter_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     quarters = orders_calendar(spark, sf_dir).select(
         "fiscal_year_period_nbr", "fiscal_year_quarter_cd"
     )
-    centers = dimension(spark, sf_dir, "profit_center").select("profit_center_id", "geography_nm")
+    centers = generate(spark, "profit_center", Volumes(), SPEC)
+    centers = centers.select("profit_center_id", "geography_nm")
     return (
         summed.join(quarters, "fiscal_year_period_nbr")
         .join(centers, "profit_center_id")
@@ -541,45 +557,44 @@ def orders_by_quarter_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    accounts = dimension(spark, sf_dir, "gl_account_dim")
-    return agg.ledger_aggregate(ledger(spark, sf_dir), accounts)
+    rows, (accounts,) = with_parents(spark, sf_dir, "gl_account_dim")
+    return agg.ledger_aggregate(rows, accounts)
 
 
 def aggregate_described(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The aggregate with the descriptions of its keys."""
-    described = agg.describe(
-        aggregate(spark, sf_dir),
-        dimension(spark, sf_dir, CALENDAR),
-        dimension(spark, sf_dir, "company_code"),
-        dimension(spark, sf_dir, "profit_center"),
-        dimension(spark, sf_dir, "division_text"),
-        dimension(spark, sf_dir, "version_forecast_mapping"),
+    rows, (accounts, *parents) = with_parents(
+        spark,
+        sf_dir,
+        "gl_account_dim",
+        CALENDAR,
+        "company_code",
+        "profit_center",
+        "division_text",
+        "version_forecast_mapping",
     )
-    return described
+    return agg.describe(agg.ledger_aggregate(rows, accounts), *parents)
 
 
 def aggregate_by_quarter_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The aggregate summed to fiscal quarter, region and account class."""
-    summed = agg.roll_up(
-        aggregate(spark, sf_dir), ["fiscal_year_period_nbr", "profit_center_id", "account_class"]
-    ).withColumn("_row", F.xxhash64("fiscal_year_period_nbr", "profit_center_id", "account_class"))
-    calendar, centers = (
-        dimension(spark, sf_dir, CALENDAR),
-        dimension(spark, sf_dir, "profit_center"),
-    )
-    key = "fiscal_year_period_nbr"
-    summed = lookup(summed, calendar, (key, key), ["fiscal_year_quarter_cd"], "_row")
-    key = "profit_center_id"
-    summed = lookup(summed, centers, (key, key), ["geography_nm"], "_row")
+    rows, (accounts, calendar, centers) = with_parents(
+        spark, sf_dir, "gl_account_dim", CALENDAR, "profit_center"
+    )
+    by = ["fiscal_year_period_nbr", "profit_center_id", "account_class"]
+    summed = agg.roll_up(agg.ledger_aggregate(rows, accounts), by)
+    summed = summed.withColumn("_row", F.xxhash64(*by))
+    for parent, key, column in (
+        (calendar, "fiscal_year_period_nbr", "fiscal_year_quarter_cd"),
+        (centers, "profit_center_id", "geography_nm"),
+    ):
+        summed = lookup(summed, parent, (key, key), [column], "_row")
     return agg.roll_up(summed, ["fiscal_year_quarter_cd", "geography_nm", "account_class"])
 
 
-def measure_view(spark: SparkSession, sf_dir: str) -> agg.MeasureView:
-    rows = agg.with_account_class(
-        ledger(spark, sf_dir), dimension(spark, sf_dir, "gl_account_dim")
-    )
+def measure_view(rows: DataFrame, accounts: DataFrame) -> agg.MeasureView:
     return agg.MeasureView(
-        rows,
+        agg.with_account_class(rows, accounts),
         dimensions={
             "fiscal_year": "cast(floor(fiscal_year_period_nbr / 100) as int)",
             "fiscal_quarter": (
@@ -605,7 +620,8 @@ def measure_view(spark: SparkSession, sf_dir: str) -> agg.MeasureView:
 
 
 def measures_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return measure_view(spark, sf_dir).query(
+    rows, (accounts,) = with_parents(spark, sf_dir, "gl_account_dim")
+    return measure_view(rows, accounts).query(
         by=["fiscal_quarter", "account_class"],
         measures=["transaction_currency_amt", "sales_qty", "row_cnt", "negative_share"],
         where="general_ledger_fact_ind = 'Y'",
@@ -614,7 +630,8 @@ def measures_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def measures_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same measures reached through SQL on a temporary view."""
-    measure_view(spark, sf_dir).create_view(
+    rows, (accounts,) = with_parents(spark, sf_dir, "gl_account_dim")
+    measure_view(rows, accounts).create_view(
         "ledger_measures", ["fiscal_year", "company_cd"], ["company_currency_amt", "return_rate"]
     )
     return spark.sql(
@@ -627,8 +644,9 @@ def aggregate_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored aggregate against the same measures on demand."""
     columns = [*agg.GRAIN, *agg.AMOUNTS, "row_cnt"]
     path = scratch_path(spark, "aggregate")
-    save_table(aggregate(spark, sf_dir).select(*columns), path)
-    on_demand = measure_view(spark, sf_dir).query(agg.GRAIN, [*agg.AMOUNTS, "row_cnt"])
+    rows, (accounts,) = with_parents(spark, sf_dir, "gl_account_dim")
+    save_table(agg.ledger_aggregate(rows, accounts).select(*columns), path)
+    on_demand = measure_view(rows, accounts).query(agg.GRAIN, [*agg.AMOUNTS, "row_cnt"])
     return agg.reconcile(read_table(spark, path), on_demand.select(*columns))
 
 
@@ -637,18 +655,14 @@ def ledger_in_dollars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Sums per currency and period come first: the rate is the same for all of their rows.
     """
-    summed = (
-        ledger(spark, sf_dir)
-        .groupBy(
-            F.col("transaction_currency_cd").alias("from_currency_cd"),
-            F.floor(F.col("fiscal_year_period_nbr") / 100).cast("int").alias("fiscal_year"),
-        )
-        .agg(F.count("*").alias("row_cnt"), F.sum("transaction_currency_amt").alias("amt"))
-    )
-    rates = dimension(spark, sf_dir, "finance_foreign_currency_exchange_rate").where(
-        "exchange_rate_cd = 'P' and to_currency_cd = 'USD'"
+    rows, (rates,) = with_parents(spark, sf_dir, "finance_foreign_currency_exchange_rate")
+    summed = rows.groupBy(
+        F.col("transaction_currency_cd").alias("from_currency_cd"),
+        F.floor(F.col("fiscal_year_period_nbr") / 100).cast("int").alias("fiscal_year"),
+    ).agg(F.count("*").alias("row_cnt"), F.sum("transaction_currency_amt").alias("amt"))
+    rates = rates.where("exchange_rate_cd = 'P' and to_currency_cd = 'USD'").select(
+        "from_currency_cd", F.col("exchange_rate").cast("decimal(18,8)")
     )
-    rates = rates.select("from_currency_cd", F.col("exchange_rate").cast("decimal(18,8)"))
     return summed.join(rates, "from_currency_cd", "left").select(
         "from_currency_cd",
         "fiscal_year",
@@ -682,9 +696,9 @@ def orphans_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orphans_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared relations of the ledger made from orders."""
-    tables = {r.parent: dimension(spark, sf_dir, r.parent) for r in RELATIONS}
-    tables[LEDGER] = ledger(spark, sf_dir)
-    return checks.orphan_report(tables, RELATIONS)
+    parents = [r.parent for r in RELATIONS]
+    rows, tables = with_parents(spark, sf_dir, *parents)
+    return checks.orphan_report({LEDGER: rows, **dict(zip(parents, tables))}, RELATIONS)
 
 
 def orphans_filtered_part(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -714,20 +728,14 @@ def statement_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def key_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     single = {t: k[0] for t, k in DRIVER_KEYS.items() if len(k) == 1}
-    reports = [checks.key_density(read(spark, sf_dir, t), t, k) for t, k in single.items()]
-    report = reports[0]
-    for other in reports[1:]:
-        report = report.unionByName(other)
-    return report
+    return checks.union_all(
+        checks.key_density(read(spark, sf_dir, t), t, k) for t, k in single.items()
+    )
 
 
 def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = [checks.null_counts(df, t) for t, df in read_all(spark, sf_dir).items()]
-    reports.append(checks.null_counts(ledger(spark, sf_dir), LEDGER))
-    report = reports[0]
-    for other in reports[1:]:
-        report = report.unionByName(other)
-    return report
+    tables = read_all(spark, sf_dir) | {LEDGER: ledger(spark, sf_dir)}
+    return checks.union_all(checks.null_counts(df, t) for t, df in tables.items())
 
 
 def schema_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -775,8 +783,9 @@ def ledger_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partitioned_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger written by period, clustered, read back and summed per period."""
     path = scratch_path(spark, LEDGER)
-    rows = read(spark, sf_dir, "orders").count()
-    save_declared(ledger(spark, sf_dir), LEDGER, path, rows)
+    ids = ids_from(read(spark, sf_dir, "orders"), F.col("o_orderkey"))
+    rows = generate_clustered(spark, LEDGER, volumes(spark, sf_dir), SPEC, ids)
+    save_declared(rows, LEDGER, path, already_partitioned=True)
     return (
         read_table(spark, path)
         .groupBy("fiscal_year_period_nbr")
@@ -805,10 +814,11 @@ def clustered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per file of line items along the interleaved key: its rows and its key ranges."""
     path = scratch_path(spark, "lineitem")
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    files = file_count(lines.count(), 10_000)
     by = ["l_partkey", "l_suppkey"]
-    save_table(zorder(lines, by, "l_orderkey", files), path)
-    back = read_table(spark, path).withColumn("file", F.input_file_name())
+    rows = lines.count()
+    save_table(size_files(lines, rows, 10_000), f"{path}/written")
+    recluster(spark, f"{path}/written", f"{path}/clustered", by, "l_orderkey", rows, 10_000)
+    back = read_table(spark, f"{path}/clustered").withColumn("file", F.input_file_name())
     return back.groupBy("file").agg(
         F.count("*").alias("row_cnt"),
         *(F.min(c).alias(f"first_{c}") for c in by),

@@ -81,9 +81,9 @@ class Periods:
         if self.deal == "blocked":
             if self.rows < 1:
                 raise ValueError("blocked periods need the number of rows")
-            position = F.floor(random.id * total / F.lit(self.rows))
+            position = F.floor(random.row * total / F.lit(self.rows))
         elif cyclic:
-            position = F.pmod(random.id, F.lit(total))
+            position = F.pmod(random.row, F.lit(total))
         else:
             position = random.index("fiscal_year_period", total)
         year = first + F.floor(position / per_year)

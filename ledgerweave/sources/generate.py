@@ -6,13 +6,15 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerweave.functions import pools
 from ledgerweave.functions.calendar import fiscal_calendar, fiscal_years
 from ledgerweave.sources import dims, facts, hierarchies
 from ledgerweave.sources.facts import Parents, Periods
-from ledgerweave.sources.schema import FACTS, TABLES
-from ledgerweave.sources.spec import Spec, id_range
+from ledgerweave.sources.schema import FACTS, LAYOUTS, TABLES, row_key
+from ledgerweave.sources.spec import ID, Spec, cores_for, id_range
+from ledgerweave.sources.tables import ROWS_PER_FILE, file_count
 
 CALENDAR = "calendar_fiscal_period_v"
 
@@ -126,3 +128,28 @@ def generate(
     if table == "management_gl_account_hierarchy":
         return hierarchies.management_gl_account_hierarchy(ids, n, spec, parents.accounts)
     return DIMENSION_GENERATORS[table](ids, n, spec)
+
+
+def generate_clustered(
+    spark: SparkSession,
+    table: str,
+    volumes: Volumes,
+    spec: Spec,
+    ids: DataFrame | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> DataFrame:
+    """A declared table whose partitions are ranges of its layout's columns.
+
+    A row follows from its id, so only the id and the layout's columns are shuffled; the
+    other columns are computed after it.  The row id closes the range key, so the rows of
+    one hot value are split over several partitions.
+    """
+    layout = LAYOUTS[table]
+    by, key = [*layout.partition_by, *layout.cluster_by], row_key(table)
+    n = volumes.of(table)
+    partitions = file_count(n, rows_per_file)
+    if layout.partition_by:  # many files in any case, so let every core write some
+        partitions = max(partitions, cores_for(spark, n))
+    rows = generate(spark, table, volumes, spec, ids=ids)
+    ranged = rows.select(*by, key).repartitionByRange(partitions, *by, key)
+    return generate(spark, table, volumes, spec, ids=ranged.select(F.col(key).alias(ID)))

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerweave.functions.rng import RowRandom
 
@@ -36,9 +35,9 @@ class Spec:
     def cyclic(self) -> bool:
         return self.style == "cyclic"
 
-    def random(self, table: str, id: Column | None = None) -> RowRandom:
+    def random(self, table: str) -> RowRandom:
         """Draws for the rows of one table."""
-        return TableRandom(F.col(ID) if id is None else id, self.seed, table)
+        return TableRandom(ID, self.seed, table)
 
 
 @dataclass(frozen=True)
@@ -47,20 +46,21 @@ class TableRandom(RowRandom):
 
     table: str = ""
 
-    def uniform(self, salt: str) -> Column:
-        return super().uniform(f"{self.table}.{salt}")
+    def stream(self, salt: str) -> str:
+        return f"{self.table}.{salt}"
 
 
 def id_range(
     spark: SparkSession, n: int, start: int = 1, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """``n`` consecutive ids with no shuffle and a bounded number of rows per task.
+    """``n`` consecutive ids with no shuffle and a bounded number of rows per task."""
+    partitions = max(1, math.ceil(n / rows_per_task), cores_for(spark, n))
+    return spark.range(start, start + n, 1, partitions)
 
-    Small ranges still use every core once a task would get 100,000 rows or more.
-    """
-    by_size = math.ceil(n / rows_per_task)
-    by_cores = min(spark.sparkContext.defaultParallelism, math.ceil(n / 100_000))
-    return spark.range(start, start + n, 1, max(1, by_size, by_cores))
+
+def cores_for(spark: SparkSession, n: int) -> int:
+    """The cores worth using for ``n`` rows: one per 10,000, as far as there are."""
+    return min(spark.sparkContext.defaultParallelism, math.ceil(n / 10_000))
 
 
 def ids_from(df: DataFrame, expression: Column) -> DataFrame:

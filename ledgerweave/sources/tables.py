@@ -109,11 +109,37 @@ def save_table(
 
 
 def save_declared(
-    df: DataFrame, table: str, target: str, rows: int, mode: str = "overwrite", **options
+    df: DataFrame,
+    table: str,
+    target: str,
+    rows: int | None = None,
+    mode: str = "overwrite",
+    already_partitioned: bool = False,
 ) -> None:
     """Write a declared table in its layout."""
-    layout = LAYOUTS.get(table, Layout())
-    save_table(df, target, layout, row_key(table), rows, mode, **options)
+    save_table(
+        df,
+        target,
+        LAYOUTS.get(table, Layout()),
+        row_key(table),
+        rows,
+        mode,
+        already_partitioned=already_partitioned,
+    )
+
+
+def recluster(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    by: Sequence[str],
+    row_id: str,
+    rows: int,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> None:
+    """Rewrite a saved table along the interleaved key of ``by``."""
+    files = file_count(rows, rows_per_file)
+    save_table(zorder(read_table(spark, source), by, row_id, files), target)
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:
