@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ledgerweave.sources.schema import LAYOUTS, Layout, row_key
 
 ROWS_PER_FILE = 2_500_000  # about 128 MB of ledger rows
-ZORDER_BITS = 8
+ZORDER_BITS = 6
 
 
 def file_count(rows: int, rows_per_file: int = ROWS_PER_FILE) -> int:
@@ -46,24 +46,22 @@ def cluster(
 
 
 def zorder_key(df: DataFrame, by: Sequence[str], bits: int = ZORDER_BITS) -> Column:
-    """The interleaved bits of several columns, each scaled to ``bits`` bits.
+    """The interleaved bits of several columns, each cut into 2^bits cells of equal depth.
 
-    Sorting by it keeps rows close in every column together.  The scales come from one
-    aggregate over the data: a single row of minima and maxima.
+    Sorting by it keeps rows close in every column together.  The cells' bounds are
+    approximate quantiles, 2^bits - 1 numbers per column, from an aggregate over the data.
     """
+    numbers = _as_numbers(df, by)
+    steps = F.array(*(F.lit(k / (1 << bits)) for k in range(1, 1 << bits)))
     bounds = df.agg(
-        *(F.min(c).alias(f"lo{i}") for i, c in enumerate(by)),
-        *(F.max(c).alias(f"hi{i}") for i, c in enumerate(by)),
+        *(F.percentile_approx(n, steps, 10_000).alias(f"q{i}") for i, n in enumerate(numbers))
     ).first()
-    cells = [
-        _cell(df.schema[c], F.col(c), bounds[f"lo{i}"], bounds[f"hi{i}"], bits)
-        for i, c in enumerate(by)
-    ]
     key = F.lit(0).cast("bigint")
-    for bit in range(bits):
-        for i, cell in enumerate(cells):
+    for i, number in enumerate(numbers):
+        cell = _cell(number, bounds[f"q{i}"] or [])
+        for bit in range(bits):
             one = F.shiftright(cell, bit).bitwiseAND(F.lit(1).cast("bigint"))
-            key = key.bitwiseOR(F.shiftleft(one, bit * len(cells) + i))
+            key = key.bitwiseOR(F.shiftleft(one, bit * len(numbers) + i))
     return key
 
 
@@ -161,25 +159,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 
-def _cell(field: T.StructField, column: Column, low, high, bits: int) -> Column:
-    """A column's value as a whole number in 0..2^bits-1, monotone in the value."""
-    if low is None:
+def _cell(number: Column, bounds: Sequence[float]) -> Column:
+    """How many of the bounds lie at or below a value."""
+    if not bounds:
         return F.lit(0).cast("bigint")
-    if isinstance(field.dataType, T.StringType):
-        # Every value lies between the two, so it shares their common prefix.
-        shared = len(os.path.commonprefix([low, high]).encode())
-        value, low, high = (_prefix_number(c, shared) for c in (column, F.lit(low), F.lit(high)))
-    elif isinstance(field.dataType, T.DateType):
-        value, low, high = (F.unix_date(c) for c in (column, F.lit(low), F.lit(high)))
-    else:
-        value, low, high = column, F.lit(low), F.lit(high)
-    low, span = low.cast("double"), (high.cast("double") - low.cast("double"))
-    top = F.lit((1 << bits) - 1)
-    scaled = F.floor((value.cast("double") - low) / F.nullif(span, F.lit(0.0)) * (1 << bits))
-    return F.coalesce(F.least(scaled, top), F.lit(0)).cast("bigint")
+    array = F.expr(f"array({', '.join(f'{b!r}D' for b in bounds)})")
+    passed = F.size(F.filter(array, lambda bound: bound <= number))
+    return F.coalesce(passed, F.lit(0)).cast("bigint")
+
 
+def _as_numbers(df: DataFrame, by: Sequence[str]) -> list[Column]:
+    """Doubles that order like the columns; a string counts by six bytes of it.
 
-def _prefix_number(text: Column, skip: int) -> Column:
-    """Six bytes of a string after the first ``skip``, as a number that orders like them."""
-    window = F.substring(F.encode(text, "UTF-8"), skip + 1, 6)
-    return F.conv(F.rpad(F.hex(window), 12, "0"), 16, 10).cast("bigint")
+    Those six follow the prefix that the least and the greatest string share: every
+    string between the two has it as well.
+    """
+    texts = [c for c in by if isinstance(df.schema[c].dataType, T.StringType)]
+    ends = {}
+    if texts:
+        ends = df.agg(
+            *(F.array(F.min(c), F.max(c)).alias(c) for c in texts)
+        ).first()
+        ends = dict(zip(texts, ends))
+    numbers = []
+    for c in by:
+        column = F.col(c)
+        if c in ends:
+            shared = os.path.commonprefix([e or "" for e in ends[c]])
+            window = F.substring(F.encode(column, "UTF-8"), len(shared.encode()) + 1, 6)
+            column = F.conv(F.rpad(F.hex(window), 12, "0"), 16, 10)
+        elif isinstance(df.schema[c].dataType, T.DateType):
+            column = F.unix_date(column)
+        numbers.append(column.cast("double"))
+    return numbers
