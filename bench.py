@@ -94,7 +94,7 @@ def fact_rates(spark: SparkSession) -> dict[str, float]:
     ledger = generate(spark, "general_ledger_fact", volumes, SPEC, Periods("blocked", FACT_ROWS))
     path = scratch_path(spark, "bench")
     seconds = best(
-        lambda: save_declared(ledger, "general_ledger_fact", path, already_partitioned=True), 1
+        lambda: save_declared(ledger, "general_ledger_fact", path, already_partitioned=True)
     )
     rates["general_ledger_fact_written"] = round(FACT_ROWS / seconds / CPUS)
     return rates

@@ -48,22 +48,15 @@ def orphan_report(tables: Mapping[str, DataFrame], relations: Sequence[Relation]
         _key_rows(tables[child], [(r.name, r.column) for r in relations if r.child == child])
         for child in children
     )
-    used = used.groupBy("relation", "key").agg(
-        F.count("*").alias("child_rows"), F.lit(0).alias("parents")
-    )
-    known = union_all(
-        _key_rows(tables[r.parent], [(r.name, r.key)]).select(
-            "relation", "key", F.lit(0).cast("bigint").alias("child_rows"), F.lit(1).alias("parents")
-        )
-        for r in relations
-    )
+    known = union_all(_key_rows(tables[r.parent], [(r.name, r.key)]) for r in relations)
     per_key = (
-        used.unionByName(known)
+        used.withColumn("is_child", F.lit(1))
+        .unionByName(known.withColumn("is_child", F.lit(0)))
         .groupBy("relation", "key")
-        .agg(F.sum("child_rows").alias("child_rows"), F.max("parents").alias("parents"))
+        .agg(F.sum("is_child").alias("child_rows"), F.min("is_child").alias("is_orphan"))
     )
     is_used = F.col("child_rows") > 0
-    is_orphan = is_used & (F.col("parents") == 0)
+    is_orphan = F.col("is_orphan") == 1  # no parent row has brought a zero
     return per_key.groupBy("relation").agg(
         F.count_if(is_used).alias("child_keys"),
         F.count_if(is_orphan).alias("orphan_keys"),

@@ -52,7 +52,7 @@ def dense_ordinals(parent: DataFrame, key: str) -> DataFrame:
     )
     return (
         hashed.withColumn("_position", F.row_number().over(in_bucket))
-        .join(F.broadcast(offsets), "_bucket")
+        .join(F.broadcast(offsets), "_bucket", "left")
         .select((F.col("_offset") + F.col("_position")).alias("ordinal"), key)
     )
 

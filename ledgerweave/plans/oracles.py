@@ -1098,19 +1098,37 @@ def _conformance() -> str:
 
 
 def _rules() -> str:
-    names = (
-        "period belongs to a fiscal year",
-        "one sign per row",
-        "company code is the company's",
-        "functional area code is the area's",
-        "profit center number is the center's",
-        "returns are within sales",
-        "exchange rates exist",
-        "amount is within its class",
-    )
-    return " UNION ALL ".join(
-        f"SELECT {q(r)} AS rule, count(*) AS row_cnt, 0::BIGINT AS violations FROM orders"
-        for r in names
+    amounts = "transaction_currency_amt company_currency_amt performance_management_currency_amt"
+    signs = [f"({a} < 0)" for a in amounts.split()]
+    broken = {
+        "period belongs to a fiscal year": (
+            "fiscal_year_period_nbr % 100 < 1 OR fiscal_year_period_nbr % 100 > 13"
+        ),
+        "one sign per row": f"{signs[0]} <> {signs[1]} OR {signs[0]} <> {signs[2]}",
+        "company code is the company's": "company_cd::BIGINT - 1000 <> company_id",
+        "functional area code is the area's": (
+            "substr(Functional_Area_cd, 3)::BIGINT <> functional_area_id"
+        ),
+        "profit center number is the center's": (
+            "profit_center_nbr <> lpad(profit_center_id::VARCHAR, 7, '0')"
+        ),
+        "returns are within sales": "returns_qty < 0 OR returns_qty > sales_qty * 0.08 + 0.00001",
+        "exchange rates exist": (
+            "least(etm_foreign_currency_exchange_rate_id,"
+            " gaap_foreign_currency_exchange_rate_id) < 1 OR"
+            " greatest(etm_foreign_currency_exchange_rate_id,"
+            " gaap_foreign_currency_exchange_rate_id) > 90"
+        ),
+        "amount is within its class": (
+            "abs(transaction_currency_amt) < 1000 OR abs(transaction_currency_amt) > 50000000"
+        ),
+    }
+    return from_ledger(
+        " UNION ALL ".join(
+            f"SELECT {q(rule)} AS rule, count(*) AS row_cnt, "
+            f"count(*) FILTER ({condition}) AS violations FROM l"
+            for rule, condition in broken.items()
+        )
     )
 
 
