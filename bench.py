@@ -3,7 +3,8 @@
 ``BENCH_SF_DIR`` names the tables and ``BENCH_CPUS`` the cores of the local session.
 ``value`` is the sum of the headline queries' seconds, each the better of two runs.
 ``rows_per_core_s`` is the rate at which each fact is generated, all columns computed and
-discarded, and the ledger written as Parquet.
+discarded, and the ledger written as Parquet; ``ledger_job_s`` the seconds of the aggregate
+and the checks over that written ledger.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerweave.plans.queries import QUERIES, SPEC, tuned
+from ledgerweave.operators import agg, checks
+from ledgerweave.plans.queries import LEDGER, QUERIES, SPEC, tuned
 from ledgerweave.sources.facts import Periods
 from ledgerweave.sources.generate import Volumes, generate
-from ledgerweave.sources.tables import save_declared, scratch_path
+from ledgerweave.sources.schema import FACTS, RELATIONS
+from ledgerweave.sources.tables import read_table, save_declared, scratch_path
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -49,6 +52,10 @@ HEADLINE = (
     "ledger_rules",
 )
 FACT_ROWS = 4_000_000
+VOLUMES = Volumes(
+    ledger_rows=FACT_ROWS,
+    rows={"CIS_fact": FACT_ROWS, "consolidated_balance_sheet_fact": FACT_ROWS},
+)
 
 
 def session() -> SparkSession:
@@ -81,32 +88,56 @@ def best(run, times: int = 2) -> float:
     return round(min(seconds), 3)
 
 
-def fact_rates(spark: SparkSession) -> dict[str, float]:
-    """Rows per core and second."""
-    volumes = Volumes(
-        ledger_rows=FACT_ROWS,
-        rows={"CIS_fact": FACT_ROWS, "consolidated_balance_sheet_fact": FACT_ROWS},
-    )
+def fact_rates(spark: SparkSession, path: str) -> dict[str, float]:
+    """Rows per core and second for each fact, and for the ledger written to ``path``."""
     rates = {}
-    for table in ("general_ledger_fact", "CIS_fact", "consolidated_balance_sheet_fact"):
-        seconds = best(lambda: drain(generate(spark, table, volumes, SPEC)))
+    for table in FACTS:
+        seconds = best(lambda: drain(generate(spark, table, VOLUMES, SPEC)))
         rates[table] = round(FACT_ROWS / seconds / CPUS)
-    ledger = generate(spark, "general_ledger_fact", volumes, SPEC, Periods("blocked", FACT_ROWS))
-    path = scratch_path(spark, "bench")
-    seconds = best(
-        lambda: save_declared(ledger, "general_ledger_fact", path, already_partitioned=True)
-    )
-    rates["general_ledger_fact_written"] = round(FACT_ROWS / seconds / CPUS)
+    ledger = generate(spark, LEDGER, VOLUMES, SPEC, Periods("blocked", FACT_ROWS))
+    seconds = best(lambda: save_declared(ledger, LEDGER, path, already_partitioned=True))
+    rates[f"{LEDGER}_written"] = round(FACT_ROWS / seconds / CPUS)
     return rates
 
 
+def rates_by_cores(spark: SparkSession) -> dict[str, float]:
+    """Ledger rows per second from one task, four tasks, and one per core."""
+    rates = {}
+    for tasks in sorted({1, min(4, CPUS), CPUS}):
+        rows = 250_000 * tasks
+        ids = spark.range(0, rows, 1, tasks)
+        seconds = best(lambda: drain(generate(spark, LEDGER, VOLUMES, SPEC, ids=ids)))
+        rates[str(tasks)] = round(rows / seconds)
+    return rates
+
+
+def ledger_jobs(spark: SparkSession, path: str) -> dict[str, float]:
+    """Seconds for the aggregate and the checks over the written ledger."""
+    tables = {
+        r.parent: generate(spark, r.parent, VOLUMES, SPEC) for r in RELATIONS
+    } | {LEDGER: read_table(spark, path)}
+    ledger, accounts = tables[LEDGER], tables["gl_account_dim"]
+    jobs = {
+        "aggregate": lambda: agg.ledger_aggregate(ledger, accounts),
+        "orphans_14_relations": lambda: checks.orphan_report(tables, RELATIONS),
+        "key_uniqueness": lambda: checks.key_uniqueness(
+            {LEDGER: (ledger, ["general_ledger_fact_id"])}
+        ),
+        "null_counts": lambda: checks.null_counts(ledger, LEDGER),
+    }
+    return {name: best(lambda: drain(job())) for name, job in jobs.items()}
+
+
 def main() -> None:
     with contextlib.redirect_stdout(sys.stderr):
         spark = session()
         queries = {
             name: best(lambda: drain(tuned(QUERIES[name])(spark, SF_DIR))) for name in HEADLINE
         }
-        rates = fact_rates(spark)
+        path = scratch_path(spark, "bench")
+        rates = fact_rates(spark, path)
+        by_cores = rates_by_cores(spark)
+        jobs = ledger_jobs(spark, path)
         spark.stop()
     print(
         json.dumps(
@@ -119,6 +150,8 @@ def main() -> None:
                 "cpus": CPUS,
                 "fact_rows": FACT_ROWS,
                 "rows_per_core_s": rates,
+                "ledger_rows_per_s_by_tasks": by_cores,
+                "ledger_job_s": jobs,
             }
         )
     )

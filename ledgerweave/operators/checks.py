@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerweave.functions.pools import FISCAL_START_MONTH, PERIODS_PER_YEAR
 from ledgerweave.sources.schema import Relation, schema
@@ -40,27 +41,37 @@ def orphan_report(tables: Mapping[str, DataFrame], relations: Sequence[Relation]
     """Per relation: distinct child keys, orphan keys and orphan rows.
 
     All relations of a child are checked in one scan of it: its key columns become
-    (relation, key) rows, are counted, and meet the parents' keys in one group-by.  Keys
-    are compared as strings.
+    (relation, key) rows, which meet the parents' keys in one group-by.  A relation is a
+    number until the end, and whole-number keys stay numbers; others compare as strings.
     """
+    numbered = [(i, r, _both_whole(tables, r)) for i, r in enumerate(relations)]
     children = dict.fromkeys(r.child for r in relations)
     used = union_all(
-        _key_rows(tables[child], [(r.name, r.column) for r in relations if r.child == child])
+        _key_rows(
+            tables[child], [(i, r.column, whole) for i, r, whole in numbered if r.child == child]
+        )
         for child in children
     )
-    known = union_all(_key_rows(tables[r.parent], [(r.name, r.key)]) for r in relations)
+    known = union_all(_key_rows(tables[r.parent], [(i, r.key, whole)]) for i, r, whole in numbered)
     per_key = (
         used.withColumn("is_child", F.lit(1))
         .unionByName(known.withColumn("is_child", F.lit(0)))
-        .groupBy("relation", "key")
+        .groupBy("relation", "number", "text")
         .agg(F.sum("is_child").alias("child_rows"), F.min("is_child").alias("is_orphan"))
     )
     is_used = F.col("child_rows") > 0
     is_orphan = F.col("is_orphan") == 1  # no parent row has brought a zero
-    return per_key.groupBy("relation").agg(
-        F.count_if(is_used).alias("child_keys"),
-        F.count_if(is_orphan).alias("orphan_keys"),
-        F.coalesce(F.sum(F.when(is_orphan, F.col("child_rows"))), F.lit(0)).alias("orphan_rows"),
+    names = F.array(*(F.lit(r.name) for r in relations))
+    return (
+        per_key.groupBy("relation")
+        .agg(
+            F.count_if(is_used).alias("child_keys"),
+            F.count_if(is_orphan).alias("orphan_keys"),
+            F.coalesce(F.sum(F.when(is_orphan, F.col("child_rows"))), F.lit(0)).alias(
+                "orphan_rows"
+            ),
+        )
+        .withColumn("relation", F.get(names, F.col("relation")))
     )
 
 
@@ -219,15 +230,30 @@ def rule_violations(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     )
 
 
-def _key_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+def _both_whole(tables: Mapping[str, DataFrame], relation: Relation) -> bool:
+    """Whether both ends of a relation are whole numbers."""
+    ends = (
+        tables[relation.child].schema[relation.column].dataType,
+        tables[relation.parent].schema[relation.key].dataType,
+    )
+    return all(isinstance(t, T.IntegralType) for t in ends)
+
+
+def _key_rows(df: DataFrame, keys: Sequence[tuple[int, str, bool]]) -> DataFrame:
+    """(relation, number, text) rows of the non-null keys: (relation, column, is whole)."""
+    none = F.lit(None)
     structs = F.array(
         *(
-            F.struct(F.lit(name).alias("relation"), F.col(c).cast("string").alias("key"))
-            for name, c in pairs
+            F.struct(
+                F.lit(relation).alias("relation"),
+                (F.col(c) if whole else none).cast("bigint").alias("number"),
+                (none if whole else F.col(c)).cast("string").alias("text"),
+            )
+            for relation, c, whole in keys
         )
     )
-    rows = df.select(F.explode(structs).alias("k")).select("k.relation", "k.key")
-    return rows.where(F.col("key").isNotNull())
+    rows = df.select(F.explode(structs).alias("k")).select("k.*")
+    return rows.where("number is not null or text is not null")
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:

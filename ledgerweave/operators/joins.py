@@ -13,8 +13,12 @@ SALTS = 64
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether a DataFrame has at most ``max_rows`` rows; stops reading beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether a DataFrame has at most ``max_rows`` rows.
+
+    A plain count: each task returns one number and Parquet answers from its footers.  A
+    limit would send up to ``max_rows`` rows of every task to a single one.
+    """
+    return df.count() <= max_rows
 
 
 def lookup(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
 import os
 import sys
 
@@ -46,6 +48,9 @@ def cyclic():
 @pytest.fixture(scope="session")
 def physical_plan():
     def plan(df) -> str:
-        return df._jdf.queryExecution().executedPlan().toString()
+        printed = io.StringIO()
+        with contextlib.redirect_stdout(printed):
+            df.explain()
+        return printed.getvalue()
 
     return plan
