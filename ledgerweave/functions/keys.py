@@ -18,8 +18,8 @@ from ledgerweave.functions.exprs import (
     zero_pad,
 )
 
-# Above this an account number could repeat inside its class's range.
-MAX_ACCOUNTS = 999_998
+# Above this an account number could repeat inside its class's range of seven digits.
+SEVEN_DIGIT_ACCOUNTS = 999_998
 
 
 def profit_center_nbr(id: Column) -> Column:
@@ -68,16 +68,23 @@ def statement_item_cd(number: Column) -> Column:
 
 def account_class_index(id: Column, accounts: int) -> Column:
     """Position of an account's class: ids are dealt to the classes by weight."""
-    check_accounts(accounts)
+    if accounts < 1:
+        raise ValueError(f"there must be at least one account, not {accounts}")
     ratio = F.pmod(id, F.lit(accounts)) / F.lit(float(accounts))
     return threshold_index(ratio, [c.weight for c in pools.ACCOUNT_CLASSES])
 
 
-def account_number(id: Column, class_index: Column) -> Column:
-    """A number inside the range of the account's class."""
-    start = of_class(class_index, [c.start for c in pools.ACCOUNT_CLASSES])
-    span = of_class(class_index, [c.end - c.start for c in pools.ACCOUNT_CLASSES])
-    return start + F.pmod(id, span.cast("bigint"))
+def account_number(id: Column, class_index: Column, accounts: int) -> Column:
+    """A number inside the range of the account's class.
+
+    The ranges get further digits once there are more accounts than seven digits tell apart.
+    """
+    scale = 1
+    while accounts > SEVEN_DIGIT_ACCOUNTS * scale:
+        scale *= 10
+    start = of_class(class_index, [c.start * scale for c in pools.ACCOUNT_CLASSES])
+    span = of_class(class_index, [(c.end - c.start) * scale for c in pools.ACCOUNT_CLASSES])
+    return start.cast("bigint") + F.pmod(id, span.cast("bigint"))
 
 
 def gl_account_nbr(id: Column, accounts: int, style: str = "salted") -> Column:
@@ -91,7 +98,7 @@ def gl_account_nbr(id: Column, accounts: int, style: str = "salted") -> Column:
             ),
             F.lit(None).cast("string"),
         )
-    return account_number(id, account_class_index(id, accounts)).cast("string")
+    return account_number(id, account_class_index(id, accounts), accounts).cast("string")
 
 
 def of_class(class_index: Column, values: Sequence) -> Column:
@@ -99,11 +106,6 @@ def of_class(class_index: Column, values: Sequence) -> Column:
     return F.get(literal_array(values), class_index)
 
 
-def check_accounts(accounts: int) -> None:
-    if not 0 < accounts <= MAX_ACCOUNTS:
-        raise ValueError(f"the number ranges hold 1..{MAX_ACCOUNTS} accounts, not {accounts}")
-
-
 def active_unless_every(id: Column, k: int) -> Column:
     return every(id, k, "N", "Y")
 

@@ -977,7 +977,7 @@ EVENTS = "(SELECT event_id AS id FROM events)"
 STATUS = (
     "CASE WHEN id % 15 = 0 THEN 'CLOSED' WHEN id % 20 = 0 THEN 'TEMP_CLOSED' ELSE 'OPEN' END"
 )
-N_EVENTS = "(SELECT least(count(*), 999998) FROM events)"
+N_EVENTS = "(SELECT count(*) FROM events)"
 
 
 def _row_counts() -> str:

@@ -42,6 +42,7 @@ from ledgerweave.sources.generate import CALENDAR, Volumes, generate, generate_c
 from ledgerweave.sources.schema import RELATIONS, Relation, project
 from ledgerweave.sources.spec import ID, Spec, ids_from
 from ledgerweave.sources.tables import (
+    ROWS_PER_FILE,
     read_table,
     recluster,
     save_declared,
@@ -82,7 +83,7 @@ DIMENSION_ROWS = {
     "DisChannel_cost_center_hierarchy_dim_v": ("part", "p_partkey"),
     "DisChannel_profit_center_hierarchy": ("customer", "c_custkey"),
     "PartDisChannel_profit_center_hierarchy": ("customer", "c_custkey"),
-    "retail_global_store_profile_v": ("customer", "c_custkey"),
+    "retail_global_store_profile_v": ("supplier", "s_suppkey"),
 }
 
 DRIVER_KEYS = {
@@ -216,12 +217,12 @@ def weighted_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def threshold_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = event_rows(spark, sf_dir)
-    n = min(events.count(), keys.MAX_ACCOUNTS)
+    n = events.count()
     position = keys.account_class_index(F.col(ID), n)
     return events.select(
         F.col(ID).alias("event_id"),
         keys.of_class(position, [c.name for c in pools.ACCOUNT_CLASSES]).alias("category"),
-        keys.account_number(F.col(ID), position).cast("string").alias("account_nbr"),
+        keys.account_number(F.col(ID), position, n).cast("string").alias("account_nbr"),
     )
 
 
@@ -802,7 +803,7 @@ def sized_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "events")
     events = read(spark, sf_dir, "events").select("event_id", "event_type")
     rows = events.count()
-    sized = size_files(events, rows, rows_per_file=max(1, rows // 4))
+    sized = size_files(events, rows, min(ROWS_PER_FILE, max(1, rows // 4)))
     save_table(sized, path)
     save_table(sized, path, mode="append")
     return read_table(spark, path).groupBy("event_type").agg(
@@ -816,8 +817,9 @@ def clustered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     by = ["l_partkey", "l_suppkey"]
     rows = lines.count()
-    save_table(size_files(lines, rows, 10_000), f"{path}/written")
-    recluster(spark, f"{path}/written", f"{path}/clustered", by, "l_orderkey", rows, 10_000)
+    per_file = min(ROWS_PER_FILE, max(1, rows // 60))
+    save_table(size_files(lines, rows, per_file), f"{path}/written")
+    recluster(spark, f"{path}/written", f"{path}/clustered", by, "l_orderkey", rows, per_file)
     back = read_table(spark, f"{path}/clustered").withColumn("file", F.input_file_name())
     return back.groupBy("file").agg(
         F.count("*").alias("row_cnt"),

@@ -148,7 +148,7 @@ def general_ledger_fact(
     account_nbr = (
         keys.gl_account_nbr(account, parents.accounts, spec.style)
         if spec.cyclic
-        else keys.account_number(account, class_index).cast("string")
+        else keys.account_number(account, class_index, parents.accounts).cast("string")
     )
     currency = (
         cyclic_pick(expand_weights(pools.CURRENCIES, pools.CURRENCY_WEIGHTS), i)
@@ -287,7 +287,7 @@ def income_statement_fact(
     account_nbr = (
         keys.gl_account_nbr(F.col("account"), parents.accounts, spec.style)
         if spec.cyclic
-        else keys.account_number(F.col("account"), F.col("class_index"))
+        else keys.account_number(F.col("account"), F.col("class_index"), parents.accounts)
     )
     return project(
         valued,

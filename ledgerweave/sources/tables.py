@@ -65,7 +65,9 @@ def zorder_key(df: DataFrame, by: Sequence[str], bits: int = ZORDER_BITS) -> Col
     return key
 
 
-def zorder(df: DataFrame, by: Sequence[str], row_id: str, partitions: int | None = None) -> DataFrame:
+def zorder(
+    df: DataFrame, by: Sequence[str], row_id: str, partitions: int | None = None
+) -> DataFrame:
     """``cluster`` along the interleaved key of several columns."""
     keyed = df.withColumn("_zorder", zorder_key(df, by))
     return cluster(keyed, ["_zorder"], row_id, partitions).drop("_zorder")
