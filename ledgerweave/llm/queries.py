@@ -4,17 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerweave.llm.common import table
 from ledgerweave.llm.exact_dedup import earlier_half, exact_dedup
 from ledgerweave.llm.mixing import mix_report
+from ledgerweave.llm.ngram_join import near_duplicates
 from ledgerweave.llm.packing import pack
+from ledgerweave.llm.toxicity import score as toxicity_score
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and classes of documents with similar sets of five-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document."""
+    return toxicity_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The document that stays for each; the lower half of the ids is the history."""
     docs = table(spark, sf_dir, "documents")
@@ -34,6 +47,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
+    "op1_ngram_join": op1_ngram_join,
+    "op2_toxicity": op2_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_packing": op7_packing,
     "op9_mixing": op9_mixing,
