@@ -14,8 +14,10 @@ from ledgerweave.llm.exact_dedup import earlier_half, exact_dedup
 from ledgerweave.llm.langid import identify
 from ledgerweave.llm.license_scan import scan
 from ledgerweave.llm.mixing import mix_report
+from ledgerweave.llm.near_vectors import near_vectors
 from ledgerweave.llm.ngram_join import near_duplicates
 from ledgerweave.llm.packing import pack
+from ledgerweave.llm.pii import find_pii
 from ledgerweave.llm.toxicity import score as toxicity_score
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -31,6 +33,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors, whatever their labels."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests read back from all formatted conversations and one full of control strings."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -40,6 +47,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_turns(given.unionByName(added)))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The document that stays for each; the lower half of the ids is the history."""
     docs = table(spark, sf_dir, "documents")
@@ -72,7 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
+    "op3_near_vectors": op3_near_vectors,
     "op4_chat_format": op4_chat_format,
+    "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_packing": op7_packing,
     "op8_license_scan": op8_license_scan,
