@@ -262,7 +262,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     kind = ["doc_id", "source", text_key]
     # Rows alike in id, source and text are one document, drawn as often as all of them.
     plans = (
-        placed.join(plan.drop("doc_id"), ["number", "at"])
+        placed.where("size > 0")
+        .join(plan.drop("doc_id"), ["number", "at"])
         .groupBy("doc_id", "source", F.col("text_hash").alias(text_key))
         .agg(F.flatten(F.collect_list("epochs")).alias(plan_name))
     )
