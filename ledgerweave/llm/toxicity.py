@@ -340,7 +340,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_size: int = SAMPLE) -> Mode
     schema = "key long, part long, toxic int, row array<double>"
     fitted = sample.mapInArrow(run, schema).collect()  # bounded by the sample
     fitted.sort(key=lambda r: r["key"])
-    x = np.array([r["row"] for r in fitted]).reshape(len(fitted), -1)
+    x = np.array([r["row"] for r in fitted], float)
     y = np.array([r["toxic"] for r in fitted], float)
     first = np.array([r["part"] % 5 < 4 for r in fitted], bool)
     if not first.any() or first.all() or y[first].min() == y[first].max():
