@@ -21,8 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerweave.operators import agg, checks
 from ledgerweave.plans.queries import LEDGER, QUERIES, SPEC, tuned
-from ledgerweave.sources.facts import Periods
-from ledgerweave.sources.generate import Volumes, generate
+from ledgerweave.sources.generate import Volumes, generate, generate_clustered
 from ledgerweave.sources.schema import FACTS, RELATIONS
 from ledgerweave.sources.tables import read_table, save_declared, scratch_path
 
@@ -94,7 +93,7 @@ def fact_rates(spark: SparkSession, path: str) -> dict[str, float]:
     for table in FACTS:
         seconds = best(lambda: drain(generate(spark, table, VOLUMES, SPEC)))
         rates[table] = round(FACT_ROWS / seconds / CPUS)
-    ledger = generate(spark, LEDGER, VOLUMES, SPEC, Periods("blocked", FACT_ROWS))
+    ledger = generate_clustered(spark, LEDGER, VOLUMES, SPEC)
     seconds = best(lambda: save_declared(ledger, LEDGER, path, already_partitioned=True))
     rates[f"{LEDGER}_written"] = round(FACT_ROWS / seconds / CPUS)
     return rates

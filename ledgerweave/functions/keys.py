@@ -18,8 +18,8 @@ from ledgerweave.functions.exprs import (
     zero_pad,
 )
 
-# Above this an account number could repeat inside its class's range of seven digits.
-SEVEN_DIGIT_ACCOUNTS = 999_998
+# What a second round through a class's range of seven digits adds to the number.
+ROUND = 10_000_000
 
 
 def profit_center_nbr(id: Column) -> Column:
@@ -74,17 +74,15 @@ def account_class_index(id: Column, accounts: int) -> Column:
     return threshold_index(ratio, [c.weight for c in pools.ACCOUNT_CLASSES])
 
 
-def account_number(id: Column, class_index: Column, accounts: int) -> Column:
-    """A number inside the range of the account's class.
+def account_number(id: Column, class_index: Column) -> Column:
+    """A number whose last seven digits lie inside the range of the account's class.
 
-    The ranges get further digits once there are more accounts than seven digits tell apart.
+    The digits before them count the rounds through that range.  So the number follows from
+    the id and its class alone, and numbers are distinct however many accounts there are.
     """
-    scale = 1
-    while accounts > SEVEN_DIGIT_ACCOUNTS * scale:
-        scale *= 10
-    start = of_class(class_index, [c.start * scale for c in pools.ACCOUNT_CLASSES])
-    span = of_class(class_index, [(c.end - c.start) * scale for c in pools.ACCOUNT_CLASSES])
-    return start.cast("bigint") + F.pmod(id, span.cast("bigint"))
+    start = of_class(class_index, [c.start for c in pools.ACCOUNT_CLASSES]).cast("bigint")
+    span = of_class(class_index, [c.end - c.start for c in pools.ACCOUNT_CLASSES])
+    return start + F.pmod(id, span) + F.floor(id / span) * F.lit(ROUND).cast("bigint")
 
 
 def gl_account_nbr(id: Column, accounts: int, style: str = "salted") -> Column:
@@ -98,7 +96,7 @@ def gl_account_nbr(id: Column, accounts: int, style: str = "salted") -> Column:
             ),
             F.lit(None).cast("string"),
         )
-    return account_number(id, account_class_index(id, accounts), accounts).cast("string")
+    return account_number(id, account_class_index(id, accounts)).cast("string")
 
 
 def of_class(class_index: Column, values: Sequence) -> Column:

@@ -7,8 +7,9 @@ from typing import NamedTuple
 # Everything in this module is a domain constant of the generated tables.
 
 CURRENCIES = (
-    "USD EUR GBP JPY CNY KRW CAD AUD CHF BRL MXN INR SGD HKD SEK".split()
-)
+    "USD", "EUR", "GBP", "JPY", "CNY", "KRW", "CAD", "AUD", "CHF", "BRL", "MXN", "INR", "SGD",
+    "HKD", "SEK",
+)
 CURRENCY_WEIGHTS = (35, 20, 10, 8, 7, 4, 3, 3, 2, 2, 2, 1, 1, 1, 1)
 UNITS_PER_USD = {
     "EUR": 0.92, "GBP": 0.79, "JPY": 149.5, "CNY": 7.24, "KRW": 1340.0, "CAD": 1.36,
@@ -108,7 +109,9 @@ SECURITY_REGIONS = (
     "Developed Markets", "Corporate", "Digital", "Direct",
 )
 REGIONS = ("North America", "EMEA", "Greater China", "APLA")
-COUNTRIES = "US GB DE FR NL JP CN HK KR CA AU BR MX IN SG".split()
+COUNTRIES = (
+    "US", "GB", "DE", "FR", "NL", "JP", "CN", "HK", "KR", "CA", "AU", "BR", "MX", "IN", "SG",
+)
 
 COMPANIES = (
     ("Nike USA Inc", "USD"),
@@ -245,7 +248,7 @@ AUDIT_UPDATE_SHARE = 0.3
 # Rows per table when nothing else is asked for.  Facts are sized from the ledger.
 DEFAULT_ROWS = {
     "accounting_document_type": 40,
-    "atscale_geo_security": 20,
+    "atscale_geo_security": 15,
     "calendar_fiscal_period_v": 91,
     "company_code": 80,
     "version_forecast_mapping": 25,

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerweave.functions.exprs import literal_array
+from ledgerweave.functions.exprs import MAX_LITERAL_POOL, case, literal_array
 from ledgerweave.functions.pools import AmountParams
 
 UNIFORM_STEPS = float(1 << 52)
@@ -64,11 +64,19 @@ class RowRandom:
         return F.get(literal_array(values), self.index(salt, len(values)).cast("int"))
 
     def weighted(self, salt: str, values: Sequence, weights: Sequence[int]) -> Column:
-        """One of ``values`` with the given relative frequencies."""
-        return F.get(
-            literal_array(expand_weights(values, weights)),
-            self.index(salt, sum(weights)).cast("int"),
-        )
+        """One of ``values`` with the given relative frequencies, of any total.
+
+        A number below the total falls to the first value whose cumulative weight exceeds
+        it.  For short pools that is written as an array lookup, which is faster.
+        """
+        drawn = self.index(salt, sum(weights))
+        if sum(weights) <= MAX_LITERAL_POOL:
+            return F.get(literal_array(expand_weights(values, weights)), drawn.cast("int"))
+        if len(values) != len(weights):
+            raise ValueError(f"{len(values)} values but {len(weights)} weights")
+        ends = [sum(weights[: k + 1]) for k in range(len(weights))]
+        *firsts, last = values
+        return case(((drawn < F.lit(e), F.lit(v)) for e, v in zip(ends, firsts)), F.lit(last))
 
     def flag(self, salt: str, probability: float) -> Column:
         """True with the given probability."""
@@ -105,12 +113,12 @@ class RowRandom:
     def audit_dates(
         self, salt: str, start: dt.date | str, end: dt.date | str, update_share: float
     ) -> tuple[Column, Column]:
-        """Creation date, and update date: a later draw for some rows, else the same."""
+        """Creation date, and update date: for some rows drawn from the days from the creation
+        to the end, else the same."""
         created = self.date(f"{salt}/created", start, end)
-        updated = F.when(
-            self.flag(f"{salt}/is_updated", update_share),
-            self.date(f"{salt}/updated", start, end),
-        ).otherwise(created)
+        left = F.datediff(F.lit(_as_date(end)), created)
+        later = F.date_add(created, self.index(f"{salt}/updated", left).cast("int"))
+        updated = F.when(self.flag(f"{salt}/is_updated", update_share), later).otherwise(created)
         return created, updated
 
 

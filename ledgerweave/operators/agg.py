@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.operators.joins import lookup
+from ledgerweave.operators.joins import Lookup, lookup, lookups
 
 # The aggregate's grain; the account class stands for the account.
 GRAIN = (
@@ -81,9 +81,8 @@ def describe(
         (versions, "version_forecast_mapping_id", ["version_nbr", "version_group_nm"]),
     )
     keyed = aggregate.withColumn("_row", F.xxhash64(*GRAIN))
-    for parent, key, columns in parents:
-        keyed = lookup(keyed, parent, (key, key), columns, "_row")
-    return keyed.drop("_row")
+    steps = [Lookup(parent, key, key, columns) for parent, key, columns in parents]
+    return lookups(keyed, steps, "_row").drop("_row")
 
 
 @dataclass(frozen=True)

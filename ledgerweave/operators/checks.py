@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,17 +43,19 @@ def orphan_report(tables: Mapping[str, DataFrame], relations: Sequence[Relation]
 
     All relations of a child are checked in one scan of it: its key columns become
     (relation, key) rows, which meet the parents' keys in one group-by.  A relation is a
-    number until the end, and whole-number keys stay numbers; others compare as strings.
+    number until the end.  Both ends are cast to their common type first, as a join would;
+    whole-number keys stay numbers and the others are then compared as that type's text.  A
+    text and another type have no common type: such a relation is refused.
     """
-    numbered = [(i, r, _both_whole(tables, r)) for i, r in enumerate(relations)]
+    numbered = [(i, r, _key_type(tables, r)) for i, r in enumerate(relations)]
     children = dict.fromkeys(r.child for r in relations)
     used = union_all(
         _key_rows(
-            tables[child], [(i, r.column, whole) for i, r, whole in numbered if r.child == child]
+            tables[child], [(i, r.column, kind) for i, r, kind in numbered if r.child == child]
         )
         for child in children
     )
-    known = union_all(_key_rows(tables[r.parent], [(i, r.key, whole)]) for i, r, whole in numbered)
+    known = union_all(_key_rows(tables[r.parent], [(i, r.key, kind)]) for i, r, kind in numbered)
     per_key = (
         used.withColumn("is_child", F.lit(1))
         .unionByName(known.withColumn("is_child", F.lit(0)))
@@ -216,6 +219,26 @@ def node_parents(hierarchy: DataFrame, stem: str, levels: int) -> DataFrame:
     )
 
 
+def file_spans(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row over the files of a saved table: rows, and per integer column its sum and the
+    mean share of the column's range that a file spans."""
+    per_file = df.groupBy(F.input_file_name().alias("_file")).agg(
+        F.count("*").alias("_rows"),
+        *(f(c).alias(f"_{f.__name__}_{c}") for c in by for f in (F.min, F.max, F.sum)),
+    )
+    return per_file.agg(
+        F.sum("_rows").alias("row_cnt"),
+        *(F.sum(f"_sum_{c}").alias(f"sum_{c}") for c in by),
+        *(
+            (
+                F.avg(F.col(f"_max_{c}") - F.col(f"_min_{c}"))
+                / F.greatest(F.max(f"_max_{c}") - F.min(f"_min_{c}"), F.lit(1))
+            ).alias(f"mean_span_{c}")
+            for c in by
+        ),
+    )
+
+
 def rule_violations(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """Per named rule, a SQL condition on one row: how many rows break it, from one scan."""
     broken = {name: ~F.coalesce(F.expr(text), F.lit(False)) for name, text in rules.items()}
@@ -230,26 +253,36 @@ def rule_violations(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     )
 
 
-def _both_whole(tables: Mapping[str, DataFrame], relation: Relation) -> bool:
-    """Whether both ends of a relation are whole numbers."""
-    ends = (
-        tables[relation.child].schema[relation.column].dataType,
-        tables[relation.parent].schema[relation.key].dataType,
-    )
-    return all(isinstance(t, T.IntegralType) for t in ends)
-
-
-def _key_rows(df: DataFrame, keys: Sequence[tuple[int, str, bool]]) -> DataFrame:
-    """(relation, number, text) rows of the non-null keys: (relation, column, is whole)."""
+def _key_type(tables: Mapping[str, DataFrame], relation: Relation) -> T.DataType:
+    """The type that both ends of a relation are compared in."""
+    child, parent = tables[relation.child], tables[relation.parent]
+    ends = child.schema[relation.column].dataType, parent.schema[relation.key].dataType
+    if ends[0] == ends[1]:
+        return ends[0]
+    texts = [isinstance(t, T.StringType) for t in ends]
+    empty = child.sparkSession.createDataFrame([], "nothing int")
+    try:
+        if any(texts) and not all(texts):
+            raise ValueError
+        both = F.coalesce(*(F.lit(None).cast(t) for t in ends))
+        return empty.select(both.alias("key")).schema["key"].dataType
+    except (AnalysisException, ValueError) as error:
+        kinds = " and ".join(t.simpleString() for t in ends)
+        raise ValueError(f"{relation.name}: {kinds} can't be compared") from error
+
+
+def _key_rows(df: DataFrame, keys: Sequence[tuple[int, str, T.DataType]]) -> DataFrame:
+    """(relation, number, text) rows of the non-null keys: (relation, column, compared type)."""
     none = F.lit(None)
+    whole = [isinstance(kind, T.IntegralType) for _, _, kind in keys]
     structs = F.array(
         *(
             F.struct(
                 F.lit(relation).alias("relation"),
-                (F.col(c) if whole else none).cast("bigint").alias("number"),
-                (none if whole else F.col(c)).cast("string").alias("text"),
+                (F.col(c) if number else none).cast("bigint").alias("number"),
+                (none if number else F.col(c).cast(kind)).cast("string").alias("text"),
             )
-            for relation, c, whole in keys
+            for (relation, c, kind), number in zip(keys, whole)
         )
     )
     rows = df.select(F.explode(structs).alias("k")).select("k.*")

@@ -8,10 +8,10 @@ from collections.abc import Mapping
 from graphlib import TopologicalSorter
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerweave.session import tune
-from ledgerweave.sources.facts import Periods
+from ledgerweave.session import tuned_for
 from ledgerweave.sources.generate import Volumes, generate, generate_clustered
 from ledgerweave.sources.schema import (
     DERIVATIONS,
@@ -22,7 +22,7 @@ from ledgerweave.sources.schema import (
     TABLES,
     conform,
 )
-from ledgerweave.sources.spec import Spec
+from ledgerweave.sources.spec import Spec, id_range
 from ledgerweave.sources.tables import read_table, save_declared
 
 logger = logging.getLogger(__name__)
@@ -69,16 +69,33 @@ def build(
     scope: str = "all",
     mode: str = "overwrite",
     ids: Mapping[str, DataFrame] | None = None,
+    first_ids: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Generate and write the tables of ``scope``; one report row per table.
 
     ``target`` is a folder (with a slash) or a database.  A failed table is reported and
     the rest go on, except for the children of a failed parent, which are skipped.
     Parents outside the scope need not exist: keys follow from ``volumes`` alone.
-    ``ids`` supplies the row ids of single tables; the others are ranges.
+    ``ids`` supplies the row ids of single tables; the others are ranges, which begin at
+    ``first_ids`` where given.  An append needs ids that the table doesn't hold yet.  The
+    report counts the rows that this build wrote.
     """
-    tune(spark)
-    supplied = ids or {}
+    supplied = dict(ids or {})
+    for table, first in (first_ids or {}).items():
+        supplied[table] = id_range(spark, volumes.of(table), start=first)
+    with tuned_for(spark):
+        return _build(spark, target, spec, volumes, scope, mode, supplied)
+
+
+def _build(
+    spark: SparkSession,
+    target: str,
+    spec: Spec,
+    volumes: Volumes,
+    scope: str,
+    mode: str,
+    supplied: Mapping[str, DataFrame],
+) -> DataFrame:
     outcomes: dict[str, Outcome] = {}
     for table in resolve_scope(scope):
         lost = sorted(p for p in parents_of(table) if p in outcomes and outcomes[p].status != "OK")
@@ -89,8 +106,9 @@ def build(
             continue
         started = time.monotonic()
         try:
+            before = _rows_of(spark, target, table) if mode == "append" else 0
             _write(spark, table, target, spec, volumes, mode, supplied.get(table))
-            rows, error = table_of(spark, target, table).count(), None
+            rows, error = _rows_of(spark, target, table) - before, None
         except Exception as failure:  # one table's failure must not end the run
             logger.exception("table %s failed", table)
             rows, error = None, f"{type(failure).__name__}: {failure}".splitlines()[0]
@@ -114,15 +132,20 @@ def _write(
     ids: DataFrame | None,
 ) -> None:
     rows = volumes.of(table)
-    if table in FACTS and ids is None and not spec.cyclic:
-        # Ascending ids get ascending periods, so the fact is generated in its layout.
-        df = generate(spark, table, volumes, spec, Periods("blocked", rows))
-    elif table in LAYOUTS:
+    if table in LAYOUTS:
         df = generate_clustered(spark, table, volumes, spec, ids)
     else:
         df = generate(spark, table, volumes, spec, ids=ids)
     save_declared(df, table, _name(target, table), rows, mode, already_partitioned=True)
 
 
+def _rows_of(spark: SparkSession, target: str, table: str) -> int:
+    """How many rows a table holds; none if it isn't there yet."""
+    try:
+        return table_of(spark, target, table).count()
+    except AnalysisException:
+        return 0
+
+
 def _name(target: str, table: str) -> str:
     return f"{target.rstrip('/')}/{table}" if "/" in target else f"{target}.{table}"

@@ -14,7 +14,7 @@ import xxhash
 
 from ledgerweave.functions import pools
 from ledgerweave.plans.queries import DIMENSION_ROWS, DRIVER_KEYS, DRIVER_RELATIONS
-from ledgerweave.sources.schema import schema
+from ledgerweave.sources.schema import RELATIONS, TABLES, schema
 
 # The constants of 64-bit xxHash.
 _P1 = 0x9E3779B185EBCA87
@@ -116,10 +116,12 @@ def every(k: int, hit: str, miss: str, id: str = "id") -> str:
 
 # -- formulas of a dense id --------------------------------------------------------------
 
-_SHARES = "0.2e0 0.45e0 0.5e0 0.65e0 0.75e0 0.85e0 0.9e0 0.95e0".split()
+_SHARES = ("0.2e0", "0.45e0", "0.5e0", "0.65e0", "0.75e0", "0.85e0", "0.9e0", "0.95e0")
 _STARTS = (1000000, 2000000, 3000000, 4000000, 4500000, 5000000, 6000000, 6500000, 7000000)
 _SPANS = (999999, 999999, 99999, 499999, 499999, 499999, 499999, 499999, 499999)
-_AMOUNT_KINDS = "revenue cogs revenue opex opex opex revenue opex opex".split()
+_AMOUNT_KINDS = (
+    "revenue", "cogs", "revenue", "opex", "opex", "opex", "revenue", "opex", "opex",
+)
 _LABELS = (
     "Revenue", "COGS", "Gross Profit", "Selling", "Admin", "R&D", "Other Income",
     "Other Expense", "Tax",
@@ -134,7 +136,8 @@ def account_class(id: str, n: str | int) -> str:
 
 
 def account_nbr(id: str, position: str) -> str:
-    return f"({nth(_STARTS, position)} + ({id}) % {nth(_SPANS, position)})::BIGINT"
+    span = nth(_SPANS, position)
+    return f"({nth(_STARTS, position)} + ({id}) % {span} + ({id}) // {span} * 10000000)::BIGINT"
 
 
 def listed(values: Sequence[str], id: str, beyond: str) -> str:
@@ -255,6 +258,29 @@ LOADER = {
 }
 
 
+def cyclic_key(salt: str, n: str | int, id: str = "id") -> str:
+    return f"(({id}) % ({n}) + 1)"
+
+
+def cyclic_period(table: str, id: str = "id") -> str:
+    position = f"(({id}) % (({LAST_YEAR} - {FIRST_YEAR} + 1) * 13))"
+    return f"(({FIRST_YEAR} + {position} // 13) * 100 + {position} % 13 + 1)"
+
+
+def weighted_period(table: str, id: str = "id") -> str:
+    year = f"floor({u(f'{table}.fiscal_year', id)} * ({LAST_YEAR} - {FIRST_YEAR} + 1))::BIGINT"
+    numbers = [str(p) for p in range(1, 14)]
+    weights = (7, 7, 8, 8, 8, 8, 8, 8, 8, 8, 8, 9, 5)
+    return f"(({FIRST_YEAR} + {year}) * 100 + {weighted(f'{table}.fiscal_period', numbers, weights, id)}::INTEGER)"
+
+
+def cyclic_account(id: str) -> str:
+    return (
+        f"CASE {id} % 9 WHEN 4 THEN '44' || {pad(id, 5)} WHEN 5 THEN '45' || {pad(id, 5)} "
+        f"ELSE {nth(['7', '1', '2', '3', '', '', '5', '6', '8'], f'{id} % 9')} || {pad(id, 6)} END"
+    )
+
+
 def drawn_period(table: str, id: str = "id") -> str:
     periods = f"(({LAST_YEAR} - {FIRST_YEAR} + 1) * 13)"
     position = f"floor({u(f'{table}.fiscal_year_period', id)} * {periods})::BIGINT"
@@ -277,10 +303,14 @@ def scaled(whole_units: str, factor: str) -> str:
 
 
 _T = "general_ledger_fact."
-LEDGER = f"""
+
+
+def ledger_sql(key=key, period=drawn_period, account=None, currency=None) -> str:
+    """The ledger of orders, by the ways that keys, periods, accounts and currencies are dealt."""
+    return f"""
 WITH k AS (
   SELECT o_orderkey AS id,
-         {drawn_period("general_ledger_fact", "o_orderkey")} AS period,
+         {period("general_ledger_fact", "o_orderkey")} AS period,
          {key(_T + "accounting_document_type_id", 40, "o_orderkey")} AS doc_type,
          {key(_T + "profit_center_id", 2000, "o_orderkey")} AS center,
          {key(_T + "version_forecast_mapping_id", 25, "o_orderkey")} AS version,
@@ -311,7 +341,7 @@ b AS (SELECT *, {class_amount("z", "cls")} AS base FROM c)
         "cost_center_nbr": f"'CC' || {pad(key(_T + 'cost_center_nbr', 15000), 6)}",
         "geo_wholesale_value_business_id": key(_T + "geo_wholesale_value_business_id", 500),
         "geo_marketplace_channel_id": key(_T + "geo_marketplace_channel_id", 200),
-        "gl_account_nbr": account_nbr("account", "cls"),
+        "gl_account_nbr": account or account_nbr("account", "cls"),
         "zfsm_measure_id": key(_T + "zfsm_measure_id", 300),
         "company_currency_amt": dec(f"s * {scaled('base', between(_T + 'company_factor', 0.85, 1.15))}"),
         "transaction_currency_amt": dec("s * base"),
@@ -328,7 +358,7 @@ b AS (SELECT *, {class_amount("z", "cls")} AS base FROM c)
         "general_ledger_ocogs_allocation_fact_ind": every(15, "'Y'", "'N'"),
         "anaplan_corporate_ind": every(25, "'Y'", "'N'"),
         "company_currency_cd": company_currency("company"),
-        "transaction_currency_cd": weighted(
+        "transaction_currency_cd": currency or weighted(
             _T + "transaction_currency", pools.CURRENCIES, pools.CURRENCY_WEIGHTS
         ),
         "Functional_Area_cd": f"'FA' || {pad('area', 4)}",
@@ -339,6 +369,12 @@ b AS (SELECT *, {class_amount("z", "cls")} AS base FROM c)
 )
 
 
+_DEALT = [c for c, w in zip(pools.CURRENCIES, pools.CURRENCY_WEIGHTS) for _ in range(w)]
+LEDGER = ledger_sql()
+LEDGER_CYCLIC = ledger_sql(cyclic_key, cyclic_period, cyclic_account("account"), cyc(_DEALT, "id"))
+LEDGER_WEIGHTED = ledger_sql(period=weighted_period)
+
+
 def from_ledger(body: str) -> str:
     """A query over ``l``, the ledger made from orders."""
     return f"WITH l AS ({LEDGER}) {body}"
@@ -369,11 +405,13 @@ def statement_columns(companies: str) -> dict[str, str]:
     }
 
 
-def statement_source(table: str, source: str, source_key: str, qty: int) -> str:
+def statement_source(
+    table: str, source: str, source_key: str, qty: int, key=key, period=drawn_period
+) -> str:
     t = f"{table}."
     return f"""
 WITH i AS (SELECT {source_key} AS id FROM {source}), k AS (
-  SELECT id, {drawn_period(table)} AS period,
+  SELECT id, {period(table)} AS period,
          {key(t + "gl_account_id", 8000)} AS account,
          {key(t + "profit_center_id", 2000)} AS center,
          {normal(t + "amount")} AS z,
@@ -390,33 +428,37 @@ _AMT = {
     "local_currency_amt": dec(f"s * {scaled('base', '0.95e0')}"),
     "qty": dec("qty"),
 }
+_STATEMENT_AMOUNT = f"b AS (SELECT *, {class_amount('z', 'cls')} AS base FROM c) "
 INCOME_STATEMENT_ROWS = (
-    statement_source("CIS_fact", "events", "event_id", 50000)
-    + f"b AS (SELECT *, {class_amount('z', 'cls')} AS base FROM c) "
+    statement_source("CIS_fact", "events", "event_id", 50000) + _STATEMENT_AMOUNT
 )
-INCOME_STATEMENT = INCOME_STATEMENT_ROWS + table_sql(
-    "CIS_fact",
-    "b",
-    {
-        "gl_account_id": account_nbr("account", "cls"),
-        "profit_center_nbr": pad("center", 7),
-        "profit_center_id": "center",
-        "segment_nbr": "id % 100 + 1",
-        "document_type_cd": cyc(["SA", "KR", "DR", "RV", "IC", "JV"], "id"),
-        "original_company_cd": f"id % {SUPPLIERS} + 1001",
-        "consolidated_income_statement_fact_id": "id",
-        "transaction_currency_cd": cyc(pools.CURRENCIES[:8], "center"),
-        "ledger_cd": cyc(["0L", "2L", "3L"], "id"),
-        "dimension_cd": f"'DIM' || {pad('id % 20 + 1', 3)}",
-        "record_type_cd": cyc(["0", "1", "2", "3"], "id"),
-        "consolidation_group_cd": cyc(["NIKE", "CONVERSE", "JORDAN", "TOTAL"], "id"),
-        "consolidation_of_investment_activity_nbr": "id % 5",
-        "chart_of_accounts_cd": cyc(["US01", "EU01", "JP01", "CN01", "CONSO"], "id"),
-        "base_unit_of_measure_cd": cyc(["EA", "PR", "PK", "BX"], "id"),
-        **statement_columns(SUPPLIERS),
-        **_AMT,
-        **{f"sign_adjusted_{name}": value for name, value in _AMT.items()},
-    },
+INCOME_STATEMENT_CYCLIC_ROWS = (
+    statement_source("CIS_fact", "events", "event_id", 50000, cyclic_key, cyclic_period)
+    + _STATEMENT_AMOUNT
+)
+_STATEMENT = {
+    "gl_account_id": account_nbr("account", "cls"),
+    "profit_center_nbr": pad("center", 7),
+    "profit_center_id": "center",
+    "segment_nbr": "id % 100 + 1",
+    "document_type_cd": cyc(["SA", "KR", "DR", "RV", "IC", "JV"], "id"),
+    "original_company_cd": f"id % {SUPPLIERS} + 1001",
+    "consolidated_income_statement_fact_id": "id",
+    "transaction_currency_cd": cyc(pools.CURRENCIES[:8], "center"),
+    "ledger_cd": cyc(["0L", "2L", "3L"], "id"),
+    "dimension_cd": f"'DIM' || {pad('id % 20 + 1', 3)}",
+    "record_type_cd": cyc(["0", "1", "2", "3"], "id"),
+    "consolidation_group_cd": cyc(["NIKE", "CONVERSE", "JORDAN", "TOTAL"], "id"),
+    "consolidation_of_investment_activity_nbr": "id % 5",
+    "chart_of_accounts_cd": cyc(["US01", "EU01", "JP01", "CN01", "CONSO"], "id"),
+    "base_unit_of_measure_cd": cyc(["EA", "PR", "PK", "BX"], "id"),
+    **statement_columns(SUPPLIERS),
+    **_AMT,
+    **{f"sign_adjusted_{name}": value for name, value in _AMT.items()},
+}
+INCOME_STATEMENT = INCOME_STATEMENT_ROWS + table_sql("CIS_fact", "b", dict(_STATEMENT))
+INCOME_STATEMENT_CYCLIC = INCOME_STATEMENT_CYCLIC_ROWS + table_sql(
+    "CIS_fact", "b", {**_STATEMENT, "gl_account_id": cyclic_account("account")}
 )
 _DEBIT = "(CASE WHEN cls IN (0, 2, 6) THEN 1 ELSE -1 END)"
 INCOME_STATEMENT_SIGNED = (
@@ -431,30 +473,37 @@ SELECT (period // 100)::INTEGER AS fiscal_yr,
 FROM b GROUP BY ALL"""
 )
 _REVENUE = log_normal(500000, 1000000, "z")
-BALANCE_SHEET = (
-    statement_source("consolidated_balance_sheet_fact", "orders", "o_orderkey", 10000)
-    + f"b AS (SELECT *, {units(f'least(greatest({_REVENUE}, 10000e0), 50000000e0)')} AS base FROM c) "
-    + table_sql(
-        "consolidated_balance_sheet_fact",
-        "b",
-        {
-            "consolidated_balance_sheet_fact_id": "id",
-            "profit_center_nbr": pad("id % 2000 + 1", 7),
-            "transaction_currency_cd": cyc(pools.CURRENCIES[:8], "id"),
-            "document_type_cd": cyc(["SA", "KR", "DR", "RV", "IC"], "id"),
-            "segment_nbr": pad("id % 100 + 1", 4),
-            "ending_balance_amt": _AMT["group_currency_amt"],
-            "_acdocu_latest_load_timestamp": LOADED,
-            "group_currency_cd": "'USD'",
-            **statement_columns(SUPPLIERS),
-            **_AMT,
-        },
+
+
+def statement_sql_of_balance_sheet(source: str, source_key: str) -> str:
+    return (
+        statement_source("consolidated_balance_sheet_fact", source, source_key, 10000)
+        + f"b AS (SELECT *, {units(f'least(greatest({_REVENUE}, 10000e0), 50000000e0)')} AS base FROM c) "
+        + table_sql(
+            "consolidated_balance_sheet_fact",
+            "b",
+            {
+                "consolidated_balance_sheet_fact_id": "id",
+                "profit_center_nbr": pad("id % 2000 + 1", 7),
+                "transaction_currency_cd": cyc(pools.CURRENCIES[:8], "id"),
+                "document_type_cd": cyc(["SA", "KR", "DR", "RV", "IC"], "id"),
+                "segment_nbr": pad("id % 100 + 1", 4),
+                "ending_balance_amt": _AMT["group_currency_amt"],
+                "_acdocu_latest_load_timestamp": LOADED,
+                "group_currency_cd": "'USD'",
+                **statement_columns(SUPPLIERS),
+                **_AMT,
+            },
+        )
     )
-)
+
+
+BALANCE_SHEET = statement_sql_of_balance_sheet("orders", "o_orderkey")
 
 # -- dimensions --------------------------------------------------------------------------
 
 _FROM, _TO = "DATE '2015-01-01'", "DATE '2099-12-31'"
+_NODES = ((1, 10), (2, 20), (3, 40))
 
 
 def nested_sizes_cte(n: str, levels: int, step: int) -> str:
@@ -778,10 +827,10 @@ def dimensions() -> dict[str, str]:
             "zfsm_measure_desc": f"{cyc(pools.MEASURES, 'i')} || ' - ZFSM' || {pad('i', 6)}",
             "record_created_tmst_utc": LOADED,
             "record_update_tmst_utc": LOADED,
-            **{f"gl_account_level_{k}_cd": f"'L{k}_' || (i % {k}0 + 1)" for k in (1, 2, 3)},
+            **{f"gl_account_level_{k}_cd": f"'L{k}_' || (i % {n} + 1)" for k, n in _NODES},
             **{
-                f"gl_account_level_{k}_nm": f"'Level {k} - L{k}_' || (i % {k}0 + 1)"
-                for k in (1, 2, 3)
+                f"gl_account_level_{k}_nm": f"'Level {k} - L{k}_' || (i % {n} + 1)"
+                for k, n in _NODES
             },
             **LOADER,
         },
@@ -927,6 +976,17 @@ def dimensions() -> dict[str, str]:
     return {f"dim_{t}": dim(t, dict(c), levels.get(t)) for t, c in columns.items()}
 
 
+_CYCLIC_SHORT = f"{cyc(_LABELS, 'i')} || ' Acct ' || {cyclic_account('i')}"
+CYCLIC_ACCOUNTS = {
+    "gl_account_nbr": cyclic_account("i"),
+    "gl_account_short_desc": _CYCLIC_SHORT,
+    "gl_account_long_desc": f"'General Ledger Account - ' || {_CYCLIC_SHORT}",
+    "begin_effective_dt": _FROM,
+    "end_effective_dt": _TO,
+    "active_ind": every(100, "'N'", "'Y'", "i"),
+    "gl_accnt_id": "i",
+}
+
 # -- aggregate ---------------------------------------------------------------------------
 
 _ADDITIVE = (
@@ -968,7 +1028,7 @@ _RATES = ", ".join(
     f"({q(c)}, {pools.UNITS_PER_USD.get(c, 1.0)!r}e0)" for c in pools.CURRENCIES
 )
 USD_RATE = (
-    "CASE WHEN cd = 'USD' THEN 1 ELSE round(1e0 / per_usd, 8) END::DECIMAL(28,8)::DECIMAL(18,8)"
+    "CASE WHEN cd = 'USD' THEN 1 ELSE round(1e0 / per_usd, 8) END::DECIMAL(28,8)::DECIMAL(10,8)"
 )
 
 # -- value expressions -------------------------------------------------------------------
@@ -1084,17 +1144,57 @@ def _null_profile() -> str:
 
 
 def _conformance() -> str:
-    fields = schema("general_ledger_fact").fields
-    return from_ledger(
-        " UNION ALL ".join(
-            f"SELECT 'general_ledger_fact' AS table_name, {i}::INTEGER AS declared_position, "
-            f"{q(f.name)} AS column_name, {q(f.dataType.simpleString())} AS declared_type, "
-            f"{q(f.dataType.simpleString())} AS found_type, {i}::INTEGER AS found_position, "
-            f"true AS conforms, count(*) AS row_cnt, count(*) - count(\"{f.name}\") AS null_cnt "
-            "FROM l"
-            for i, f in enumerate(fields, start=1)
+    """Every declared column is found as declared; nulls are counted in one pass per table."""
+    sources = {t.removeprefix("dim_"): sql for t, sql in dimensions().items()}
+    sources |= {
+        "calendar_fiscal_period_v": CALENDAR,
+        "general_ledger_fact": LEDGER,
+        "CIS_fact": INCOME_STATEMENT,
+        "consolidated_balance_sheet_fact": BALANCE_SHEET,
+    }
+    # These two list fixed domains and have no null.
+    for table, rows in (("atscale_geo_security", 15), ("finance_foreign_currency_exchange_rate", 90)):
+        every = ", ".join(f'1 AS "{f.name}"' for f in schema(table))
+        sources[table] = f"SELECT {every} FROM range({rows})"
+    parts = []
+    for table, sql in sources.items():
+        items = ", ".join(
+            f"{{'p': {i}, 'c': {q(f.name)}, 't': {q(f.dataType.simpleString())}, "
+            f"'n': count(*) - count(\"{f.name}\")}}"
+            for i, f in enumerate(schema(table).fields, start=1)
         )
-    )
+        parts.append(
+            f"SELECT '{table}' AS table_name, s.p::INTEGER AS declared_position, s.c AS column_name, "
+            "s.t AS declared_type, s.t AS found_type, s.p::INTEGER AS found_position, "
+            "true AS conforms, row_cnt, s.n AS null_cnt "
+            f"FROM (SELECT count(*) AS row_cnt, unnest([{items}]) AS s FROM ({sql}))"
+        )
+    return " UNION ALL ".join(parts)
+
+
+def _built() -> str:
+    """Totals of the facts made from the same ids; no orphan and no repeated key."""
+    orders = "(SELECT count(*) FROM orders)"
+    sheet_rows = f"greatest(1, floor({orders} * 0.0004e0))::BIGINT"
+    sheet = statement_sql_of_balance_sheet(f"(SELECT unnest(range({sheet_rows})) AS id)", "id")
+    facts = {
+        "general_ledger_fact": LEDGER,
+        "CIS_fact": INCOME_STATEMENT,
+        "consolidated_balance_sheet_fact": sheet,
+    }
+    totals = [
+        f"SELECT 'totals' AS check_nm, '{t}' AS subject_nm, fiscal_year_period_nbr AS period_nbr, "
+        f"count(*) AS row_cnt, sum(transaction_currency_amt)::DECIMAL(38,5) AS amt FROM ({sql}) "
+        "GROUP BY fiscal_year_period_nbr"
+        for t, sql in facts.items()
+    ]
+    none = [("orphan rows", r.name) for r in RELATIONS] + [("repeated keys", t) for t in TABLES]
+    zeros = [
+        f"SELECT '{check}' AS check_nm, '{name}' AS subject_nm, NULL::INTEGER AS period_nbr, "
+        "0::BIGINT AS row_cnt, NULL::DECIMAL(38,5) AS amt"
+        for check, name in none
+    ]
+    return " UNION ALL ".join([*totals, *zeros])
 
 
 def _rules() -> str:
@@ -1132,12 +1232,32 @@ def _rules() -> str:
     )
 
 
+_LEVELS = {
+    "gl_account_zfsm_measures_hierarchy_dim": ("gl_account_level_", 3),
+    "gl_account_hierarchy": ("gl_account_level_", 30),
+    "management_gl_account_hierarchy": ("gl_account_level_", 30),
+    "consolidation_functional_area_hierarchy": ("consolidation_functional_area_", 7),
+    "consolidation_segment_hierarchy_dim": ("consolidation_segment_", 10),
+    "segment_cost_center_hierarchy_dim_v": ("cost_center_level_", 30),
+    "segment_profit_center_hierarchy": ("profit_center_level_", 9),
+    "DisChannel_cost_center_hierarchy_dim_v": ("cost_center_level_", 30),
+    "DisChannel_profit_center_hierarchy": ("profit_center_level_", 9),
+    "PartDisChannel_profit_center_hierarchy": ("profit_center_level_", 9),
+}
+
+
 def _nesting() -> str:
-    sizes = nested_sizes_cte("(SELECT count(*) FROM customer)", 30, 10)
-    return (
-        f"WITH RECURSIVE {sizes} SELECT level::INTEGER AS level, size AS node_cnt, "
-        "0::BIGINT AS split_nodes FROM sizes WHERE level > 1"
-    )
+    """The nodes of each level, none of which may have two parents."""
+    made = dimensions()
+    parts = []
+    for table, (stem, levels) in _LEVELS.items():
+        columns = ", ".join(f"count(DISTINCT {stem}{k}_cd)" for k in range(2, levels + 1))
+        parts.append(
+            f"SELECT '{table}' AS table_name, unnest(range(2, {levels + 1}))::INTEGER AS level, "
+            f"unnest([{columns}]) AS node_cnt, 0::BIGINT AS split_nodes "
+            f"FROM ({made['dim_' + table]})"
+        )
+    return " UNION ALL ".join(parts)
 
 
 def _hierarchy_levels() -> str:
@@ -1154,8 +1274,7 @@ def _hierarchy_levels() -> str:
 
 
 def _build_report() -> str:
-    counts = dict(pools.DEFAULT_ROWS) | {"atscale_geo_security": 15}
-    rows = {t: str(n) for t, n in counts.items()}
+    rows = {t: str(n) for t, n in pools.DEFAULT_ROWS.items()}
     orders = "(SELECT count(*) FROM orders)"
     rows |= {
         "calendar_fiscal_period_v": f"({LAST_YEAR} - {FIRST_YEAR} + 1) * 13",
@@ -1243,7 +1362,7 @@ SELECT id AS event_id, DATE '2019-06-01' + floor({u("posted")} *
     "audit_columns": f"""
 SELECT id AS event_id, c AS created_dt,
        CASE WHEN {u("audit/is_updated")} < 0.3e0
-            THEN DATE '2018-01-01' + floor({u("audit/updated")} * 2556)::INTEGER
+            THEN c + floor({u("audit/updated")} * (DATE '2024-12-31' - c))::INTEGER
             ELSE c END AS updated_dt,
        {cyc(pools.AUDIT_USERS, "id")} AS created_by_user_id,
        {weighted("source", pools.AUDIT_SOURCES, pools.AUDIT_SOURCE_WEIGHTS)} AS physical_source_cd
@@ -1335,7 +1454,7 @@ SELECT count(*) AS left_rows, count(*) AS right_rows, 0::BIGINT AS only_left,
     "fx_convert_ledger": from_ledger(f"""
 SELECT cd AS from_currency_cd, (fiscal_year_period_nbr // 100)::INTEGER AS fiscal_year,
        count(*) AS row_cnt, sum(transaction_currency_amt)::DECIMAL(38,5) AS amt,
-       (sum(transaction_currency_amt)::DECIMAL(19,5) * {USD_RATE})::DECIMAL(28,4) AS usd_amt
+       (sum(transaction_currency_amt)::DECIMAL(27,5) * {USD_RATE})::DECIMAL(32,4) AS usd_amt
 FROM l JOIN (VALUES {_RATES}) v(cd, per_usd) ON transaction_currency_cd = cd
 GROUP BY cd, per_usd, fiscal_year"""),
     "events_with_segment": """
@@ -1387,4 +1506,18 @@ FROM l GROUP BY ALL"""),
 SELECT event_type, 2 * count(*) AS row_cnt, count(DISTINCT event_id) AS event_cnt
 FROM events GROUP BY event_type""",
     "build_report": _build_report(),
+    "build_then_check": _built(),
+    "clustered_write_stats": " UNION ALL ".join(
+        f"SELECT '{layout}' AS layout, count(*) AS row_cnt, sum(l_partkey)::BIGINT AS sum_l_partkey, "
+        f"sum(l_suppkey)::BIGINT AS sum_l_suppkey, {narrow} AS narrow_l_partkey, "
+        f"{narrow} AS narrow_l_suppkey FROM lineitem"
+        for layout, narrow in (("written", "false"), ("clustered", "true"))
+    ),
+    "ledger_cyclic": LEDGER_CYCLIC,
+    "income_statement_cyclic": INCOME_STATEMENT_CYCLIC,
+    "dim_gl_account_dim_cyclic": dim("gl_account_dim", CYCLIC_ACCOUNTS),
+    "ledger_weighted_periods": f"""
+SELECT fiscal_year_period_nbr, count(*) AS row_cnt,
+       sum(transaction_currency_amt)::DECIMAL(38,5) AS amt
+FROM ({LEDGER_WEIGHTED}) GROUP BY fiscal_year_period_nbr""",
 }

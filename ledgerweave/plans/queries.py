@@ -34,12 +34,12 @@ from ledgerweave.functions.exprs import (
 )
 from ledgerweave.functions.rng import RowRandom, from_units, to_units
 from ledgerweave.operators import agg, checks, fk
-from ledgerweave.operators.joins import lookup, salted_lookup
-from ledgerweave.plans.build import build
+from ledgerweave.operators.joins import Lookup, lookup, lookups
+from ledgerweave.plans.build import build, table_of
 from ledgerweave.session import tune
 from ledgerweave.sources.facts import income_statement_fact
-from ledgerweave.sources.generate import CALENDAR, Volumes, generate, generate_clustered
-from ledgerweave.sources.schema import RELATIONS, Relation, project
+from ledgerweave.sources.generate import CALENDAR, FINITE, Volumes, generate, generate_clustered
+from ledgerweave.sources.schema import FACTS, RELATIONS, TABLES, Relation, project, row_key
 from ledgerweave.sources.spec import ID, Spec, ids_from
 from ledgerweave.sources.tables import (
     ROWS_PER_FILE,
@@ -54,6 +54,9 @@ from ledgerweave.sources.tables import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 SPEC = Spec(as_of=dt.date(2025, 1, 1), seed=42)
+CYCLIC = replace(SPEC, style="cyclic")
+#: Rows per file of the layout that is measured; production files hold ROWS_PER_FILE.
+SMALL_FILE = 500
 LEDGER = "general_ledger_fact"
 SUM = "decimal(38,5)"
 
@@ -113,6 +116,19 @@ DRIVER_RELATIONS = (
     Relation("events", "user_id", "customer", "c_custkey"),
     Relation("labels", "doc_id", "documents", "doc_id"),
 )
+# The first part of the level columns' names, and the number of levels that are filled.
+HIERARCHIES = {
+    "gl_account_zfsm_measures_hierarchy_dim": ("gl_account_level_", 3),
+    "gl_account_hierarchy": ("gl_account_level_", 30),
+    "management_gl_account_hierarchy": ("gl_account_level_", 30),
+    "consolidation_functional_area_hierarchy": ("consolidation_functional_area_", 7),
+    "consolidation_segment_hierarchy_dim": ("consolidation_segment_", 10),
+    "segment_cost_center_hierarchy_dim_v": ("cost_center_level_", 30),
+    "segment_profit_center_hierarchy": ("profit_center_level_", 9),
+    "DisChannel_cost_center_hierarchy_dim_v": ("cost_center_level_", 30),
+    "DisChannel_profit_center_hierarchy": ("profit_center_level_", 9),
+    "PartDisChannel_profit_center_hierarchy": ("profit_center_level_", 9),
+}
 LEDGER_RULES = {
     "period belongs to a fiscal year": "fiscal_year_period_nbr % 100 between 1 and 13",
     "one sign per row": (
@@ -222,7 +238,7 @@ def threshold_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(
         F.col(ID).alias("event_id"),
         keys.of_class(position, [c.name for c in pools.ACCOUNT_CLASSES]).alias("category"),
-        keys.account_number(F.col(ID), position, n).cast("string").alias("account_nbr"),
+        keys.account_number(F.col(ID), position).cast("string").alias("account_nbr"),
     )
 
 
@@ -585,11 +601,14 @@ def aggregate_by_quarter_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = ["fiscal_year_period_nbr", "profit_center_id", "account_class"]
     summed = agg.roll_up(agg.ledger_aggregate(rows, accounts), by)
     summed = summed.withColumn("_row", F.xxhash64(*by))
-    for parent, key, column in (
-        (calendar, "fiscal_year_period_nbr", "fiscal_year_quarter_cd"),
-        (centers, "profit_center_id", "geography_nm"),
-    ):
-        summed = lookup(summed, parent, (key, key), [column], "_row")
+    steps = [
+        Lookup(parent, key, key, [column])
+        for parent, key, column in (
+            (calendar, "fiscal_year_period_nbr", "fiscal_year_quarter_cd"),
+            (centers, "profit_center_id", "geography_nm"),
+        )
+    ]
+    summed = lookups(summed, steps, "_row")
     return agg.roll_up(summed, ["fiscal_year_quarter_cd", "geography_nm", "account_class"])
 
 
@@ -662,26 +681,25 @@ def ledger_in_dollars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("fiscal_year_period_nbr") / 100).cast("int").alias("fiscal_year"),
     ).agg(F.count("*").alias("row_cnt"), F.sum("transaction_currency_amt").alias("amt"))
     rates = rates.where("exchange_rate_cd = 'P' and to_currency_cd = 'USD'").select(
-        "from_currency_cd", F.col("exchange_rate").cast("decimal(18,8)")
+        "from_currency_cd", F.col("exchange_rate").cast("decimal(10,8)")
     )
     return summed.join(rates, "from_currency_cd", "left").select(
         "from_currency_cd",
         "fiscal_year",
         "row_cnt",
         F.col("amt").cast(SUM).alias("amt"),
-        (F.col("amt").cast("decimal(19,5)") * F.col("exchange_rate"))
-        .cast("decimal(28,4)")
+        # Whole sums of 22 digits before the point: the product keeps all of its 13 decimals.
+        (F.col("amt").cast("decimal(27,5)") * F.col("exchange_rate"))
+        .cast("decimal(32,4)")
         .alias("usd_amt"),
     )
 
 
 def events_with_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event with its customer's market segment, by the join that splits hot users."""
+    """Every event with its customer's market segment; hot users are split if there are any."""
     events = read(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    customers = read(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("_parent_key"), "c_mktsegment"
-    )
-    return salted_lookup(events, customers, "user_id", "event_id")
+    customers = read(spark, sf_dir, "customer")
+    return lookup(events, customers, ("user_id", "c_custkey"), ["c_mktsegment"], "event_id")
 
 
 # -- checks ------------------------------------------------------------------------------
@@ -739,8 +757,23 @@ def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.union_all(checks.null_counts(df, t) for t, df in tables.items())
 
 
+def declared_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All declared tables: dimensions on the ids of the given tables, facts per order, event
+    and order."""
+    sized = volumes(spark, sf_dir)
+    tables = {t: dimension_query(t)(spark, sf_dir) for t in DIMENSION_ROWS}
+    for table in (CALENDAR, *FINITE):
+        tables[table] = generate(spark, table, sized, SPEC)
+    tables[LEDGER] = ledger(spark, sf_dir, sized)
+    tables["CIS_fact"] = income_statement(spark, sf_dir)
+    tables["consolidated_balance_sheet_fact"] = balance_sheet(spark, sf_dir)
+    return tables
+
+
 def schema_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.schema_conformance(ledger(spark, sf_dir), LEDGER)
+    """Every declared column of all 31 tables as it comes out of its generator."""
+    tables = declared_tables(spark, sf_dir)
+    return checks.union_all(checks.schema_conformance(tables[t], t) for t in TABLES)
 
 
 def conformed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -770,8 +803,41 @@ def calendar_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hierarchy_nesting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = dimension_query("segment_cost_center_hierarchy_dim_v")(spark, sf_dir)
-    return checks.node_parents(nodes, "cost_center_level_", 30)
+    """Nodes with more than one parent, on each level of the ten hierarchies."""
+    return checks.union_all(
+        checks.node_parents(dimension_query(table)(spark, sf_dir), stem, levels).withColumn(
+            "table_name", F.lit(table)
+        )
+        for table, (stem, levels) in HIERARCHIES.items()
+    )
+
+
+def cyclic_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ledger row per order with every pick and key by row number."""
+    ids = ids_from(read(spark, sf_dir, "orders"), F.col("o_orderkey"))
+    return generate(spark, LEDGER, volumes(spark, sf_dir), CYCLIC, ids=ids)
+
+
+def cyclic_income_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One income-statement row per event with every key by row number."""
+    sized = volumes(spark, sf_dir)
+    return generate(spark, "CIS_fact", sized, CYCLIC, ids=event_rows(spark, sf_dir))
+
+
+def cyclic_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The account dimension by row number, an account per part."""
+    parts = read(spark, sf_dir, "part")
+    sized = Volumes(rows={"gl_account_dim": parts.count()})
+    ids = ids_from(parts, F.col("p_partkey") + 1)
+    return generate(spark, "gl_account_dim", sized, CYCLIC, ids=ids)
+
+
+def weighted_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and amount per period of a ledger whose periods are drawn by weight."""
+    sized = replace(volumes(spark, sf_dir), periods="weighted")
+    return ledger(spark, sf_dir, sized).groupBy("fiscal_year_period_nbr").agg(
+        F.count("*").alias("row_cnt"), F.sum("transaction_currency_amt").cast(SUM).alias("amt")
+    )
 
 
 def ledger_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -803,7 +869,7 @@ def sized_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "events")
     events = read(spark, sf_dir, "events").select("event_id", "event_type")
     rows = events.count()
-    sized = size_files(events, rows, min(ROWS_PER_FILE, max(1, rows // 4)))
+    sized = size_files(events, rows, ROWS_PER_FILE)
     save_table(sized, path)
     save_table(sized, path, mode="append")
     return read_table(spark, path).groupBy("event_type").agg(
@@ -812,38 +878,73 @@ def sized_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clustered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per file of line items along the interleaved key: its rows and its key ranges."""
+    """Line items as written and clustered by an interleaved key: rows, key sums, and whether a
+    file spans less than three quarters of either key's range on average."""
     path = scratch_path(spark, "lineitem")
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     by = ["l_partkey", "l_suppkey"]
     rows = lines.count()
-    per_file = min(ROWS_PER_FILE, max(1, rows // 60))
-    save_table(size_files(lines, rows, per_file), f"{path}/written")
-    recluster(spark, f"{path}/written", f"{path}/clustered", by, "l_orderkey", rows, per_file)
-    back = read_table(spark, f"{path}/clustered").withColumn("file", F.input_file_name())
-    return back.groupBy("file").agg(
-        F.count("*").alias("row_cnt"),
-        *(F.min(c).alias(f"first_{c}") for c in by),
-        *(F.max(c).alias(f"last_{c}") for c in by),
-    ).drop("file")
+    save_table(size_files(lines, rows, SMALL_FILE), f"{path}/written")
+    recluster(spark, f"{path}/written", f"{path}/clustered", by, "l_orderkey", rows, SMALL_FILE)
+    return checks.union_all(
+        checks.file_spans(read_table(spark, f"{path}/{layout}"), by).select(
+            F.lit(layout).alias("layout"),
+            "row_cnt",
+            *(f"sum_{c}" for c in by),
+            *((F.col(f"mean_span_{c}") < 0.75).alias(f"narrow_{c}") for c in by),
+        )
+        for layout in ("written", "clustered")
+    )
 
 
-def build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All tables built with a ledger row per order and an income-statement row per event."""
+def built(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """All tables built: a ledger row per order and an income-statement row per event.
+
+    Returns where they are and the report.
+    """
     orders = ids_from(read(spark, sf_dir, "orders"), F.col("o_orderkey"))
     events = event_rows(spark, sf_dir)
     sized = volumes(spark, sf_dir)
     sized = replace(sized, rows={**sized.rows, "CIS_fact": events.count()})
-    report = build(
-        spark,
-        scratch_path(spark, "build"),
-        SPEC,
-        sized,
-        ids={LEDGER: orders, "CIS_fact": events},
-    )
+    target = scratch_path(spark, "build")
+    return target, build(spark, target, SPEC, sized, ids={LEDGER: orders, "CIS_fact": events})
+
+
+def build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, report = built(spark, sf_dir)
     return report.select("table_name", "status", "row_cnt")
 
 
+def build_then_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written star read back: totals of each fact's periods, orphans, duplicate keys."""
+    target, _ = built(spark, sf_dir)
+    tables = {t: table_of(spark, target, t) for t in TABLES}
+    none = F.lit(None)
+    totals = [
+        tables[fact]
+        .groupBy(F.col("fiscal_year_period_nbr").alias("period_nbr"))
+        .agg(
+            F.count("*").alias("row_cnt"), F.sum("transaction_currency_amt").cast(SUM).alias("amt")
+        )
+        .select(F.lit("totals").alias("check_nm"), F.lit(fact).alias("subject_nm"), "*")
+        for fact in FACTS
+    ]
+    empty = [none.cast("int").alias("period_nbr"), none.cast(SUM).alias("amt")]
+    orphans = checks.orphan_report(tables, RELATIONS).select(
+        F.lit("orphan rows").alias("check_nm"),
+        F.col("relation").alias("subject_nm"),
+        F.col("orphan_rows").alias("row_cnt"),
+        *empty,
+    )
+    repeats = checks.key_uniqueness({t: (tables[t], [row_key(t)]) for t in TABLES}).select(
+        F.lit("repeated keys").alias("check_nm"),
+        F.col("table_name").alias("subject_nm"),
+        F.col("surplus_rows").alias("row_cnt"),
+        *empty,
+    )
+    return checks.union_all([*totals, orphans, repeats])
+
+
 QUERIES: dict[str, Query] = {
     "orders_by_quarter_region": orders_by_quarter_region,
     "orders_fiscal_attribution": orders_fiscal_attribution,
@@ -900,6 +1001,11 @@ QUERIES: dict[str, Query] = {
     "sized_append_write": sized_files,
     "clustered_write_stats": clustered_files,
     "build_report": build_report,
+    "build_then_check": build_then_check,
+    "ledger_cyclic": cyclic_ledger,
+    "income_statement_cyclic": cyclic_income_statement,
+    "dim_gl_account_dim_cyclic": cyclic_accounts,
+    "ledger_weighted_periods": weighted_ledger,
 }
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -18,3 +21,17 @@ def tune(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
     return spark
+
+
+@contextmanager
+def tuned_for(spark: SparkSession) -> Iterator[SparkSession]:
+    """The session with the settings for as long as a job runs, then as it was."""
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    try:
+        yield tune(spark)
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

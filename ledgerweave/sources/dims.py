@@ -75,7 +75,7 @@ def atscale_geo_security(ids: DataFrame, n: int, spec: Spec) -> DataFrame:
     i = F.col(ID)
     region = F.get(literal_array(pools.SECURITY_REGIONS), (i - 1).cast("int"))
     return project(
-        ids.where(i <= len(pools.SECURITY_REGIONS)),
+        ids,
         "atscale_geo_security",
         {
             "region": region,
@@ -170,7 +170,7 @@ def finance_foreign_currency_exchange_rate(ids: DataFrame, n: int, spec: Spec) -
     type_position = F.floor(position / len(targets))
     to_cd = cyclic_pick(targets, position)
     return project(
-        ids.where(i <= pools.EXCHANGE_RATE_ROWS),
+        ids,
         "finance_foreign_currency_exchange_rate",
         {
             "finance_foreign_currency_exchange_rate_id": i,
@@ -486,7 +486,9 @@ def gl_account_zfsm_measures_hierarchy_dim(ids: DataFrame, n: int, spec: Spec) -
         "record_update_tmst_utc": loaded,
         **AUDIT,
     }
-    for level, node in enumerate(level_nodes(i, (10, 20, 30)), start=1):
+    # Each size is a multiple of the one above, so that every node has one parent.
+    sizes = (10, 20, 30) if spec.cyclic else (10, 20, 40)
+    for level, node in enumerate(level_nodes(i, sizes), start=1):
         level_cd = code(f"L{level}_", node)
         columns[f"gl_account_level_{level}_cd"] = level_cd
         columns[f"gl_account_level_{level}_nm"] = F.concat(F.lit(f"Level {level} - "), level_cd)

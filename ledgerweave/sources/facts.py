@@ -27,6 +27,8 @@ from ledgerweave.sources.dims import AUDIT, LOADER
 from ledgerweave.sources.schema import project
 from ledgerweave.sources.spec import ID, Spec
 
+PeriodDeal = Literal["even", "weighted"]
+
 
 @dataclass(frozen=True)
 class Parents:
@@ -59,14 +61,14 @@ class Parents:
 class Periods:
     """How a fact's rows are dealt to fiscal periods.
 
-    ``even`` draws any period, ``weighted`` draws by the period weights, and ``blocked``
-    gives ascending periods to ascending row ids.  A blocked fact of ``rows`` rows comes
-    out of its generator already partitioned by period, so it is written by period
-    without moving a row.
+    ``even`` draws any period and ``weighted`` draws by the period weights.
     """
 
-    deal: Literal["even", "weighted", "blocked"] = "even"
-    rows: int = 0
+    deal: PeriodDeal = "even"
+
+    def __post_init__(self) -> None:
+        if self.deal not in ("even", "weighted"):
+            raise ValueError(f"unknown way to deal periods: {self.deal!r}")
 
     def number(self, random: RowRandom, parents: Parents, cyclic: bool) -> Column:
         per_year = pools.PERIODS_PER_YEAR
@@ -78,11 +80,7 @@ class Periods:
                 "fiscal_period", range(1, per_year + 1), pools.PERIOD_WEIGHTS
             )
             return ((first + year) * 100 + period).cast("int")
-        if self.deal == "blocked":
-            if self.rows < 1:
-                raise ValueError("blocked periods need the number of rows")
-            position = F.floor(random.row * total / F.lit(self.rows))
-        elif cyclic:
+        if cyclic:
             position = F.pmod(random.row, F.lit(total))
         else:
             position = random.index("fiscal_year_period", total)
@@ -148,7 +146,7 @@ def general_ledger_fact(
     account_nbr = (
         keys.gl_account_nbr(account, parents.accounts, spec.style)
         if spec.cyclic
-        else keys.account_number(account, class_index, parents.accounts).cast("string")
+        else keys.account_number(account, class_index).cast("string")
     )
     currency = (
         cyclic_pick(expand_weights(pools.CURRENCIES, pools.CURRENCY_WEIGHTS), i)
@@ -287,7 +285,7 @@ def income_statement_fact(
     account_nbr = (
         keys.gl_account_nbr(F.col("account"), parents.accounts, spec.style)
         if spec.cyclic
-        else keys.account_number(F.col("account"), F.col("class_index"), parents.accounts)
+        else keys.account_number(F.col("account"), F.col("class_index"))
     )
     return project(
         valued,

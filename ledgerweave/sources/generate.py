@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerweave.functions import pools
 from ledgerweave.functions.calendar import fiscal_calendar, fiscal_years
 from ledgerweave.sources import dims, facts, hierarchies
-from ledgerweave.sources.facts import Parents, Periods
+from ledgerweave.sources.facts import Parents, PeriodDeal, Periods
 from ledgerweave.sources.schema import FACTS, LAYOUTS, TABLES, row_key
 from ledgerweave.sources.spec import ID, Spec, cores_for, id_range
 from ledgerweave.sources.tables import ROWS_PER_FILE, file_count
@@ -45,15 +45,28 @@ DIMENSION_GENERATORS = {
     "PartDisChannel_profit_center_hierarchy": hierarchies.part_dis_channel_profit_center_hierarchy,
 }
 
+#: Tables that list a fixed domain.
+FINITE = {
+    "atscale_geo_security": len(pools.SECURITY_REGIONS),
+    "finance_foreign_currency_exchange_rate": pools.EXCHANGE_RATE_ROWS,
+}
+
 
 @dataclass(frozen=True)
 class Volumes:
-    """Ledger rows, fiscal years and any row counts that differ from the defaults."""
+    """Ledger rows, fiscal years, any row counts that differ from the defaults, and how the
+    facts' rows are dealt to periods."""
 
     ledger_rows: int = 250
     first_fiscal_year: int = pools.DEFAULT_FISCAL_YEARS[0]
     last_fiscal_year: int = pools.DEFAULT_FISCAL_YEARS[1]
     rows: Mapping[str, int] = field(default_factory=dict)
+    periods: PeriodDeal = "even"
+
+    def __post_init__(self) -> None:
+        for table, most in FINITE.items():
+            if self.rows.get(table, 0) > most:
+                raise ValueError(f"{table} has {most} rows at most, not {self.rows[table]}")
 
     def of(self, table: str) -> int:
         """The number of rows of a table."""
@@ -87,9 +100,7 @@ class Volumes:
             marketplace_channels=self.of("geo_marketplace_channel_dim"),
             accounts=self.of("gl_account_dim"),
             measures=self.of("gl_account_zfsm_measures_hierarchy_dim"),
-            exchange_rates=min(
-                self.of("finance_foreign_currency_exchange_rate"), pools.EXCHANGE_RATE_ROWS
-            ),
+            exchange_rates=self.of("finance_foreign_currency_exchange_rate"),
         )
 
 
@@ -98,7 +109,6 @@ def generate(
     table: str,
     volumes: Volumes,
     spec: Spec,
-    periods: Periods = Periods(),
     ids: DataFrame | None = None,
 ) -> DataFrame:
     """A declared table, lazily.
@@ -107,7 +117,7 @@ def generate(
     for a dimension.
     """
     n = volumes.of(table)
-    parents = volumes.parents()
+    parents, periods = volumes.parents(), Periods(volumes.periods)
     if table == CALENDAR:
         years = fiscal_years(spark, volumes.first_fiscal_year, volumes.last_fiscal_year)
         return fiscal_calendar(years, volumes.first_fiscal_year)

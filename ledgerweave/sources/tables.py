@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerweave.sources.schema import LAYOUTS, Layout, row_key
 
@@ -48,23 +47,28 @@ def cluster(
 def zorder_key(df: DataFrame, by: Sequence[str], bits: int = ZORDER_BITS) -> Column:
     """The interleaved bits of several columns, each cut into 2^bits cells of equal depth.
 
-    Sorting by it keeps rows close in every column together.  The cells' bounds are
-    approximate quantiles, 2^bits - 1 numbers per column, from an aggregate over the data.
+    Sorting by it keeps rows close in every column together.
     """
-    numbers = _as_numbers(df, by)
-    steps = F.array(*(F.lit(k / (1 << bits)) for k in range(1, 1 << bits)))
-    bounds = df.agg(
-        *(F.percentile_approx(n, steps, 10_000).alias(f"q{i}") for i, n in enumerate(numbers))
-    ).first()
     key = F.lit(0).cast("bigint")
-    for i, number in enumerate(numbers):
-        cell = _cell(number, bounds[f"q{i}"] or [])
+    for i, column in enumerate(by):
+        cell = _cell(F.col(column), equal_depth_bounds(df, column, 1 << bits), 1 << bits)
         for bit in range(bits):
             one = F.shiftright(cell, bit).bitwiseAND(F.lit(1).cast("bigint"))
-            key = key.bitwiseOR(F.shiftleft(one, bit * len(numbers) + i))
+            key = key.bitwiseOR(F.shiftleft(one, bit * len(by) + i))
     return key
 
 
+def equal_depth_bounds(df: DataFrame, column: str, cells: int) -> list:
+    """The least value of each but the first of ``cells`` ranges with about as many rows each.
+
+    Spark's range exchange finds the ranges, on the column's own order and type; a value that
+    fills several ranges takes one.  At most ``cells`` values come back.
+    """
+    ranged = df.select(column).where(F.col(column).isNotNull()).repartitionByRange(cells, column)
+    firsts = ranged.groupBy(F.spark_partition_id().alias("range")).agg(F.min(column).alias("least"))
+    return [r["least"] for r in firsts.orderBy("range").collect()][1:]
+
+
 def zorder(
     df: DataFrame, by: Sequence[str], row_id: str, partitions: int | None = None
 ) -> DataFrame:
@@ -161,36 +165,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 
-def _cell(number: Column, bounds: Sequence[float]) -> Column:
-    """How many of the bounds lie at or below a value."""
-    if not bounds:
-        return F.lit(0).cast("bigint")
-    array = F.expr(f"array({', '.join(f'{b!r}D' for b in bounds)})")
-    passed = F.size(F.filter(array, lambda bound: bound <= number))
-    return F.coalesce(passed, F.lit(0)).cast("bigint")
-
-
-def _as_numbers(df: DataFrame, by: Sequence[str]) -> list[Column]:
-    """Doubles that order like the columns; a string counts by six bytes of it.
+def _cell(value: Column, bounds: Sequence, cells: int) -> Column:
+    """The cell of a value by how many of the bounds lie at or below it; null counts as lowest.
 
-    Those six follow the prefix that the least and the greatest string share: every
-    string between the two has it as well.
+    Columns with fewer values than cells are spread over all of them, so that they weigh as
+    much in the interleaved key as others.
     """
-    texts = [c for c in by if isinstance(df.schema[c].dataType, T.StringType)]
-    ends = {}
-    if texts:
-        ends = df.agg(
-            *(F.array(F.min(c), F.max(c)).alias(c) for c in texts)
-        ).first()
-        ends = dict(zip(texts, ends))
-    numbers = []
-    for c in by:
-        column = F.col(c)
-        if c in ends:
-            shared = os.path.commonprefix([e or "" for e in ends[c]])
-            window = F.substring(F.encode(column, "UTF-8"), len(shared.encode()) + 1, 6)
-            column = F.conv(F.rpad(F.hex(window), 12, "0"), 16, 10)
-        elif isinstance(df.schema[c].dataType, T.DateType):
-            column = F.unix_date(column)
-        numbers.append(column.cast("double"))
-    return numbers
+    if not bounds:
+        return F.lit(0).cast("bigint")
+    passed = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda bound: bound <= value))
+    spread = F.floor(passed * F.lit(cells) / F.lit(len(bounds) + 1))
+    return F.when(value.isNull(), 0).otherwise(spread).cast("bigint")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerweave.operators import checks
@@ -104,3 +105,32 @@ def test_row_counts(spark):
         for r in checks.row_counts({"a": spark.range(3), "b": spark.range(0)}).collect()
     }
     assert found == {"a": 3, "b": 0}
+
+
+KEYS = {
+    "bigint": "id",
+    "int": "cast(id as int)",
+    "decimal": "cast(id as decimal(10,2))",
+    "double": "cast(id as double)",
+    "date": "date_add(date'2024-01-01', cast(id as int))",
+    "timestamp": "cast(date_add(date'2024-01-01', cast(id as int)) as timestamp)",
+}
+
+
+@pytest.mark.parametrize(
+    "child, parent",
+    [("decimal", "bigint"), ("bigint", "decimal"), ("int", "double"), ("date", "timestamp")],
+)
+def test_mixed_key_types_meet_in_their_common_type(spark, child, parent):
+    tables = {
+        "c": spark.range(5).selectExpr(f"{KEYS[child]} as k"),
+        "p": spark.range(4).selectExpr(f"{KEYS[parent]} as k"),
+    }
+    found = checks.orphan_report(tables, [Relation("c", "k", "p", "k")]).first()
+    assert (found.child_keys, found.orphan_keys, found.orphan_rows) == (5, 1, 1)
+
+
+def test_text_and_numbers_are_not_compared(spark):
+    tables = {"c": spark.range(3), "p": spark.range(3).select(F.col("id").cast("string"))}
+    with pytest.raises(ValueError, match="can't be compared"):
+        checks.orphan_report(tables, [Relation("c", "id", "p", "id")])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerweave.functions.pools import SECURITY_REGIONS
 from ledgerweave.functions.rng import RowRandom
 from ledgerweave.operators import fk
-from ledgerweave.operators.joins import is_small, lookup, salted_lookup
+from ledgerweave.operators.joins import Lookup, hot_keys, is_small, lookup, lookups
 
 
 def test_dense_ordinals_number_the_distinct_keys(spark):
@@ -77,27 +77,34 @@ def hot_child(spark):
     return spark.range(6_000).select("id", key.alias("k"))
 
 
-def test_salted_lookup_equals_a_plain_left_join(spark):
+def test_split_join_equals_a_plain_left_join(spark):
     child = hot_child(spark)
     parent = spark.range(4_000).select(
-        F.col("id").alias("_parent_key"), F.concat(F.lit("v"), F.col("id")).alias("v")
+        F.col("id").alias("pk"), F.concat(F.lit("v"), F.col("id")).alias("v")
     )
-    salted = salted_lookup(child, parent, "k", "id")
-    plain = child.join(parent, child["k"] == parent["_parent_key"], "left").drop("_parent_key")
-    assert salted.columns == plain.columns
-    assert salted.count() == 6_000
-    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    split = lookup(child, parent, ("k", "pk"), ["v"], "id", 0, rows_per_task=500)
+    plain = child.join(parent, child["k"] == parent["pk"], "left").drop("pk")
+    assert split.columns == plain.columns
+    assert split.count() == 6_000
+    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
 
 
-def test_only_hot_keys_are_replicated(spark):
+def test_a_hot_key_gets_as_many_tasks_as_its_rows_need(spark):
     child = hot_child(spark)
-    parent = spark.range(4_000).select(F.col("id").alias("_parent_key"))
+    assert [tuple(r) for r in hot_keys(child, "k", 500).collect()] == [(1, 4)]
+    assert hot_keys(child, "k", 5_000) is None
+    parent = spark.range(4_000).select(F.col("id").alias("pk"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = salted_lookup(child, parent, "k", "id")
+        joined = lookup(child, parent, ("k", "pk"), [], "id", 0, rows_per_task=500)
         tasks = joined.where("k = 1").groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert 3 <= len(tasks) <= 4
     assert sum(r[1] for r in tasks) == child.where("k = 1").count()
 
 
@@ -105,11 +112,28 @@ def test_lookup_broadcasts_only_within_the_bound(spark, physical_plan):
     child = hot_child(spark)
     parent = spark.range(100).select(F.col("id").alias("pk"), (F.col("id") * 2).alias("twice"))
     small = lookup(child, parent, ("k", "pk"), ["twice"], "id")
-    large = lookup(child, parent, ("k", "pk"), ["twice"], "id", max_broadcast_rows=99)
+    large = lookup(child, parent, ("k", "pk"), ["twice"], "id", 99, rows_per_task=500)
     assert "BroadcastHashJoin" in physical_plan(small)
     assert "_salt" in physical_plan(large)
     assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
 
 
-def test_is_small_counts(spark):
-    assert is_small(spark.range(10), 10) and not is_small(spark.range(11), 10)
+def test_chained_lookups_hold_the_child_once(spark, physical_plan, tmp_path):
+    hot_child(spark).withColumns({f"k{i}": F.col("k") + i for i in range(5)}).write.parquet(
+        f"{tmp_path}/child"
+    )
+    child = spark.read.parquet(f"{tmp_path}/child")
+    parent = spark.range(4_000).select(F.col("id").alias("pk"), (F.col("id") * 2).alias("v"))
+    steps = [
+        Lookup(parent.withColumnRenamed("v", f"v{i}"), f"k{i}", "pk", [f"v{i}"]) for i in range(5)
+    ]
+    joined = lookups(child, steps, "id", 0, rows_per_task=500)
+    assert physical_plan(joined).count(f"{tmp_path}/child") == 1
+    first = joined.where("k = 7").select(*(f"v{i}" for i in range(5))).first()
+    assert tuple(first) == (14, 16, 18, 20, 22)
+
+
+def test_is_small_measures_texts_too(spark):
+    assert is_small(spark.range(10), 10 * 60) and not is_small(spark.range(1_000), 10 * 60)
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1_000).alias("s"))
+    assert not is_small(wide, 10 * 60)

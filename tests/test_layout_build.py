@@ -171,11 +171,49 @@ def test_facts_alone_refer_to_the_same_parents(spark, salted):
     assert checks.orphan_keys(facts, "profit_center_id", centers, "profit_center_id").count() == 0
 
 
-def test_append_build_doubles_a_table(spark, salted):
+def test_appends_take_new_ids_and_report_what_they_wrote(spark, salted):
     target = scratch_path(spark, "build")
-    for mode in ("overwrite", "append"):
-        build(spark, target, salted, SMALL, scope="company_code", mode=mode)
-    assert table_of(spark, target, "company_code").count() == 160
+    ledger, n = "general_ledger_fact", SMALL.of("general_ledger_fact")
+    for i, mode in enumerate(("overwrite", "append", "append")):
+        report = build(
+            spark, target, salted, SMALL, scope=ledger, mode=mode, first_ids={ledger: i * n}
+        )
+        assert [(r.status, r.row_cnt) for r in report.collect()] == [("OK", n)]
+    rows = table_of(spark, target, ledger)
+    assert rows.count() == 3 * n
+    assert checks.duplicate_keys(rows, ["general_ledger_fact_id"]).count() == 0
+
+
+def test_a_build_writes_what_generate_makes_and_leaves_the_session(spark, salted):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    target = scratch_path(spark, "build")
+    try:
+        build(spark, target, salted, SMALL, scope="facts")
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for table in FACTS:
+        made, written = generate(spark, table, SMALL, salted), table_of(spark, target, table)
+        assert made.exceptAll(written).count() == 0 and written.exceptAll(made).count() == 0
+
+
+def test_files_of_a_built_fact_span_few_profit_centers(spark, salted, monkeypatch):
+    n = 60_000
+    sized = Volumes(ledger_rows=n, first_fiscal_year=2024, last_fiscal_year=2024)
+    clustered = build_module.generate_clustered
+    monkeypatch.setattr(
+        build_module,
+        "generate_clustered",
+        lambda *a, **k: clustered(*a, **k, rows_per_file=n // (13 * 30)),
+    )
+    target = scratch_path(spark, "build")
+    build(spark, target, salted, sized, scope="general_ledger_fact")
+    rows = table_of(spark, target, "general_ledger_fact").withColumn("file", F.input_file_name())
+    per_file = rows.groupBy("file").agg(
+        (F.max("profit_center_id") - F.min("profit_center_id")).alias("span")
+    )
+    files, span = per_file.agg(F.count("*"), F.avg("span")).first()
+    assert files >= 13 * 30 and span < 200
 
 
 def test_a_failure_skips_its_children_only(spark, salted, monkeypatch):

@@ -100,3 +100,23 @@ def test_sign_share(spark):
         F.avg((RowRandom("id").sign("s", 0.12) < 0).cast("int"))
     ).first()[0]
     assert share == pytest.approx(0.12, abs=0.01)
+
+
+def test_weights_may_have_any_total(spark):
+    random = RowRandom("id")
+    rows = spark.range(N).select(
+        random.weighted("w", ["a", "b"], [700, 300]).alias("big"),
+        random.weighted("w", ["a", "b"], [70, 30]).alias("small"),
+    )
+    share, same = rows.agg(
+        F.avg((F.col("big") == "a").cast("int")), F.avg((F.col("big") == F.col("small")).cast("int"))
+    ).first()
+    assert share == pytest.approx(0.7, abs=0.02) and same > 0.99
+    with pytest.raises(ValueError):
+        random.weighted("w", ["a"], [700, 300])
+
+
+def test_updates_never_precede_their_creation(spark):
+    created, updated = RowRandom("id").audit_dates("t", "2018-01-01", "2024-12-31", 0.3)
+    rows = spark.range(N).select(created.alias("c"), updated.alias("u"))
+    assert rows.where("u < c").count() == 0

@@ -175,3 +175,10 @@ def test_division_view_is_its_parents_projection(spark, salted):
     view = generate(spark, "division_text_dim_v", SMALL, salted)
     assert view.exceptAll(parent.select(view.columns)).count() == 0
     assert view.where(F.col("division_nbr") == "07").first().division_nm == "Footwear Division 07"
+
+
+def test_finite_tables_refuse_more_rows_than_they_list():
+    assert Volumes().of("atscale_geo_security") == 15
+    assert Volumes().of("finance_foreign_currency_exchange_rate") == 90
+    with pytest.raises(ValueError, match="90 rows at most"):
+        Volumes(rows={"finance_foreign_currency_exchange_rate": 300})
