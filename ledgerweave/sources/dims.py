@@ -533,6 +533,42 @@ def geo_wholesale_value_business_dim(ids: DataFrame, n: int, spec: Spec) -> Data
     )
 
 
+# The store profile's columns that stay empty.
+EMPTY_STORE_COLUMNS = (
+    "address_match_type_name", "application_reason_desc", "building_floor_nbr",
+    "china_store_sub_channel_cd", "china_store_sub_channel_desc", "connect_global_store_key_cd",
+    "customer_city_local_name", "customer_id", "customer_local_province_state_name",
+    "customer_nbr", "customer_ship_to_name", "dma_cd", "dma_desc", "fixture_type_name",
+    "fixture_program_name", "global_store_channel_class_cd", "global_store_channel_class_desc",
+    "greater_china_sub_territory_name", "id", "global_key_city_name", "landlord", "change_dt",
+    "lease_expiration_dt", "lease_status_cd", "lease_status_desc",
+    "local_language_store_street_address1", "local_language_store_street_address2",
+    "location_name", "mall_grade", "ncx_concept", "original_pos_id", "planned_retail_concept",
+    "pos_retailer_location_id", "postal_cd", "province_state_name", "real_estate_category_cd",
+    "real_estate_category_desc", "record_type", "retail_concept_actual_dt", "retail_concept_size",
+    "retail_concept_target_dt", "retail_concept_volume", "ship_to_customer_nbr",
+    "store_city_tier_nbr", "store_close_dt", "store_closure_reason_desc",
+    "store_distribution_type_cd", "store_distribution_type_desc", "store_district_name",
+    "store_environment_cd", "store_environment_desc", "store_front_name_english",
+    "store_front_name_local", "store_hotspot_id", "store_hotspot_name_english",
+    "store_hotspot_name_local", "store_hotspot_tier_desc", "store_last_open_dt",
+    "store_last_renovation_dt", "store_last_renovation_type_cd",
+    "store_last_renovation_type_desc", "store_lead_category_cd", "store_lead_category_name",
+    "store_name_local", "store_priority", "store_street_address1", "store_street_address2",
+    "store_sub_type_cd", "store_sub_type_desc", "telephone_nbr", "total_stories",
+    "vendor_pos_key", "store_short_name_english", "store_master_id", "geography_abbrv",
+    "stream_change_timestamp", "store_district_cd", "climate_cd", "climate_name",
+    "real_estate_type_cd", "real_estate_type_name", "retail_sales_area_cd",
+    "retail_sales_area_name", "retail_sales_district_cd", "retail_sales_district_name",
+    "retail_sub_concept_cd", "retail_sub_concept_name", "sales_organization_cd",
+    "sales_organization_name", "record_type_cd", "territory_cd", "retail_sales_territory_cd",
+    "retail_sales_territory_name", "retail_store_district_cd", "retail_store_district_name",
+    "banner_division_text", "marketplace_store_tier_cd", "marketplace_store_tier_name",
+    "store_score", "partner_store_positioning_cd", "partner_store_positioning_name",
+    "geo_key_city_cd", "geo_key_city_name", "key_trade_zone_cd", "key_trade_zone_name",
+)
+
+
 def retail_global_store_profile_v(ids: DataFrame, n: int, spec: Spec) -> DataFrame:
     table, i = "retail_global_store_profile_v", F.col(ID)
     sized = ids.select(
@@ -583,5 +619,4 @@ def retail_global_store_profile_v(ids: DataFrame, n: int, spec: Spec) -> DataFra
         "region_cd": region,
         "comparable_status": every(i, 3, "Non-Comparable", "Comparable"),
     }
-    unused = tuple(c for c in schema(table).names if c not in columns)
-    return project(sized, table, columns, unused)
+    return project(sized, table, columns, EMPTY_STORE_COLUMNS)

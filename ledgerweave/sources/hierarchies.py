@@ -214,7 +214,8 @@ def _account_hierarchy(n: int, spec: Spec, accounts: int) -> dict[str, Column]:
         first_account = cyclic_number(i, 7_000, 1_000_000)
     else:
         account = keys.gl_account_nbr(cyclic_number(i, accounts, 1), accounts)
-        first_account = account.cast("int")
+        # The declared type is an int: the account's seven digits, without its round.
+        first_account = F.pmod(account.cast("bigint"), F.lit(keys.ROUND)).cast("int")
     return {
         "gl_account_hierarchy_id": i,
         "gl_account_nbr": account,
