@@ -27,6 +27,7 @@ BLOCK_WORDS = 128
 SHARD_BLOCKS = 4096
 MAX_EPOCHS = 3
 SHARD_GROUP = 1024
+TASK_SHARDS = 8
 SEED = 17
 
 
@@ -103,7 +104,7 @@ def shard_counts(sources: DataFrame, shard_blocks: int, seed: int) -> DataFrame:
 
     spark = sources.sparkSession
     draws = spark.range(shards).mapInPandas(draw, "shard long, number int, drawn long")
-    draws = draws.withColumn("part", F.floor(F.col("shard") / SHARD_GROUP))
+    draws = written(draws, "draws").withColumn("part", F.floor(F.col("shard") / SHARD_GROUP))
     draws = _before(draws, ["number"], "drawn", "before").join(
         sources.select("number", "slots", "blocks"), "number"
     )
@@ -136,7 +137,7 @@ def shard_counts(sources: DataFrame, shard_blocks: int, seed: int) -> DataFrame:
     ).where("count > 0")
 
 
-def draw_slots(counts: DataFrame, seed: int) -> DataFrame:
+def draw_slots(counts: DataFrame, tasks: int, seed: int) -> DataFrame:
     """(shard, number, slot, block) of every output slot.
 
     A source's slots run on over the shards.  Each full round over its blocks is one epoch
@@ -156,7 +157,8 @@ def draw_slots(counts: DataFrame, seed: int) -> DataFrame:
                     {"shard": shard, "number": number, "slot": slot, "block": block}
                 )
 
-    return counts.select("shard", "number", "blocks", "count", "first").mapInPandas(
+    columns = counts.select("shard", "number", "blocks", "count", "first")
+    return columns.repartition(tasks, "shard").mapInPandas(
         run, "shard long, number int, slot long, block long"
     )
 
@@ -226,8 +228,11 @@ def mix_sources(
         "doc_id", "number", "at", "block", (begin - F.col("at")).alias("start"),
         (end - begin).alias("length"),
     )
-    slots = draw_slots(shard_counts(sources, shard_blocks, seed), seed)
-    return slots.join(parts, ["number", "block"]), placed
+    wanted = sources.agg(F.sum("slots")).first()[0] or 0
+    tasks = max(1, math.ceil(wanted / (shard_blocks * TASK_SHARDS)))
+    slots = draw_slots(shard_counts(sources, shard_blocks, seed), tasks, seed)
+    # Sizes of what Python makes are guesses, so no side may be broadcast by them.
+    return slots.hint("merge").join(parts, ["number", "block"]), placed
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
