@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +20,7 @@ ORDERS = (1, 2, 3)
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
 
