@@ -114,7 +114,11 @@ def cutting_stock(demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, i
     inverse = np.diag([1.0 / (capacity // (s + 1)) for s in sizes])
     level = inverse @ need
     costs = np.ones(rows)
-    for _ in range(50 * rows):
+    for step in range(50 * rows):
+        if step % 64 == 63:  # rounding errors grow with each pivot: one Newton step undoes them
+            error = np.eye(rows) - np.einsum("ij,jk->ik", inverse, np.stack(columns, axis=1))
+            inverse = inverse + np.einsum("ij,jk->ik", error, inverse)
+            level = inverse @ need
         duals = costs @ inverse
         worst = int(duals.argmin())
         if duals[worst] < -EPSILON:  # a size would rather be covered too often
@@ -146,7 +150,14 @@ def cutting_stock(demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, i
             counts = np.rint(column).astype(np.int64)
             plan.append((spread(counts, sizes, capacity), times))
             left -= counts * times
-    plan += [(spread(c, sizes, capacity), 1) for c in first_fit(np.maximum(left, 0), sizes, capacity)]
+    left = np.maximum(left, 0)
+    for i, size in enumerate(sizes):  # all but what rounding can leave, in bulk
+        each = capacity // (int(size) + 1)
+        times = int(left[i]) // each - rows
+        if times > 0:
+            plan.append((spread(each * (np.arange(rows) == i), sizes, capacity), times))
+            left[i] -= each * times
+    plan += [(spread(c, sizes, capacity), 1) for c in first_fit(left, sizes, capacity)]
     return plan
 
 
