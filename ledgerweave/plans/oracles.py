@@ -537,7 +537,8 @@ def dim(table: str, columns: dict[str, str], levels: tuple[int, int] | None = No
     return f"WITH RECURSIVE {ids}, {sizes} " + table_sql(table, "ids, z", columns)
 
 
-def dimensions() -> dict[str, str]:
+def dimensions(channel: str | None = None) -> dict[str, str]:
+    """SQL of the dimensions; ``channel`` replaces the customers' weighted draw."""
     copied = {
         "responsive_business_model": pools.BUSINESS_MODELS,
         "demand_stream": pools.DEMAND_STREAMS,
@@ -559,7 +560,7 @@ def dimensions() -> dict[str, str]:
         "retail_global_store_profile_v",
     )
     brand = weighted(f"{product}.brand", pools.BRANDS, pools.BRAND_WEIGHTS, "i")
-    channel = weighted(
+    channel = channel or weighted(
         f"{customer}.channel", pools.CUSTOMER_CHANNELS, pools.CUSTOMER_CHANNEL_WEIGHTS, "i"
     )
     platform = cyc(pools.PLATFORMS, "i")
@@ -977,6 +978,10 @@ def dimensions() -> dict[str, str]:
 
 
 _CYCLIC_SHORT = f"{cyc(_LABELS, 'i')} || ' Acct ' || {cyclic_account('i')}"
+_CHANNELS_DEALT = [
+    c for c, w in zip(pools.CUSTOMER_CHANNELS, pools.CUSTOMER_CHANNEL_WEIGHTS) for _ in range(w)
+]
+CYCLIC_CUSTOMERS = dimensions(cyc(_CHANNELS_DEALT, "i"))["dim_finance_customer_dim_v"]
 CYCLIC_ACCOUNTS = {
     "gl_account_nbr": cyclic_account("i"),
     "gl_account_short_desc": _CYCLIC_SHORT,
@@ -1516,6 +1521,7 @@ FROM events GROUP BY event_type""",
     "ledger_cyclic": LEDGER_CYCLIC,
     "income_statement_cyclic": INCOME_STATEMENT_CYCLIC,
     "dim_gl_account_dim_cyclic": dim("gl_account_dim", CYCLIC_ACCOUNTS),
+    "dim_finance_customer_dim_v_cyclic": CYCLIC_CUSTOMERS,
     "ledger_weighted_periods": f"""
 SELECT fiscal_year_period_nbr, count(*) AS row_cnt,
        sum(transaction_currency_amt)::DECIMAL(38,5) AS amt

@@ -379,13 +379,13 @@ def derived_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- dimensions and facts ----------------------------------------------------------------
 
 
-def dimension_query(table: str) -> Query:
+def dimension_query(table: str, spec: Spec = SPEC) -> Query:
     source, key = DIMENSION_ROWS[table]
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = read(spark, sf_dir, source)
         sized = Volumes(rows={table: rows.count()})
-        return generate(spark, table, sized, SPEC, ids=ids_from(rows, F.col(key) + 1))
+        return generate(spark, table, sized, spec, ids=ids_from(rows, F.col(key) + 1))
 
     return query
 
@@ -680,6 +680,11 @@ def ledger_in_dollars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("transaction_currency_cd").alias("from_currency_cd"),
         F.floor(F.col("fiscal_year_period_nbr") / 100).cast("int").alias("fiscal_year"),
     ).agg(F.count("*").alias("row_cnt"), F.sum("transaction_currency_amt").alias("amt"))
+    return in_dollars(summed, rates)
+
+
+def in_dollars(summed: DataFrame, rates: DataFrame) -> DataFrame:
+    """Sums per currency and year with their value at the month-end rate."""
     rates = rates.where("exchange_rate_cd = 'P' and to_currency_cd = 'USD'").select(
         "from_currency_cd", F.col("exchange_rate").cast("decimal(10,8)")
     )
@@ -826,10 +831,12 @@ def cyclic_income_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cyclic_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The account dimension by row number, an account per part."""
-    parts = read(spark, sf_dir, "part")
-    sized = Volumes(rows={"gl_account_dim": parts.count()})
-    ids = ids_from(parts, F.col("p_partkey") + 1)
-    return generate(spark, "gl_account_dim", sized, CYCLIC, ids=ids)
+    return dimension_query("gl_account_dim", CYCLIC)(spark, sf_dir)
+
+
+def cyclic_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer dimension by row number: its channel is a weighted pick."""
+    return dimension_query("finance_customer_dim_v", CYCLIC)(spark, sf_dir)
 
 
 def weighted_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1005,6 +1012,7 @@ QUERIES: dict[str, Query] = {
     "ledger_cyclic": cyclic_ledger,
     "income_statement_cyclic": cyclic_income_statement,
     "dim_gl_account_dim_cyclic": cyclic_accounts,
+    "dim_finance_customer_dim_v_cyclic": cyclic_customers,
     "ledger_weighted_periods": weighted_ledger,
 }
 

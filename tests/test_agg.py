@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerweave.operators import agg
+from ledgerweave.plans.queries import in_dollars
 from ledgerweave.sources.generate import Volumes, generate
 from ledgerweave.sources.tables import read_table, save_table, scratch_path
 
@@ -101,3 +104,16 @@ def test_unknown_measure_is_an_error(ledger):
     view = agg.MeasureView(ledger, {"company": "company_cd"}, {"n": "count(*)"})
     with pytest.raises(KeyError):
         view.query(["company"], ["nope"])
+
+
+def test_conversion_holds_sums_of_any_realistic_size(spark, salted):
+    rates = generate(spark, "finance_foreign_currency_exchange_rate", Volumes(), salted)
+    summed = spark.createDataFrame(
+        [("EUR", 2024, 1, Decimal("12345678901234567.12345")), ("JPY", 2024, 1, Decimal("-1e16"))],
+        "from_currency_cd string, fiscal_year int, row_cnt bigint, amt decimal(38,5)",
+    )
+    got = {r.from_currency_cd: r.usd_amt for r in in_dollars(summed, rates).collect()}
+    assert got["EUR"] == (Decimal("12345678901234567.12345") * Decimal("1.08695652")).quantize(
+        Decimal("0.0001"), ROUND_HALF_UP
+    )
+    assert got["JPY"] == Decimal("-1e16") * Decimal("0.00668896")
