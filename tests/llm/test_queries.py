@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
 
 import duckdb
+import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from ledgerweave.llm import ngram_join, toxicity
 from ledgerweave.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 @pytest.mark.parametrize("name", ORACLES)
@@ -59,7 +65,27 @@ def test_pipeline_equals_its_steps_by_brute_force(spark):
         docs = stage(spark, docs, SF)
     assert {r["doc_id"] for r in docs.collect()} == want
 
+    sizes = Counter({r["doc_id"]: len(WORD.findall(r["text"])) for r in docs.collect()})
+    mixed = stages[3][1](spark, docs, SF).collect()
+    taken: Counter = Counter()
+    for r in mixed:
+        words = WORD.findall(r["text"])
+        taken[r["doc_id"]] += len(words)
+        # What is drawn is a part of the document, in order.
+        assert " ".join(words) in " ".join(WORD.findall(texts[r["doc_id"]])) or len(words) > 128
+    assert all(0 < n <= 3 * sizes[i] for i, n in taken.items())
+    assert abs(sum(taken.values()) - sum(sizes.values())) < 0.03 * sum(sizes.values())
+
     out = corpus_pipeline.run(spark, SF).toPandas()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces: Counter = Counter()
+    for r in mixed:
+        ids = [*tokenizer.encode(r["text"], add_special_tokens=False).ids, 1]
+        for start in range(0, len(ids), 2048):
+            piece = np.array(ids[start : start + 2048], "<u4")
+            pieces[r["doc_id"], start, len(piece), zlib.crc32(piece.tobytes()), len(ids)] += 1
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    assert Counter(out[columns].itertuples(index=False, name=None)) == pieces
     assert out.columns.tolist() == [
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
     ]
