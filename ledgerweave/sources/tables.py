@@ -15,6 +15,7 @@ from ledgerweave.sources.schema import LAYOUTS, Layout, row_key
 
 ROWS_PER_FILE = 2_500_000  # about 128 MB of ledger rows
 ZORDER_BITS = 6
+FINE_RANGES = 4
 
 
 def file_count(rows: int, rows_per_file: int = ROWS_PER_FILE) -> int:
@@ -61,12 +62,25 @@ def zorder_key(df: DataFrame, by: Sequence[str], bits: int = ZORDER_BITS) -> Col
 def equal_depth_bounds(df: DataFrame, column: str, cells: int) -> list:
     """The least value of each but the first of ``cells`` ranges with about as many rows each.
 
-    Spark's range exchange finds the ranges, on the column's own order and type; a value that
-    fills several ranges takes one.  At most ``cells`` values come back.
+    Spark's range exchange deals the column, in its own order and type, into a few times as
+    many fine ranges from a sample; their exact counts then say where each cell begins.  A
+    value that fills several cells takes one.  Only the fine ranges come back.
     """
-    ranged = df.select(column).where(F.col(column).isNotNull()).repartitionByRange(cells, column)
-    firsts = ranged.groupBy(F.spark_partition_id().alias("range")).agg(F.min(column).alias("least"))
-    return [r["least"] for r in firsts.orderBy("range").collect()][1:]
+    fine = cells * FINE_RANGES
+    ranged = df.select(column).where(F.col(column).isNotNull()).repartitionByRange(fine, column)
+    found = (
+        ranged.groupBy(F.spark_partition_id().alias("range"))
+        .agg(F.min(column).alias("least"), F.count("*").alias("rows"))
+        .orderBy("range")
+        .collect()
+    )
+    total, before, bounds = sum(r["rows"] for r in found), 0, []
+    for r in found:
+        # The range begins the next cell if that is nearer than the cell's end is.
+        if before and (before + r["rows"] / 2) * cells >= (len(bounds) + 1) * total:
+            bounds.append(r["least"])
+        before += r["rows"]
+    return bounds
 
 
 def zorder(
