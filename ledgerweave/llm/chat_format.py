@@ -73,7 +73,8 @@ class Flattener:
         return self._attach("image", part, math.prod(math.ceil(s / PIXELS) for s in sides))
 
     def visit_audio(self, part: dict) -> str:
-        return self._attach("audio", part, math.ceil((part.get("seconds") or 0) * TOKENS_PER_SECOND))
+        seconds = part.get("seconds") or 0
+        return self._attach("audio", part, math.ceil(seconds * TOKENS_PER_SECOND))
 
     def visit_document(self, part: dict) -> str:
         return self._attach("document", part, (part.get("pages") or 1) * TOKENS_PER_PAGE)
@@ -121,7 +122,10 @@ def format_turns(conversations: DataFrame) -> DataFrame:
 
     content = F.col("parts") if typed else F.col("text").cast("string").alias("text")
     chosen = conversations.select(
-        F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), content
+        F.col("conv_id").cast("long"),
+        F.col("turn").cast("long"),
+        F.col("role").cast("string"),
+        content,
     )
     return chosen.mapInArrow(run, TURN_SCHEMA)
 

@@ -192,7 +192,9 @@ def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
-def append_columns(docs: DataFrame, compute, names: Sequence[str], types: Sequence[str]) -> DataFrame:
+def append_columns(
+    docs: DataFrame, compute, names: Sequence[str], types: Sequence[str]
+) -> DataFrame:
     """All columns of ``docs`` and those that ``compute(batch)`` returns as Arrow arrays."""
     schema = docs.schema
     for name, kind in zip(names, types):

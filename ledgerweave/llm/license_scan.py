@@ -149,9 +149,8 @@ def scan(docs: DataFrame) -> DataFrame:
                 columns = [batch.column("doc_id"), *part.columns]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *part.schema.names])
 
-    span = pa.struct(
-        [("start", pa.int64()), ("end", pa.int64()), ("label", pa.string()), ("score", pa.float64())]
-    )
+    places = [("start", pa.int64()), ("end", pa.int64())]
+    span = pa.struct([*places, ("label", pa.string()), ("score", pa.float64())])
     longs = [(c, pa.int64()) for c in ("n_words", "n_base", "first_word", "last_word")]
     found = pa.schema(
         [*longs, ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()),

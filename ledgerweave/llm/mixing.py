@@ -186,7 +186,10 @@ def permuted(index: np.ndarray, n: int, key: tuple[int, ...]) -> np.ndarray:
 
 
 def mix_sources(
-    docs: DataFrame, block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED
+    docs: DataFrame,
+    block_words: int = BLOCK_WORDS,
+    shard_blocks: int = SHARD_BLOCKS,
+    seed: int = SEED,
 ) -> tuple[DataFrame, DataFrame]:
     """The drawn pieces, and the placed documents with their source's figures.
 

@@ -151,7 +151,9 @@ def first_lists(units: DataFrame, round_: int, count: int) -> DataFrame:
     block = F.pmod(
         F.xxhash64("node", "table"), F.ceil(F.coalesce("size", F.lit(1)) / BLOCK).cast("long")
     )
-    members = dealt.select("node", F.col("table").alias("a"), F.col("key").alias("b"), block.alias("c"))
+    members = dealt.select(
+        "node", F.col("table").alias("a"), F.col("key").alias("b"), block.alias("c")
+    )
     return nearest_in_groups(members, units)
 
 
@@ -175,7 +177,8 @@ def refined(lists: DataFrame, units: DataFrame) -> DataFrame:
 def close_edges(lists: DataFrame) -> DataFrame:
     """(a, b): pairs in the lists that may be links."""
     pairs = lists.select(F.col("node").alias("a"), F.explode("list").alias("to"))
-    return pairs.where(F.col("to.sim") >= THRESHOLD - MARGIN).select("a", F.col("to.node").alias("b"))
+    close = pairs.where(F.col("to.sim") >= THRESHOLD - MARGIN)
+    return close.select("a", F.col("to.node").alias("b"))
 
 
 def links_within(clusters: DataFrame, units: DataFrame) -> DataFrame:
@@ -230,10 +233,10 @@ def audit(units: DataFrame, clusters: DataFrame, count: int) -> float:
     by_size: dict[int, list[int]] = {}
     for i, r in enumerate(chosen):
         by_size.setdefault(len(r["unit"]), []).append(i)
-    asked = {
-        s: (nodes[rows], np.frombuffer(b"".join(bytes(chosen[i]["unit"]) for i in rows)).reshape(len(rows), -1))
-        for s, rows in by_size.items()
-    }
+    asked = {}
+    for size, rows in by_size.items():
+        packed = b"".join(bytes(chosen[i]["unit"]) for i in rows)
+        asked[size] = nodes[rows], np.frombuffer(packed).reshape(len(rows), -1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,8 +254,10 @@ def audit(units: DataFrame, clusters: DataFrame, count: int) -> float:
             yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
 
     truth = units.mapInArrow(run, "a long, b long")
-    of = [clusters.select(F.col("node").alias(c), F.col("component").alias(f"in_{c}")) for c in "ab"]
-    joined = truth.join(of[0], "a", "left").join(of[1], "b", "left")
+    joined = truth
+    for end in "ab":
+        of = clusters.select(F.col("node").alias(end), F.col("component").alias(f"in_{end}"))
+        joined = joined.join(of, end, "left")
     same = F.coalesce(F.col("in_a") == F.col("in_b"), F.lit(False))
     found, total = joined.agg(F.sum(same.cast("long")), F.count("*")).first()
     return found / total if total else 1.0

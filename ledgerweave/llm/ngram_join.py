@@ -177,9 +177,8 @@ def candidate_edges(sets: DataFrame) -> DataFrame:
     is compared block by block.  A task gives back a forest of its surviving pairs.
     """
     width = 4 * BAND_ROWS
-    bands = F.array(
-        *(F.xxhash64(F.lit(j), F.substring("signature", width * j + 1, width)) for j in range(BANDS))
-    )
+    parts = [F.substring("signature", width * j + 1, width) for j in range(BANDS)]
+    bands = F.array(*(F.xxhash64(F.lit(j), part) for j, part in enumerate(parts)))
     spread = sets.where("shingles > 0").select("node", F.explode(bands).alias("band"))
     counted = spread.groupBy("band").agg(
         F.count("*").alias("members"),
@@ -235,10 +234,13 @@ def verified(docs: DataFrame, sets: DataFrame, clusters: DataFrame) -> DataFrame
             ))
             signed = [r.tobytes() for r in signatures(values, counts)]
             arrays = [batch.column(c) for c in names[:4]]
-            arrays += [list_array(values.view(np.int64), counts, pa.int64()), pa.array(signed, pa.binary())]
+            sets_of = list_array(values.view(np.int64), counts, pa.int64())
+            arrays += [sets_of, pa.array(signed, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names).filter(pa.array(own))
 
-    columns = "component long, node long, members long, copies long, set array<long>, signature binary"
+    columns = (
+        "component long, node long, members long, copies long, set array<long>, signature binary"
+    )
     with_sets = picked.mapInArrow(shingle, columns).dropDuplicates(["component", "node"])
     keyed = block_pairs(with_sets, "component", "node", "members", CLUSTER_BLOCK)
 
@@ -278,7 +280,8 @@ def jaccard(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Exact similarity of pairs of sorted sets."""
     sizes = np.array([len(s) for s in sets])
     if len(x) < 300:
-        both = np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(x, y)])
+        common = (np.intersect1d(sets[a], sets[b], assume_unique=True) for a, b in zip(x, y))
+        both = np.array([len(c) for c in common])
     else:
         both = _all_overlaps(sets)[x, y]
     return both / np.maximum(1, sizes[x] + sizes[y] - both)

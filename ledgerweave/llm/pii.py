@@ -184,17 +184,14 @@ def learn(docs: DataFrame, sample_size: int = SAMPLE) -> Tagger | None:
             for text in batch.column("text").to_pylist():
                 spans = base_spans(text or "")
                 for start, part in windows(text or ""):
+                    end = start + len(part)
+                    touching = [s for s in spans if s[1] < end and s[2] > start]
+                    if any(a < start or b > end for _, a, b in touching):
+                        continue  # a span is cut, so its characters have no right label
                     inside = [
-                        {"kind": k, "start": a - start, "end": b - start}
-                        for k, a, b in spans
-                        if a >= start and b <= start + len(part)
+                        {"kind": k, "start": a - start, "end": b - start} for k, a, b in touching
                     ]
-                    cut = any(
-                        a < start + len(part) and b > start and not (a >= start and b <= start + len(part))
-                        for _, a, b in spans
-                    )
-                    if not cut:
-                        rows.append({"part": part, "spans": inside})
+                    rows.append({"part": part, "spans": inside})
             yield pa.RecordBatch.from_pylist(rows, labelled)
 
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
@@ -225,9 +222,8 @@ def find_pii(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             base = [base_spans(t) for t in texts]
             added = added_spans(texts, base, tagger)
-            counts = [
-                pa.array([sum(s[0] == k for s in spans) for spans in base], pa.int64()) for k in KINDS
-            ]
+            kinds = [[s[0] for s in spans] for spans in base]
+            counts = [pa.array([found.count(k) for found in kinds], pa.int64()) for k in KINDS]
             digests = [hashlib.sha256(listed(s).encode()).hexdigest() for s in base]
             every = [listed([*s, *more]) for s, more in zip(base, added)]
             yield pa.RecordBatch.from_arrays(

@@ -277,14 +277,14 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = 60, rate: float = 0.2) ->
                 h = np.bincount(bins, hessian[mine], len(cuts[f]) + 1)[::-1].cumsum()[::-1][1:]
                 if len(g) == 0:
                     continue
-                gain = g**2 / (h + 1) + (total - g) ** 2 / (weight - h + 1) - total**2 / (weight + 1)
+                gain = g**2 / (h + 1) + (total - g) ** 2 / (weight - h + 1)
+                gain = gain - total**2 / (weight + 1)
                 if gain.max() > best:
                     best, feature[n] = gain.max(), f
                     threshold[n] = cuts[f][gain.argmax()]
             node[mine] = 2 * n + 1 + (x[mine, feature[n]] > threshold[n])
-        leaf = np.array(
-            [rate * gradient[node == k].sum() / (hessian[node == k].sum() + 1) for k in range(7, 15)]
-        )
+        inside = [node == k for k in range(7, 15)]
+        leaf = np.array([rate * gradient[i].sum() / (hessian[i].sum() + 1) for i in inside])
         margin += leaf[node - 7]
         trees.append((feature, threshold, leaf))
     return base, *(np.array(part) for part in zip(*trees))
@@ -344,9 +344,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_size: int = SAMPLE) -> Mode
     y = np.array([r["toxic"] for r in fitted], float)
     first = np.array([r["part"] % 5 < 4 for r in fitted], bool)
     if not first.any() or first.all() or y[first].min() == y[first].max():
-        share = float(y.mean()) if len(y) else 0.0
-        none = np.zeros((0, 7))
-        return Model(lexicons[2], 0.0, none.astype(int), none, np.zeros((0, 8)), np.zeros(1), np.array([share]))
+        share = np.array([y.mean() if len(y) else 0.0])
+        none, leaves = np.zeros((0, 7)), np.zeros((0, 8))
+        return Model(lexicons[2], 0.0, none.astype(int), none, leaves, np.zeros(1), share)
     base, feature, threshold, leaf = boost(x[first], y[first])
     model = Model(lexicons[2], base, feature, threshold, leaf, np.zeros(1), np.zeros(1))
     model.margin, model.probability = isotonic(model.raw(x[~first]), y[~first])
