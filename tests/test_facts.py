@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from ledgerweave.functions import pools
 from ledgerweave.operators import checks
 from ledgerweave.plans.queries import LEDGER_RULES
-from ledgerweave.sources.facts import Parents, Periods, general_ledger_fact, income_statement_fact
+from ledgerweave.sources.facts import Periods, general_ledger_fact, income_statement_fact
 from ledgerweave.sources.generate import Volumes, generate, generate_clustered
 from ledgerweave.sources.schema import DERIVATIONS, FACTS, RELATIONS
-from ledgerweave.sources.spec import id_range
 
 SIZES = Volumes(
     ledger_rows=20_000,
