@@ -42,13 +42,17 @@ def _checksum(links: DataFrame) -> tuple[int, int]:
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # Read back, the join has exchanges of its own on both sides, so a centre with very many
+    # neighbours can be split over several tasks.
+    least = written(least, "least")
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    links = links.where("u != v").distinct()
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
-    moved = links.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    links = written(links.where("u != v").distinct(), "star")
+    least = written(links.groupBy("u").agg(F.min("v").alias("m")), "least")
+    others = links.join(least, "u").where("v != m")
+    moved = others.select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -105,8 +109,8 @@ def block_pairs(rows: DataFrame, group: str, node: str, size: str, most: int) ->
     blocks = F.ceil(F.col(size) / most).cast("long")
     own = F.pmod(F.xxhash64(node), blocks)
     dealt = rows.withColumn("_blocks", blocks).withColumn("own", own)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+    every = F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)
+    dealt = dealt.withColumn("other", F.explode(every))
     rest = [c for c in rows.columns if c not in (group, size)]
-    return dealt.select(
-        group, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", *rest
-    )
+    i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    return dealt.select(group, i, j, "own", *rest)
