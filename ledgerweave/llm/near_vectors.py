@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import logging
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerweave.llm.common import hash_sample, written
@@ -25,7 +26,7 @@ BUCKET = 32
 BLOCK = 256
 AUDITED = 256
 RECALL = 0.97
-LIST = "array<struct<sim: float, node: long>>"
+LIST = "array<struct<sim: float, node: long, other: boolean>>"
 
 
 def unit_vectors(vectors: DataFrame) -> DataFrame:
@@ -46,7 +47,8 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
                 if np.isfinite(vector).all() and top > 0:
                     vector /= top
                     nodes.append(node)
-                    units.append((vector / np.linalg.norm(vector)).tobytes())
+                    # Zeros without a sign, so that equal vectors have equal bytes.
+                    units.append((vector / np.linalg.norm(vector) + 0.0).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(nodes, pa.int64()), pa.array(units, pa.binary())], ["node", "unit"]
             )
@@ -59,6 +61,11 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
     )
 
 
+def collapsed(vectors: DataFrame) -> DataFrame:
+    """(unit, node, weight): each distinct vector once, by its least id, and how many it is."""
+    return vectors.groupBy("unit").agg(F.min("node").alias("node"), F.count("*").alias("weight"))
+
+
 def unpacked(column: pa.ChunkedArray) -> np.ndarray:
     """Packed vectors of one length as rows."""
     rows = column.to_pylist()
@@ -94,8 +101,30 @@ def signs(units: DataFrame, round_: int, bits: int) -> DataFrame:
     return units.mapInArrow(run, "table long, key long, node long")
 
 
-def nearest_in_groups(members: DataFrame, units: DataFrame) -> DataFrame:
-    """(node, list): in each group (a, b, c) the nearest others of every member."""
+def spanning(close: np.ndarray) -> tuple[list[int], list[int]]:
+    """A forest that joins what a symmetric matrix of links joins."""
+    unseen = close.any(1)
+    left, right = [], []
+    while unseen.any():
+        frontier = [int(np.argmax(unseen))]
+        unseen[frontier] = False
+        while frontier:
+            p = frontier.pop()
+            new = np.flatnonzero(close[p] & unseen).tolist()
+            unseen[new] = False
+            left += [p] * len(new)
+            right += new
+            frontier += new
+    return left, right
+
+
+def nearest_in_groups(members: DataFrame, located: DataFrame) -> DataFrame:
+    """Rows (node, list, joined) from comparing all vectors of each group (a, b, c).
+
+    A list holds the nearest others of a member; a full member has a second one, of the nearest
+    outside its own cluster.  Rows with ``joined`` are a forest of every link that was seen, so
+    that none is lost to the length of a list.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, table in grouped(batches, 3):
@@ -106,18 +135,44 @@ def nearest_in_groups(members: DataFrame, units: DataFrame) -> DataFrame:
             similar = vectors @ vectors.T
             np.fill_diagonal(similar, -2)
             width = min(NEIGHBOURS, len(nodes) - 1)
-            best = np.argpartition(-similar, width - 1, axis=1)[:, :width]
-            values = np.round(np.take_along_axis(similar, best, 1), 4).ravel()
-            pairs = pa.StructArray.from_arrays(
-                [pa.array(values, pa.float32()), pa.array(nodes[best.ravel()])], ["sim", "node"]
+            owners, sims, others, apart = [], [], [], []
+            full = np.flatnonzero(table.column("full").to_numpy())
+            component = table.column("component").to_numpy()
+            foreign = component[full][:, None] != component
+            every = np.arange(len(nodes))
+            for rows, found in ((every, similar), (full, np.where(foreign, similar[full], -2))):
+                best = np.argpartition(-found, width - 1, axis=1)[:, :width]
+                values = np.take_along_axis(found, best, 1)
+                x, y = np.nonzero(values > -1.5)
+                owners.append(rows[x])
+                sims.append(values[x, y])
+                others.append(best[x, y])
+                apart.append(np.full(len(x), found is not similar))
+            owner = np.concatenate(owners) + len(nodes) * np.concatenate(apart)
+            entries = pa.StructArray.from_arrays(
+                [
+                    pa.array(np.round(np.concatenate(sims), 4), pa.float32()),
+                    pa.array(nodes[np.concatenate(others)]),
+                    pa.array(np.concatenate(apart)),
+                ],
+                ["sim", "node", "other"],
             )
-            offsets = pa.array(np.arange(len(nodes) + 1, dtype=np.int32) * width)
+            listed, starts = np.unique(owner, return_index=True)
+            offsets = pa.array(np.append(starts, len(owner)).astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets, entries)
+            # Every entry that rounding lifts to the threshold of close_entries is joined, too.
+            left, right = spanning(similar >= THRESHOLD - MARGIN - 1e-4)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes), pa.ListArray.from_arrays(offsets, pairs)], ["node", "list"]
+                [
+                    pa.array(nodes[[*(listed % len(nodes)), *left]]),
+                    pa.concat_arrays([lists, pa.nulls(len(left), lists.type)]),
+                    pa.array([*[None] * len(listed), *nodes[right].tolist()], pa.int64()),
+                ],
+                ["node", "list", "joined"],
             )
 
     keys = ["a", "b", "c"]
-    rows = members.join(units, "node").select(*keys, "node", "unit")
+    rows = members.join(located, "node").select(*keys, "node", "unit", "component", "full")
     # Vectors of different lengths never share a group.
     rows = rows.withColumn("c", F.col("c") * 65536 + F.octet_length("unit") / 8).withColumn(
         "c", F.col("c").cast("long")
@@ -125,26 +180,35 @@ def nearest_in_groups(members: DataFrame, units: DataFrame) -> DataFrame:
     return (
         rows.repartition(*keys)
         .sortWithinPartitions(*keys, "node")
-        .mapInArrow(run, f"node long, list {LIST}")
+        .mapInArrow(run, f"node long, list {LIST}, joined long")
     )
 
 
 def merged(lists: DataFrame) -> DataFrame:
-    """One list per node: the nearest of all its lists."""
-    together = F.array_distinct(F.flatten(F.collect_list("list")))
-    return lists.groupBy("node").agg(
-        F.slice(F.sort_array(together, asc=False), 1, NEIGHBOURS).alias("list")
-    )
+    """One list per node: of all its lists the nearest, and the nearest outside its cluster."""
+
+    def plain(entry: Column) -> Column:
+        return F.struct(
+            entry["sim"].alias("sim"), entry["node"].alias("node"), F.lit(False).alias("other")
+        )
 
+    def nearest(entries: Column) -> Column:
+        return F.slice(F.sort_array(F.array_distinct(entries), asc=False), 1, NEIGHBOURS)
 
-def first_lists(units: DataFrame, round_: int, count: int) -> DataFrame:
-    """Lists from buckets of vectors on the same sides of random planes.
+    together = lists.groupBy("node").agg(F.flatten(F.collect_list("list")).alias("list"))
+    near = nearest(F.transform("list", plain))
+    far = nearest(F.filter("list", lambda entry: entry["other"]))
+    return together.select("node", F.concat(near, far).alias("list"))
+
+
+def in_buckets(located: DataFrame, round_: int, count: int) -> DataFrame:
+    """Rows from comparing the vectors of each bucket, those on the same sides of random planes.
 
     Buckets over the block size are dealt into blocks; what a block parts, the rounds and the
     comparison within components bring together.
     """
     bits = max(1, min(30, math.ceil(math.log2(max(2, count / BUCKET)))))
-    keys = written(signs(units, round_, bits), "keys")
+    keys = written(signs(located.select("node", "unit"), round_, bits), "keys")
     sizes = keys.groupBy("table", "key").agg(F.count("*").alias("size"))
     large = sizes.where(F.col("size") > BLOCK)
     dealt = keys.join(large, ["table", "key"], "left")
@@ -154,42 +218,52 @@ def first_lists(units: DataFrame, round_: int, count: int) -> DataFrame:
     members = dealt.select(
         "node", F.col("table").alias("a"), F.col("key").alias("b"), block.alias("c")
     )
-    return nearest_in_groups(members, units)
+    return nearest_in_groups(members, located)
 
 
-def refined(lists: DataFrame, units: DataFrame) -> DataFrame:
-    """Lists after comparing, around each node, its neighbours and those that list it."""
+def around(lists: DataFrame, located: DataFrame) -> DataFrame:
+    """Rows from comparing, around each node, its neighbours and those that list it."""
     edges = lists.select(F.col("node").alias("centre"), F.explode("list").alias("to")).select(
-        "centre", F.col("to.node").alias("node"), F.col("to.sim").alias("sim")
+        "centre", F.col("to.node").alias("node"), "to.sim", "to.other"
     )
-    by_sim = Window.partitionBy("node").orderBy(F.desc("sim"), "centre")
+    by_sim = Window.partitionBy("node", "other").orderBy(F.desc("sim"), "centre")
     back = edges.withColumn("rank", F.row_number().over(by_sim)).where(F.col("rank") <= NEIGHBOURS)
     back = back.select(F.col("node").alias("centre"), F.col("centre").alias("node"))
     own = lists.select(F.col("node").alias("centre"), "node")
     members = edges.select("centre", "node").union(back).union(own).distinct()
     zero = F.lit(0).cast("long")
-    grown = nearest_in_groups(
-        members.select("node", F.col("centre").alias("a"), zero.alias("b"), zero.alias("c")), units
+    return nearest_in_groups(
+        members.select("node", F.col("centre").alias("a"), zero.alias("b"), zero.alias("c")),
+        located,
     )
-    return merged(grown.union(lists.select("node", "list")))
 
 
-def close_edges(lists: DataFrame) -> DataFrame:
-    """(a, b): pairs in the lists that may be links."""
-    pairs = lists.select(F.col("node").alias("a"), F.explode("list").alias("to"))
-    close = pairs.where(F.col("to.sim") >= THRESHOLD - MARGIN)
-    return close.select("a", F.col("to.node").alias("b"))
+def close_entries(lists: DataFrame) -> DataFrame:
+    """(node, other): the entries of the lists that may be links."""
+    pairs = lists.select("node", F.explode("list").alias("to"))
+    return pairs.where(F.col("to.sim") >= THRESHOLD - MARGIN).select("node", "to.other")
+
+
+def placed(units: DataFrame, clusters: DataFrame, lists: DataFrame) -> DataFrame:
+    """The vectors with their cluster and whether their list is full of links."""
+    close = close_entries(lists).where("not other").groupBy("node").agg(F.count("*").alias("n"))
+    joined = units.join(clusters, "node", "left").join(close, "node", "left")
+    return joined.select(
+        "node",
+        "unit",
+        F.coalesce("component", "node").alias("component"),
+        F.coalesce(F.col("n") >= NEIGHBOURS, F.lit(False)).alias("full"),
+    )
 
 
 def links_within(clusters: DataFrame, units: DataFrame) -> DataFrame:
     """Rows (a, b, links) from comparing all vectors of each cluster in double precision.
 
-    This is what enlarges a saturated list, one that is full of links: to the whole cluster,
-    block by block.  Forest edges have b; other rows count a node's links.
+    Forest edges have b; other rows count a node's links, equal vectors as many as they are.
     """
     sizes = clusters.groupBy("component").agg(F.count("*").alias("size"))
     rows = clusters.join(sizes, "component").join(units, "node")
-    rows = rows.select("component", "node", "size", "unit")
+    rows = rows.select("component", "node", "size", "unit", "weight")
     keyed = block_pairs(rows, "component", "node", "size", BLOCK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,9 +275,9 @@ def links_within(clusters: DataFrame, units: DataFrame) -> DataFrame:
             if i == j:
                 linked = np.triu(linked, 1)
             x, y = np.nonzero(linked)
-            links = np.zeros(len(nodes), np.int64)
-            np.add.at(links, p[x], 1)
-            np.add.at(links, q[y], 1)
+            links, weight = np.zeros(len(nodes), np.int64), table.column("weight").to_numpy()
+            np.add.at(links, p[x], weight[q[y]])
+            np.add.at(links, q[y], weight[p[x]])
             a, b = forest(nodes[p[x]], nodes[q[y]])
             some = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays(
@@ -266,37 +340,65 @@ def audit(units: DataFrame, clusters: DataFrame, count: int) -> float:
 def near_vectors(vectors: DataFrame) -> DataFrame:
     """Links and components of vectors: vec_id, n_links, component_id, kept.
 
-    Two vectors are linked if their cosine is 0.9 or more in double precision.  Each vector
-    starts with the nearest of a few hash buckets; then neighbours of neighbours are compared
-    until the lists gain no more links.  Vectors joined by close list entries form clusters,
-    all of whose pairs are compared.  An audit compares some vectors with all; below its
-    target new buckets are drawn and the rounds go on.  Null, zero and non-finite vectors link
-    with nothing.  Rows with one id are one vector, of which the least usable one counts.  A
-    row without an id is returned without links.  Equal vectors link like others.
+    Two vectors are linked if their cosine is 0.9 or more in double precision.  Equal vectors
+    are searched for as one.  Each vector starts with the nearest of a few hash buckets; then
+    neighbours of neighbours are compared until the lists gain no more links.  A list full of
+    links is enlarged by the nearest vectors of other clusters, and the search goes on, until no
+    such list gains a link to another cluster.  Vectors joined by any link that was seen form
+    clusters, all of whose pairs are compared.  An audit compares some vectors with all; below
+    its target new buckets are drawn and the rounds go on.  Null, zero and non-finite vectors
+    link with nothing.  Rows with one id are one vector, of which the least usable one counts.
+    A row without an id is returned without links.  Equal vectors link like others.
     """
-    units = written(unit_vectors(vectors), "units")
+    rows = written(unit_vectors(vectors), "vectors")
+    units = written(collapsed(rows), "units")
     count = units.count()
-    lists, clusters, round_ = None, None, 0
+    start = units.select("node", "unit", F.col("node").alias("component"), F.lit(False).alias("full"))
+    lists, clusters, located, round_ = None, None, start, 0
     while True:
-        drawn = first_lists(units, round_, count)
-        lists = written(merged(drawn if lists is None else drawn.union(lists)), "lists")
-        before, close = -1, close_edges(lists).count()
+        seen = written(in_buckets(located, round_, count), "seen")
+        round_ += 1
+        joined = [seen.where("joined is not null").select("node", "joined")]
+        drawn = seen.where("list is not null").select("node", "list")
+        if lists is not None:
+            # What was outside a cluster then may be inside now.
+            near = F.filter("list", lambda entry: ~entry["other"]).alias("list")
+            joined.append(clusters.select("node", F.col("component").alias("joined")))
+            drawn = drawn.union(lists.select("node", near))
+        lists = written(merged(drawn), "lists")
+        before, close = -1, close_entries(lists).count()
         while close > before * 1.005:
-            lists = written(refined(lists, units), "lists")
-            before, close = close, close_edges(lists).count()
-        clusters = written(components(close_edges(lists)), "clusters")
+            seen = written(around(lists, located), "seen")
+            joined.append(seen.where("joined is not null").select("node", "joined"))
+            grown = seen.where("list is not null").select("node", "list")
+            lists = written(merged(grown.union(lists)), "lists")
+            before, close = close, close_entries(lists).count()
+        edges = functools.reduce(DataFrame.union, joined).toDF("a", "b")
+        clusters = written(components(edges), "clusters")
+        first = located is start
+        located = written(placed(units, clusters, lists), "located")
+        if located.where("full").count() if first else close_entries(lists).where("other").count():
+            continue
         recall = audit(units, clusters, count)
-        logger.info("recall of audited links after %d draws: %.4f", round_ + 1, recall)
+        logger.info("recall of audited links after %d draws: %.4f", round_, recall)
         if recall >= RECALL:
             break
-        round_ += 1
     found = written(links_within(clusters, units), "links")
     final = components(found.where("b is not null").select("a", "b"))
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("n"))
+    each = units.join(final, "node", "left").join(links, "node", "left")
+    each = written(
+        each.select(
+            "unit",
+            (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n"),
+            F.coalesce("component", "node").alias("component"),
+        ),
+        "results",
+    )
+    results = rows.join(each, "unit").select("node", "n", "component")
     ids = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
     ids = ids.where("vec_id is not null").distinct().union(ids.where("vec_id is null"))
-    joined = ids.join(final, ids["vec_id"] == final["node"], "left").drop("node")
-    joined = joined.join(links, joined["vec_id"] == links["node"], "left")
+    joined = ids.join(results, ids["vec_id"] == results["node"], "left")
     component = F.coalesce("component", "vec_id")
     return joined.select(
         "vec_id",

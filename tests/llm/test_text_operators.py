@@ -170,6 +170,35 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch, block):
     assert np.mean([got.component_id[i] == classes[i] for i in links]) > 0.95
 
 
+def close_classes(spark, vectors):
+    """What near_vectors returns for rows of a matrix, and the links by brute force."""
+    df = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>"
+    )
+    units = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    close = units @ units.T >= 0.9
+    links = {i: [j for j in np.flatnonzero(close[i]) if j != i] for i in range(len(vectors))}
+    return near_vectors.near_vectors(df).toPandas().set_index("vec_id"), links
+
+
+@pytest.mark.parametrize("jitter", [0, 0.004])
+def test_linked_groups_of_copies_are_one_component(spark, jitter):
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(300, 32))
+    for first in (0, 40, 80):
+        a = vectors[first] / np.linalg.norm(vectors[first])
+        side = rng.normal(size=32)
+        side -= side @ a * a
+        b = 0.95 * a + np.sqrt(1 - 0.95**2) * side / np.linalg.norm(side)
+        vectors[first : first + 12], vectors[first + 12 : first + 30] = a, b
+    vectors += jitter * rng.normal(size=vectors.shape)
+    got, links = close_classes(spark, vectors)
+    classes = classes_of(links)
+    assert all(got.n_links[i] == len(links[i]) for i in links)
+    assert all(got.component_id[i] == classes[i] for i in links)
+    assert {i for i in links if got.kept[i]} == set(classes.values())
+
+
 # chat ---------------------------------------------------------------------------------
 
 
