@@ -21,10 +21,15 @@ THRESHOLD = 0.9
 #: Similarities of lists are single precision; a link this far below is still looked at.
 MARGIN = 1e-3
 NEIGHBOURS = 6
-TABLES = 6
-BUCKET = 32
+#: Two vectors at the threshold lie on one side of a random plane with this chance.
+SIDE = 1 - math.acos(THRESHOLD) / math.pi
+#: So many tables are drawn that these two share a bucket with this chance, at any size.
+MEET = 0.99
+BUCKET = 64
 BLOCK = 256
-AUDITED = 256
+#: Vectors of an audit: at first, at most, and the links in small groups that are evidence enough.
+AUDITED, MOST_AUDITED = 256, 4096
+EVIDENCE, SMALL = 100, 64
 RECALL = 0.97
 LIST = "array<struct<sim: float, node: long, other: boolean>>"
 
@@ -72,9 +77,16 @@ def unpacked(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.float64).reshape(len(rows), -1)
 
 
+def table_count(bits: int) -> int:
+    """Tables of ``bits`` planes in which a pair at the threshold meets with chance MEET."""
+    return math.ceil(math.log(1 - MEET) / math.log1p(-(SIDE**bits)))
+
+
 def signs(units: DataFrame, round_: int, bits: int) -> DataFrame:
     """(table, key, node): on which sides of random planes a vector lies, for each table."""
 
+    tables = table_count(bits)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             by_size: dict[int, list[int]] = {}
@@ -85,15 +97,15 @@ def signs(units: DataFrame, round_: int, bits: int) -> DataFrame:
                 vectors = np.frombuffer(b"".join(packed[i] for i in rows)).reshape(len(rows), -1)
                 nodes = batch.column("node").to_numpy()[rows]
                 planes = np.random.default_rng([round_, size]).normal(
-                    size=(vectors.shape[1], TABLES * bits)
+                    size=(vectors.shape[1], tables * bits)
                 )
-                sides = (vectors @ planes > 0).reshape(len(rows), TABLES, bits)
+                sides = (vectors @ planes > 0).reshape(len(rows), tables, bits)
                 keys = sides @ (1 << np.arange(bits)) * 4096 + size // 8 % 4096
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.tile(np.arange(TABLES), len(rows))),
+                        pa.array(np.tile(np.arange(tables), len(rows))),
                         pa.array(keys.ravel()),
-                        pa.array(np.repeat(nodes, TABLES)),
+                        pa.array(np.repeat(nodes, tables)),
                     ],
                     ["table", "key", "node"],
                 )
@@ -297,44 +309,77 @@ def links_within(clusters: DataFrame, units: DataFrame) -> DataFrame:
     )
 
 
-def audit(units: DataFrame, clusters: DataFrame, count: int) -> float:
-    """Share of the links of about 256 vectors, by brute force over all, that share a cluster.
+def lowest_recall(totals: np.ndarray, found: np.ndarray) -> float:
+    """The least mean recall of vectors with about equally many links, or 1 without links.
+
+    Each vector counts once, and vectors with few links apart from those with many, so that a
+    large group can't hide what small ones lose.
+    """
+    totals, found = totals[totals > 0], found[totals > 0]
+    classes = np.log2(totals).astype(int)
+    shares = found / totals
+    return min((float(shares[classes == c].mean()) for c in np.unique(classes)), default=1.0)
+
+
+def audit(located: DataFrame, count: int) -> float:
+    """The lowest recall of links by brute force between some vectors and all.
 
-    Within a cluster all pairs are compared, so such a link is found.
+    A link within a cluster is found, since all its pairs are compared.  More vectors are drawn
+    until small groups have shown enough links, up to MOST_AUDITED.
     """
-    chosen = hash_sample(units, "node", AUDITED, count, seed=9).collect()  # bounded
-    nodes = np.array([r["node"] for r in chosen], np.int64)
+    asked = AUDITED
+    while True:
+        totals, found = counted(located, count, asked)
+        evidence = int(totals[totals <= SMALL].sum())
+        if evidence >= EVIDENCE or asked >= min(count, MOST_AUDITED):
+            logger.info("an audit of %d vectors saw %d links in small groups", asked, evidence)
+            return lowest_recall(totals, found)
+        asked = min(4 * asked, MOST_AUDITED)
+
+
+def counted(located: DataFrame, count: int, asked: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of about ``asked`` vectors the links with all others, and those within the own cluster."""
+    chosen = hash_sample(located, "node", asked, count, seed=9).collect()  # bounded
     by_size: dict[int, list[int]] = {}
     for i, r in enumerate(chosen):
         by_size.setdefault(len(r["unit"]), []).append(i)
-    asked = {}
+    queries = {}
     for size, rows in by_size.items():
         packed = b"".join(bytes(chosen[i]["unit"]) for i in rows)
-        asked[size] = nodes[rows], np.frombuffer(packed).reshape(len(rows), -1)
+        queries[size] = (
+            np.array(rows),
+            np.array([chosen[i]["node"] for i in rows], np.int64),
+            np.array([chosen[i]["component"] for i in rows], np.int64),
+            np.frombuffer(packed).reshape(len(rows), -1),
+        )
+
+    asked_count = len(chosen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = np.zeros(asked_count, np.int64)
+        within = np.zeros(asked_count, np.int64)
         for batch in batches:
             packed, ids = batch.column("unit").to_pylist(), batch.column("node").to_numpy()
-            left, right = [], []
-            for size, (queries, vectors) in asked.items():
-                rows = [i for i, p in enumerate(packed) if len(p) == size]
-                if rows:
-                    others = np.frombuffer(b"".join(packed[i] for i in rows)).reshape(len(rows), -1)
-                    x, y = np.nonzero(vectors @ others.T >= THRESHOLD)
-                    left.append(queries[x])
-                    right.append(ids[rows][y])
-            a = np.concatenate(left) if left else np.zeros(0, np.int64)
-            b = np.concatenate(right) if right else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
-
-    truth = units.mapInArrow(run, "a long, b long")
-    joined = truth
-    for end in "ab":
-        of = clusters.select(F.col("node").alias(end), F.col("component").alias(f"in_{end}"))
-        joined = joined.join(of, end, "left")
-    same = F.coalesce(F.col("in_a") == F.col("in_b"), F.lit(False))
-    found, total = joined.agg(F.sum(same.cast("long")), F.count("*")).first()
-    return found / total if total else 1.0
+            components_ = batch.column("component").to_numpy()
+            for size, (places, nodes, own, vectors) in queries.items():
+                rows = np.array([i for i, p in enumerate(packed) if len(p) == size], np.int64)
+                for at in range(0, len(rows), BLOCK):
+                    part = rows[at : at + BLOCK]
+                    others = np.frombuffer(b"".join(packed[i] for i in part))
+                    linked = vectors @ others.reshape(len(part), -1).T >= THRESHOLD
+                    linked &= nodes[:, None] != ids[part]
+                    every[places] += linked.sum(1)
+                    within[places] += (linked & (own[:, None] == components_[part])).sum(1)
+        some = np.flatnonzero(every)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some), pa.array(every[some]), pa.array(within[some])],
+            ["query", "every", "within"],
+        )
+
+    parts = located.mapInArrow(run, "query long, every long, within long")
+    sums = parts.groupBy("query").agg(F.sum("every"), F.sum("within")).collect()  # per query
+    totals = np.array([r[1] for r in sums], np.int64)
+    return totals, np.array([r[2] for r in sums], np.int64)
 
 
 def near_vectors(vectors: DataFrame) -> DataFrame:
@@ -345,8 +390,10 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     neighbours of neighbours are compared until the lists gain no more links.  A list full of
     links is enlarged by the nearest vectors of other clusters, and the search goes on, until no
     such list gains a link to another cluster.  Vectors joined by any link that was seen form
-    clusters, all of whose pairs are compared.  An audit compares some vectors with all; below
-    its target new buckets are drawn and the rounds go on.  Null, zero and non-finite vectors
+    clusters, all of whose pairs are compared.  Buckets are drawn in so many tables that a
+    pair at the threshold meets with one chance at any size; a bucket over the block size is
+    dealt out, which lowers it.  An audit compares some vectors with all; while any class of
+    vectors by number of links is below its target, new buckets are drawn.  Null, zero and non-finite vectors
     link with nothing.  Rows with one id are one vector, of which the least usable one counts.
     A row without an id is returned without links.  Equal vectors link like others.
     """
@@ -379,7 +426,7 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
         located = written(placed(units, clusters, lists), "located")
         if located.where("full").count() if first else close_entries(lists).where("other").count():
             continue
-        recall = audit(units, clusters, count)
+        recall = audit(located, count)
         logger.info("recall of audited links after %d draws: %.4f", round_, recall)
         if recall >= RECALL:
             break

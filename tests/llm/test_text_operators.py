@@ -199,6 +199,25 @@ def test_linked_groups_of_copies_are_one_component(spark, jitter):
     assert {i for i in links if got.kept[i]} == set(classes.values())
 
 
+def test_a_pair_at_the_threshold_meets_with_one_chance_at_any_size():
+    for bits in range(1, 31):
+        missed = (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** near_vectors.table_count(bits)
+        assert missed <= 0.01
+
+
+def test_audit_sees_lost_pairs_beside_a_large_group(spark):
+    # 60 vectors of one cluster, all found, and 20 pairs, none of which is.
+    rng = np.random.default_rng(3)
+    units = rng.normal(size=(100, 48))
+    units[:60] = units[0] + 0.01 * rng.normal(size=(60, 48))
+    units[61::2] = units[60::2] + 0.01 * rng.normal(size=(20, 48))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    rows = [(i, bytearray(u.tobytes()), 0 if i < 60 else i) for i, u in enumerate(units)]
+    located = spark.createDataFrame(rows, "node long, unit binary, component long")
+    assert near_vectors.audit(located, 100) == 0
+    assert near_vectors.audit(located.where("component = 0"), 60) == 1
+
+
 # chat ---------------------------------------------------------------------------------
 
 
