@@ -78,24 +78,22 @@ class Notices:
 
     def spans(self, text: str) -> list[tuple[int, int, str, float]]:
         """(start, end, label, score) of the notices in a lower-cased text."""
-        windows: dict[int, list[list[int]]] = {}
+        windows = set()
         for end, (size, places) in self.seeds.iter(text):
             for number, at in places:
                 notice, _, edits, _ = self.notices[number]
                 begin = max(0, end + 1 - size - at - edits)
                 stop = min(len(text), end + 1 - size - at + len(notice) + edits)
-                mine = windows.setdefault(number, [])
-                if mine and begin <= mine[-1][1]:
-                    mine[-1] = [min(begin, mine[-1][0]), max(stop, mine[-1][1])]
-                else:
-                    mine.append([begin, stop])
+                windows.add((number, begin, stop))
+        # Each by itself: a window holds one place at most, and the best match of a longer
+        # stretch would hide the places before it.
         out = set()
-        for number, mine in windows.items():
+        for number, begin, stop in windows:
             notice, label, _, pattern = self.notices[number]
-            for begin, stop in mine:
-                for match in pattern.finditer(text, begin, stop):
-                    edits = sum(match.fuzzy_counts)
-                    out.add((match.start(), match.end(), label, 1 - edits / len(notice)))
+            match = pattern.search(text, begin, stop)
+            if match:
+                edits = sum(match.fuzzy_counts)
+                out.add((match.start(), match.end(), label, 1 - edits / len(notice)))
         # Notices resemble one another: of spans that overlap the best one counts.
         kept: list[tuple[int, int, str, float]] = []
         for span in sorted(out, key=lambda s: (-s[3], s[0] - s[1], s)):

@@ -443,6 +443,16 @@ def test_seeds_lose_no_notice_within_its_edits():
     assert notices.spans("lorem ipsum dolor " * 500) == []
 
 
+def test_fuzzy_notices_on_neighbouring_lines_are_all_found():
+    notice = "permission is hereby granted, free of charge, to any person obtaining a copy"
+    lines = [notice.replace("hereby", "herby")] * 5 + [notice]
+    text, at, want = "\n".join(lines), 0, []
+    for line in lines:
+        want.append((at, at + len(line), "mit", 1 - (line != notice) / len(notice)))
+        at += len(line) + 1
+    assert license_scan.Notices().spans(text) == want
+
+
 # mixing -------------------------------------------------------------------------------
 
 
