@@ -21,6 +21,8 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+#: The rest of a domain's or a local part's run; a space may stand beside the @.
+MORE_DOMAIN = re.compile(r"[A-Za-z0-9-]*(\.[A-Za-z0-9-]+)*")
 ANCHOR = re.compile(r"[0-9@]")
 NOT_DIGIT = re.compile(r"[^0-9]")
 
@@ -78,18 +80,30 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def around_at(text: str, at: int) -> tuple[int, int]:
+    """From the first to the last address character on both sides of an @."""
+    a = at - (text[at - 1 : at] == " ")
+    while a and text[a - 1] in LOCAL:
+        a -= 1
+    b = at + 1 + (text[at + 1 : at + 2] == " ")
+    return a, MORE_DOMAIN.match(text, b).end()
+
+
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of a text near a digit or @.
+    """Parts of a text near a digit or @, with the whole of an address around an @.
 
     Every span of the four kinds has one, so a tag elsewhere could only be wrong.
     """
     out: list[list[int]] = []
     for match in ANCHOR.finditer(text):
         a, b = max(0, match.start() - REACH), min(len(text), match.end() + REACH)
-        if out and a <= out[-1][1]:
-            out[-1][1] = b
-        else:
-            out.append([a, b])
+        if match[0] == "@":
+            first, last = around_at(text, match.start())
+            a, b = min(a, first), max(b, last)
+        while out and a <= out[-1][1]:
+            before = out.pop()
+            a, b = min(a, before[0]), max(b, before[1])
+        out.append([a, b])
     return [(a, b) for a, b in out]
 
 
@@ -106,6 +120,15 @@ def windows(text: str) -> list[tuple[int, str]]:
     return out
 
 
+def whole(text: str, span: tuple[int, int, str, float]) -> tuple[int, int, str, float]:
+    """A tagged span, an address to the ends of its characters where a window cut it."""
+    a, b, kind, score = span
+    if kind == "email" and text.count("@", a, b) == 1:
+        first, last = around_at(text, text.index("@", a, b))
+        a, b = min(a, first), max(b, last)
+    return a, b, kind, score
+
+
 def reconciled(found: list[tuple[int, int, str, float]]) -> list[tuple[int, int, str, float]]:
     """One set of spans from those of overlapping windows.
 
@@ -148,7 +171,8 @@ def added_spans(
     tagged = tagger.decode([part for _, _, part in places], WINDOW)
     found: dict[int, list] = {}
     for (i, start, _), spans in zip(places, tagged):
-        found.setdefault(i, []).extend((a + start, b + start, k, s) for a, b, k, s in spans)
+        moved = ((a + start, b + start, k, s) for a, b, k, s in spans)
+        found.setdefault(i, []).extend(whole(texts[i], span) for span in moved)
     for i, spans in found.items():
         for a, b, kind, _ in reconciled(spans):
             part = texts[i][a:b]

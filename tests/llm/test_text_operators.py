@@ -325,6 +325,22 @@ def test_windows_are_reconciled():
     assert covered == set(range(18, 382))
 
 
+def test_added_addresses_are_whole_however_long():
+    class Spaced:
+        def decode(self, parts, window):
+            found = re.compile(r"[a-z.]+ @ [a-z.]+")
+            return [
+                [(m.start(), m.end(), "email", 1.0) for m in found.finditer(part)] for part in parts
+            ]
+
+    for local, domain in ((3, 50), (60, 20), (60, 150)):
+        name, host = "n" * local, "d" * (domain - 4) + ".com"
+        text = f"write to {name} @ {host}, or not"
+        assert pii.added_spans([text], [[]], Spaced()) == [
+            [("email", 9, 9 + local + 3 + domain)]
+        ]
+
+
 # exact dedup --------------------------------------------------------------------------
 
 
