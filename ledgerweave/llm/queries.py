@@ -11,13 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerweave.llm.chat_format import format_turns, read_back
 from ledgerweave.llm.common import table
 from ledgerweave.llm.exact_dedup import earlier_half, exact_dedup
+from ledgerweave.llm.heap_clusters import cluster_report
 from ledgerweave.llm.langid import identify
+from ledgerweave.llm.lexical_search import search
 from ledgerweave.llm.license_scan import scan
 from ledgerweave.llm.mixing import mix_report
 from ledgerweave.llm.near_vectors import near_vectors
 from ledgerweave.llm.ngram_join import near_duplicates
+from ledgerweave.llm.oracles import LEXICAL, LOWERED, MEANS, REPEATS
 from ledgerweave.llm.packing import pack
 from ledgerweave.llm.pii import find_pii
+from ledgerweave.llm.repeated_spans import without_repeats
 from ledgerweave.llm.toxicity import score as toxicity_score
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -80,6 +84,21 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op11_heap_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clusters of all vectors of 64 components after five rounds."""
+    return cluster_report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that repeat elsewhere."""
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_ngram_join": op1_ngram_join,
@@ -92,12 +111,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_mixing": op9_mixing,
     "op10_langid": op10_langid,
+    "op11_heap_clusters": op11_heap_clusters,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_repeated_spans": op13_repeated_spans,
 }
 
-_LOWERED = (
-    "translate(coalesce(text, ''), "
-    "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-)
 
 ORACLES = {
     "op4_chat_format": r"""
@@ -124,10 +142,13 @@ ORACLES = {
         from turns group by conv_id
     """,
     "op6_exact_dedup": f"""
-        with d as (select doc_id, {_LOWERED} as t from documents),
+        with d as (select doc_id, {LOWERED} as t from documents),
         g as (select t, max(doc_id) as keep_id, count(*) as group_size from d group by t)
         select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept,
                sha256(d.t) as text_sha256
         from d join g on d.t = g.t
     """,
+    "op11_heap_clusters": MEANS,
+    "op12_lexical_search": LEXICAL,
+    "op13_repeated_spans": REPEATS,
 }
