@@ -31,9 +31,9 @@ GRAM = 64
 #: Inside a block: bytes of the trigger, and one position in so many is one.
 WORD, EVERY = 16, 32
 #: Bytes of a text that are looked at together, and of stretches in a block.
-SLICE, BLOCK = 1 << 22, 1 << 22
+SLICE, BLOCK = 1 << 20, 1 << 20
 #: Different stretches of one trigger in a block; a trigger with more has its stretches cut.
-MOST = 4096
+MOST = 1024
 #: Widths of the cuts: windows of a stretch by their distance from the trigger.
 WIDTHS = (16, 1)
 FACTOR = 0x9E3779B97F4A7C15
@@ -357,18 +357,21 @@ def with_bytes(wanted: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     columns = ["trigger", "start", "windows", "at", "copies"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, text, rows in zip(*(batch.column(c) for c in ("key", "text", "rows"))):
-                data, asked = text.as_py().encode(), rows.as_py()
-                parts = [data[r["start"] : r["start"] + r["windows"] - 1 + length] for r in asked]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([key.as_py()] * len(asked), pa.binary()),
-                        *(pa.array([r[c] for r in asked], pa.int64()) for c in columns),
-                        pa.array(parts, pa.binary()),
-                    ],
-                    ["key", *columns, "bytes"],
-                )
+        for batch in chunks(batches, most=SLICE // 4):  # a text's stretches overlap
+            keys, parts = [], []
+            out: dict[str, list] = {c: [] for c in columns}
+            for key, text, rows in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
+                data = text.encode()
+                for r in rows:
+                    keys.append(key)
+                    parts.append(data[r["start"] : r["start"] + r["windows"] - 1 + length])
+                    for c in columns:
+                        out[c].append(r[c])
+            arrays = [pa.array(out[c], pa.int64()) for c in columns]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.binary()), *arrays, pa.array(parts, pa.binary())],
+                ["key", *columns, "bytes"],
+            )
 
     schema = f"key binary, {', '.join(f'{c} long' for c in columns)}, bytes binary"
     joined = texts.join(per_text, "key").select("key", "text", "rows")
