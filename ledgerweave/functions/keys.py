@@ -20,6 +20,8 @@ from ledgerweave.functions.exprs import (
 
 # What a second round through a class's range of seven digits adds to the number.
 ROUND = 10_000_000
+# Shares no factor with the sum of the account classes' weights.
+STRIDE = 61
 
 
 def profit_center_nbr(id: Column) -> Column:
@@ -66,12 +68,16 @@ def statement_item_cd(number: Column) -> Column:
     return code("FSI", number, 5)
 
 
-def account_class_index(id: Column, accounts: int) -> Column:
-    """Position of an account's class: ids are dealt to the classes by weight."""
-    if accounts < 1:
-        raise ValueError(f"there must be at least one account, not {accounts}")
-    ratio = F.pmod(id, F.lit(accounts)) / F.lit(float(accounts))
-    return threshold_index(ratio, [c.weight for c in pools.ACCOUNT_CLASSES])
+def account_class_index(id: Column) -> Column:
+    """Position of an account's class: ids go round the classes, which share them by weight.
+
+    A round is as long as the weights' sum and takes them in steps of STRIDE, so that a few
+    accounts, too, spread over the classes.  The class follows from the id alone.
+    """
+    weights = [c.weight for c in pools.ACCOUNT_CLASSES]
+    total = sum(weights)
+    place = F.pmod(F.pmod(id, F.lit(total)) * STRIDE, F.lit(total))
+    return threshold_index(place / F.lit(float(total)), weights)
 
 
 def account_number(id: Column, class_index: Column) -> Column:
@@ -85,7 +91,7 @@ def account_number(id: Column, class_index: Column) -> Column:
     return start + F.pmod(id, span) + F.floor(id / span) * F.lit(ROUND).cast("bigint")
 
 
-def gl_account_nbr(id: Column, accounts: int, style: str = "salted") -> Column:
+def gl_account_nbr(id: Column, style: str = "salted") -> Column:
     """The account dimension's key."""
     if style == "cyclic":
         prefixes = pools.CYCLIC_ACCOUNT_PREFIXES
@@ -96,7 +102,7 @@ def gl_account_nbr(id: Column, accounts: int, style: str = "salted") -> Column:
             ),
             F.lit(None).cast("string"),
         )
-    return account_number(id, account_class_index(id, accounts)).cast("string")
+    return account_number(id, account_class_index(id)).cast("string")
 
 
 def of_class(class_index: Column, values: Sequence) -> Column:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerweave.operators.joins import Lookup, lookup, lookups
 
@@ -111,6 +113,50 @@ class MeasureView:
         self.query(by, measures).createOrReplaceTempView(name)
 
 
+@dataclass(frozen=True)
+class RoutedView:
+    """A measure view that answers from a stored aggregate whatever it holds.
+
+    ``stored`` states the same dimensions and measures over the aggregate, as far as they follow
+    from it: sums of sums, counts as sums of counts.  A query goes there if it names none but
+    those and its condition reads grain columns alone; otherwise the detail rows answer.
+    """
+
+    detail: MeasureView
+    stored: MeasureView
+    grain: Sequence[str] = GRAIN
+
+    def route(
+        self, by: Sequence[str], measures: Sequence[str], where: str | None = None
+    ) -> MeasureView:
+        """The view that answers a query."""
+        named = set(by) <= set(self.stored.dimensions) and set(measures) <= set(
+            self.stored.measures
+        )
+        return self.stored if named and self._has_columns_of(where) else self.detail
+
+    def query(
+        self, by: Sequence[str], measures: Sequence[str], where: str | None = None
+    ) -> DataFrame:
+        """The measures per combination of the dimensions, for the rows meeting ``where``."""
+        return self.route(by, measures, where).query(by, measures, where)
+
+    def _has_columns_of(self, where: str | None) -> bool:
+        """Whether the analyzer finds all of a condition's columns in the grain.
+
+        The aggregate's sums have the names of amounts, yet no condition on a row's amount.
+        """
+        if where is None:
+            return True
+        # Rows of their own, for a filter sees past a projection.
+        fields = [f for f in self.stored.source.schema if f.name in self.grain]
+        rows = self.stored.source.sparkSession.createDataFrame([], StructType(fields))
+        try:
+            return bool(rows.where(where).schema)
+        except AnalysisException:
+            return False
+
+
 def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: the rows of either side, and how many differ counting repeats.
 

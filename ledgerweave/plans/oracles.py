@@ -128,9 +128,9 @@ _LABELS = (
 )
 
 
-def account_class(id: str, n: str | int) -> str:
-    """0..8 by the share of the accounts that come before."""
-    ratio = f"(({id}) % ({n}))::DOUBLE / ({n})::DOUBLE"
+def account_class(id: str) -> str:
+    """0..8 by the place in a round of 100 accounts, taken in steps of 61."""
+    ratio = f"(({id}) * 61 % 100)::DOUBLE / 100e0"
     branches = " ".join(f"WHEN {ratio} < {share} THEN {i}" for i, share in enumerate(_SHARES))
     return f"(CASE {branches} ELSE 8 END)"
 
@@ -321,7 +321,7 @@ WITH k AS (
          {sign(_T + "sign", "o_orderkey")} AS s,
          {units(between(_T + "sales_qty", 1, 100000, "o_orderkey"))} AS sales
   FROM orders
-), c AS (SELECT *, {account_class("account", 8000)} AS cls FROM k),
+), c AS (SELECT *, {account_class("account")} AS cls FROM k),
 b AS (SELECT *, {class_amount("z", "cls")} AS base FROM c)
 """ + table_sql(
     "general_ledger_fact",
@@ -418,7 +418,7 @@ WITH i AS (SELECT {source_key} AS id FROM {source}), k AS (
          {sign(t + "sign")} AS s,
          {units(between(t + "qty", 0, qty))} AS qty
   FROM i
-), c AS (SELECT *, {account_class("account", 8000)} AS cls FROM k),
+), c AS (SELECT *, {account_class("account")} AS cls FROM k),
 """
 
 
@@ -574,14 +574,13 @@ def dimensions(channel: str | None = None) -> dict[str, str]:
     city = cyc(pools.COST_CENTER_CITIES, "i")
     cost_center = f"{region} || ' Cost Center ' || i"
     parts = DIMENSION_ROWS["gl_account_dim"][0]
-    accounts = f"(SELECT count(*) FROM {parts})"
-    position = account_class("i", accounts)
+    position = account_class("i")
     nbr = account_nbr("i", position)
     short = f"{nth(_LABELS, position)} || ' Acct ' || {nbr}"
     area = between(f"{store}.area", 500, 10500, "i") + "::FLOAT"
     order_type, item = cyc(pools.SALES_ORDER_TYPES, "i"), cyc(pools.SALES_ITEM_CATEGORIES, "i")
     hier_account = "(i % 8000 + 1)"
-    hier_nbr = account_nbr(hier_account, account_class(hier_account, 8000))
+    hier_nbr = account_nbr(hier_account, account_class(hier_account))
     set_flags = (
         "functional_area_assignment_allowed_ind consolidation_chart_of_accounts_used_ind "
         "totals_visible_ind item_list_complete_transmission_ind "
@@ -1326,8 +1325,8 @@ SELECT id AS event_id,
 FROM {EVENTS}""",
     "threshold_picks": f"""
 SELECT id AS event_id,
-       {nth([c.name for c in pools.ACCOUNT_CLASSES], account_class("id", N_EVENTS))} AS category,
-       {account_nbr("id", account_class("id", N_EVENTS))}::VARCHAR AS account_nbr
+       {nth([c.name for c in pools.ACCOUNT_CLASSES], account_class("id"))} AS category,
+       {account_nbr("id", account_class("id"))}::VARCHAR AS account_nbr
 FROM {EVENTS}""",
     "keyed_flags": f"""
 SELECT id AS event_id, {every(20, "'N'", "'Y'")} AS active_ind,
@@ -1414,7 +1413,7 @@ SELECT o_orderkey, {key("product_id", PARTS, "o_orderkey")} AS product_id,
        {key("customer_id", CUSTOMERS, "o_orderkey")} AS customer_id,
        (o_orderkey % {PARTS} + 1)::BIGINT AS cyclic_product_id FROM orders""",
     "fk_derived": f"""
-SELECT o_orderkey, {account_nbr("a", account_class("a", 8000))}::VARCHAR AS gl_account_nbr,
+SELECT o_orderkey, {account_nbr("a", account_class("a"))}::VARCHAR AS gl_account_nbr,
        'CC' || {pad("c", 6)} AS cost_center_nbr, {document_cd("d")} AS document_type_cd,
        (1000 + m)::VARCHAR AS company_cd, {company_currency("m")} AS company_currency_cd,
        {version_nbr("v")} AS version_nbr, {version_group("v")} AS version_group_nm,
@@ -1441,6 +1440,14 @@ SELECT 'FY' || (fiscal_year_period_nbr // 100) || 'Q' || ({QUARTER_OF_PERIOD})
          AS fiscal_year_quarter_cd,
        {CENTER_REGION} AS geography_nm, {CLASS_OF_NUMBER} AS account_class, {SUMS}
 FROM l GROUP BY ALL"""),
+    "agg_refresh": from_ledger(AGGREGATE),
+    "measures_from_aggregate": from_ledger(f"""
+SELECT (fiscal_year_period_nbr // 100 * 10 + ({QUARTER_OF_PERIOD}))::INTEGER AS fiscal_quarter,
+       {CLASS_OF_NUMBER} AS account_class,
+       sum(transaction_currency_amt)::DECIMAL(38,5) AS transaction_currency_amt,
+       sum(sales_qty)::DECIMAL(38,5) AS sales_qty, count(*) AS row_cnt,
+       (sum(returns_qty)::DOUBLE / sum(sales_qty)::DOUBLE)::DECIMAL(9,6) AS return_rate
+FROM l WHERE company_id <= 5 AND {CLASS_OF_NUMBER} <> 'Tax' GROUP BY ALL"""),
     "measures_by_quarter": from_ledger(f"""
 SELECT (fiscal_year_period_nbr // 100 * 10 + ({QUARTER_OF_PERIOD}))::INTEGER AS fiscal_quarter,
        {CLASS_OF_NUMBER} AS account_class,
@@ -1507,6 +1514,17 @@ FROM (SELECT unnest(range({FIRST_YEAR}, {LAST_YEAR} + 1)) AS y)""",
 SELECT fiscal_year_period_nbr, count(*) AS row_cnt,
        sum(transaction_currency_amt)::DECIMAL(38,5) AS amt, min(gl_account_nbr) AS first_account
 FROM l GROUP BY ALL"""),
+    "replace_period": from_ledger("""
+SELECT fiscal_year_period_nbr, count(*) AS row_cnt,
+       (sum(transaction_currency_amt) * CASE WHEN fiscal_year_period_nbr // 100 = y THEN 2 ELSE 1 END)
+         ::DECIMAL(38,5) AS amt,
+       fiscal_year_period_nbr // 100 <> y AS files_kept
+FROM l, (SELECT max(fiscal_year_period_nbr // 100) AS y FROM l) GROUP BY fiscal_year_period_nbr, y"""),
+    "recluster_appended": from_ledger("""
+SELECT fiscal_year_period_nbr, count(*) AS row_cnt,
+       sum(transaction_currency_amt)::DECIMAL(38,5) AS amt,
+       fiscal_year_period_nbr // 100 <> y AS files_kept, false AS overlapping
+FROM l, (SELECT max(fiscal_year_period_nbr // 100) AS y FROM l) GROUP BY fiscal_year_period_nbr, y"""),
     "sized_append_write": """
 SELECT event_type, 2 * count(*) AS row_cnt, count(DISTINCT event_id) AS event_cnt
 FROM events GROUP BY event_type""",

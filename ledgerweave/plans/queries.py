@@ -35,16 +35,32 @@ from ledgerweave.functions.exprs import (
 from ledgerweave.functions.rng import RowRandom, from_units, to_units
 from ledgerweave.operators import agg, checks, fk
 from ledgerweave.operators.joins import Lookup, lookup, lookups
+from ledgerweave.operators.refresh import (
+    create_aggregate,
+    refresh_aggregate,
+    stored_aggregate,
+)
 from ledgerweave.plans.build import build, table_of
 from ledgerweave.session import tune
 from ledgerweave.sources.facts import income_statement_fact
 from ledgerweave.sources.generate import CALENDAR, FINITE, Volumes, generate, generate_clustered
-from ledgerweave.sources.schema import FACTS, RELATIONS, TABLES, Relation, project, row_key
+from ledgerweave.sources.schema import (
+    FACTS,
+    LAYOUTS,
+    RELATIONS,
+    TABLES,
+    Relation,
+    project,
+    row_key,
+)
 from ledgerweave.sources.spec import ID, Spec, ids_from
 from ledgerweave.sources.tables import (
     ROWS_PER_FILE,
+    overlapping_partitions,
     read_table,
     recluster,
+    recluster_appended,
+    replace_partitions,
     save_declared,
     save_table,
     scratch_path,
@@ -233,8 +249,7 @@ def weighted_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def threshold_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = event_rows(spark, sf_dir)
-    n = events.count()
-    position = keys.account_class_index(F.col(ID), n)
+    position = keys.account_class_index(F.col(ID))
     return events.select(
         F.col(ID).alias("event_id"),
         keys.of_class(position, [c.name for c in pools.ACCOUNT_CLASSES]).alias("category"),
@@ -257,7 +272,7 @@ def keyed_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         every(i, 5, 1, 0).cast("int").alias("etm_ind"),
         every(i, 3, "X", "").alias("revenue_ind"),
         status.alias("status_cd"),
-        keys.gl_account_nbr(i, 1, "cyclic").alias("account_nbr"),
+        keys.gl_account_nbr(i, "cyclic").alias("account_nbr"),
     )
 
 
@@ -486,7 +501,7 @@ def fk_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return assigned.select(
         "o_orderkey",
-        keys.gl_account_nbr(F.col("account"), 8_000).alias("gl_account_nbr"),
+        keys.gl_account_nbr(F.col("account")).alias("gl_account_nbr"),
         keys.cost_center_nbr(F.col("center")).alias("cost_center_nbr"),
         keys.document_type_cd(F.col("document")).alias("document_type_cd"),
         keys.company_cd(F.col("company")).alias("company_cd"),
@@ -612,33 +627,83 @@ def aggregate_by_quarter_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.roll_up(summed, ["fiscal_year_quarter_cd", "geography_nm", "account_class"])
 
 
+LEDGER_DIMENSIONS = {
+    "fiscal_year": "cast(floor(fiscal_year_period_nbr / 100) as int)",
+    "fiscal_quarter": (
+        "cast(floor(fiscal_year_period_nbr / 100) * 10"
+        " + ceil((fiscal_year_period_nbr % 100) * 4 / 13) as int)"
+    ),
+    "company_cd": "company_cd",
+    **{column: column for column in agg.GRAIN},
+}
+LEDGER_RETURN_RATE = (
+    "cast(cast(sum(returns_qty) as double) / cast(sum(sales_qty) as double) as decimal(9,6))"
+)
+
+
 def measure_view(rows: DataFrame, accounts: DataFrame) -> agg.MeasureView:
     return agg.MeasureView(
         agg.with_account_class(rows, accounts),
-        dimensions={
-            "fiscal_year": "cast(floor(fiscal_year_period_nbr / 100) as int)",
-            "fiscal_quarter": (
-                "cast(floor(fiscal_year_period_nbr / 100) * 10"
-                " + ceil((fiscal_year_period_nbr % 100) * 4 / 13) as int)"
-            ),
-            "account_class": "account_class",
-            "company_cd": "company_cd",
-            **{column: column for column in agg.GRAIN if column != "account_class"},
-        },
+        LEDGER_DIMENSIONS,
         measures={
             **{a: f"cast(sum({a}) as {agg.SUM_TYPE})" for a in agg.AMOUNTS},
             "row_cnt": "count(*)",
             "negative_share": (
                 "cast(count_if(transaction_currency_amt < 0) / count(*) as decimal(9,6))"
             ),
-            "return_rate": (
-                "cast(cast(sum(returns_qty) as double) / cast(sum(sales_qty) as double)"
-                " as decimal(9,6))"
-            ),
+            "return_rate": LEDGER_RETURN_RATE,
         },
     )
 
 
+def stored_view(aggregate: DataFrame) -> agg.MeasureView:
+    """What follows from the stored aggregate: a share of rows by sign doesn't."""
+    dimensions = dict(LEDGER_DIMENSIONS)
+    del dimensions["company_cd"]
+    return agg.MeasureView(
+        aggregate,
+        dimensions,
+        measures={
+            **{a: f"cast(sum({a}) as {agg.SUM_TYPE})" for a in agg.AMOUNTS},
+            "row_cnt": "cast(sum(row_cnt) as bigint)",
+            "return_rate": LEDGER_RETURN_RATE,
+        },
+    )
+
+
+def measures_from_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures whose dimensions and condition the stored aggregate holds, answered from it."""
+    path = scratch_path(spark, "aggregate")
+    rows, (accounts,) = with_parents(spark, sf_dir, "gl_account_dim")
+    create_aggregate(rows, accounts, path)
+    routed = agg.RoutedView(
+        measure_view(rows, accounts), stored_view(stored_aggregate(spark, path))
+    )
+    return routed.query(
+        by=["fiscal_quarter", "account_class"],
+        measures=["transaction_currency_amt", "sales_qty", "row_cnt", "return_rate"],
+        where="company_id <= 5 and account_class <> 'Tax'",
+    )
+
+
+def aggregate_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored aggregate after a first build and two appends, each a third of the orders."""
+    sized = volumes(spark, sf_dir)
+    accounts = generate(spark, "gl_account_dim", sized, SPEC)
+    ids = ids_from(read(spark, sf_dir, "orders"), F.col("o_orderkey"))
+    last = ids.agg(F.max(ID)).first()[0] or 0
+    path = scratch_path(spark, "aggregate")
+    for batch in range(3):
+        low, high = last * batch // 3, last * (batch + 1) // 3
+        part = ids.where(F.col(ID).between(low + (batch > 0), high))
+        rows = generate(spark, LEDGER, sized, SPEC, ids=part)
+        if batch == 0:
+            create_aggregate(rows, accounts, path)
+        else:
+            refresh_aggregate(spark, path, rows, accounts, batch)
+    return stored_aggregate(spark, path)
+
+
 def measures_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, (accounts,) = with_parents(spark, sf_dir, "gl_account_dim")
     return measure_view(rows, accounts).query(
@@ -871,6 +936,75 @@ def partitioned_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def files_of(saved: DataFrame) -> DataFrame:
+    """Each period's files."""
+    return saved.select("fiscal_year_period_nbr", F.input_file_name().alias("file")).distinct()
+
+
+def period_totals(spark: SparkSession, path: str, before: DataFrame) -> DataFrame:
+    """Totals of each period, and whether it has the files that it had before."""
+    saved = read_table(spark, path)
+    tagged = before.withColumn("side", F.lit(1)).unionAll(
+        files_of(saved).withColumn("side", F.lit(-1))
+    )
+    kept = (
+        tagged.groupBy("fiscal_year_period_nbr", "file")
+        .agg(F.sum("side").alias("side"))
+        .groupBy("fiscal_year_period_nbr")
+        .agg((F.max(F.abs("side")) == 0).alias("files_kept"))
+    )
+    totals = saved.groupBy("fiscal_year_period_nbr").agg(
+        F.count("*").alias("row_cnt"), F.sum("transaction_currency_amt").cast(SUM).alias("amt")
+    )
+    return totals.join(kept, "fiscal_year_period_nbr")
+
+
+def saved_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files of a saved ledger as they are now."""
+    before = scratch_path(spark, "files")
+    save_table(files_of(read_table(spark, path)), before)
+    return read_table(spark, before)
+
+
+def replaced_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last fiscal year's periods restated at twice their amounts, in place."""
+    path = scratch_path(spark, LEDGER)
+    sized = volumes(spark, sf_dir)
+    save_declared(ledger(spark, sf_dir, sized), LEDGER, path, sized.ledger_rows)
+    before = saved_files(spark, path)
+    doubled = (F.col("transaction_currency_amt") * 2).cast("decimal(28,5)")
+    year = F.floor(F.col("fiscal_year_period_nbr") / 100)
+    last = read_table(spark, path).agg(F.max(year)).first()[0]
+    restated = read_table(spark, path).where(year == last)
+    restated = restated.withColumn("transaction_currency_amt", doubled)
+    replace_partitions(spark, restated, path, LAYOUTS[LEDGER], row_key(LEDGER))
+    return period_totals(spark, path, before)
+
+
+def reclustered_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger that gets the last fiscal year's later rows by an append, clustered again there.
+
+    Per period its totals, whether its files stayed, and how many of them overlap afterwards.
+    """
+    path = scratch_path(spark, LEDGER)
+    sized = volumes(spark, sf_dir)
+    rows = ledger(spark, sf_dir, sized)
+    late = (F.floor(F.col("fiscal_year_period_nbr") / 100) == sized.last_fiscal_year) & (
+        F.col(row_key(LEDGER)) > sized.ledger_rows // 2
+    )
+    save_declared(rows.where(~late), LEDGER, path, sized.ledger_rows)
+    save_declared(rows.where(late), LEDGER, path, sized.ledger_rows, mode="append")
+    before = saved_files(spark, path)
+    layout = LAYOUTS[LEDGER]
+    recluster_appended(spark, path, layout, row_key(LEDGER))
+    left = overlapping_partitions(
+        read_table(spark, path), layout.partition_by[0], layout.cluster_by[0]
+    )
+    return period_totals(spark, path, before).withColumn(
+        "overlapping", F.col("fiscal_year_period_nbr").isin(left)
+    )
+
+
 def sized_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events spread over the files they need, appended twice and counted back."""
     path = scratch_path(spark, "events")
@@ -984,6 +1118,8 @@ QUERIES: dict[str, Query] = {
     "agg_ledger": aggregate,
     "agg_ledger_described": aggregate_described,
     "agg_ledger_quarter_region": aggregate_by_quarter_region,
+    "agg_refresh": aggregate_refreshed,
+    "measures_from_aggregate": measures_from_aggregate,
     "measures_by_quarter": measures_by_quarter,
     "measures_sql_view": measures_sql_view,
     "agg_reconcile": aggregate_reconciled,
@@ -1005,6 +1141,8 @@ QUERIES: dict[str, Query] = {
     "hierarchy_nesting_check": hierarchy_nesting,
     "ledger_rules": ledger_rules,
     "partitioned_write": partitioned_ledger,
+    "replace_period": replaced_periods,
+    "recluster_appended": reclustered_appends,
     "sized_append_write": sized_files,
     "clustered_write_stats": clustered_files,
     "build_report": build_report,

@@ -451,10 +451,10 @@ def gl_account_dim(ids: DataFrame, n: int, spec: Spec) -> DataFrame:
     label = (
         cyclic_pick(labels, i)
         if spec.cyclic
-        else keys.of_class(keys.account_class_index(i, n), labels)
+        else keys.of_class(keys.account_class_index(i), labels)
     )
     numbered = ids.select(
-        ID, label.alias("label"), keys.gl_account_nbr(i, n, spec.style).alias("nbr")
+        ID, label.alias("label"), keys.gl_account_nbr(i, spec.style).alias("nbr")
     )
     short = F.concat(F.col("label"), F.lit(" Acct "), F.col("nbr"))
     return project(

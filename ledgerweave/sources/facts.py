@@ -136,7 +136,7 @@ def general_ledger_fact(
         random.standard_normal("amount").alias("normal"),
         random.sign("sign", pools.NEGATIVE_SHARE).alias("sign"),
         to_units(random.between("sales_qty", *pools.SALES_QTY_RANGE)).alias("sales"),
-    ).withColumn("class_index", keys.account_class_index(F.col("account"), parents.accounts))
+    ).withColumn("class_index", keys.account_class_index(F.col("account")))
     valued = keyed.withColumn(
         "base", amount_by_class(F.col("normal"), F.col("class_index"))
     )
@@ -144,7 +144,7 @@ def general_ledger_fact(
     account, class_index = F.col("account"), F.col("class_index")
     base, sign, sales = F.col("base"), F.col("sign"), F.col("sales")
     account_nbr = (
-        keys.gl_account_nbr(account, parents.accounts, spec.style)
+        keys.gl_account_nbr(account, spec.style)
         if spec.cyclic
         else keys.account_number(account, class_index).cast("string")
     )
@@ -261,7 +261,7 @@ def income_statement_fact(
         random.standard_normal("amount").alias("normal"),
         random.sign("sign", pools.NEGATIVE_SHARE).alias("sign"),
         to_units(random.between("qty", 0, 50_000)).alias("qty"),
-    ).withColumn("class_index", keys.account_class_index(F.col("account"), parents.accounts))
+    ).withColumn("class_index", keys.account_class_index(F.col("account")))
     valued = keyed.withColumn(
         "base", amount_by_class(F.col("normal"), F.col("class_index"))
     )
@@ -283,7 +283,7 @@ def income_statement_fact(
         for name, units in amounts.items()
     }
     account_nbr = (
-        keys.gl_account_nbr(F.col("account"), parents.accounts, spec.style)
+        keys.gl_account_nbr(F.col("account"), spec.style)
         if spec.cyclic
         else keys.account_number(F.col("account"), F.col("class_index"))
     )

@@ -213,7 +213,7 @@ def _account_hierarchy(n: int, spec: Spec, accounts: int) -> dict[str, Column]:
         account = cyclic_number(i, 8_000, 1_000_000).cast("string")
         first_account = cyclic_number(i, 7_000, 1_000_000)
     else:
-        account = keys.gl_account_nbr(cyclic_number(i, accounts, 1), accounts)
+        account = keys.gl_account_nbr(cyclic_number(i, accounts, 1))
         # The declared type is an int: the account's seven digits, without its round.
         first_account = F.pmod(account.cast("bigint"), F.lit(keys.ROUND)).cast("int")
     return {

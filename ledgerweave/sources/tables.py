@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerweave.sources.schema import LAYOUTS, Layout, row_key
@@ -146,6 +146,80 @@ def save_declared(
     )
 
 
+def replace_partitions(
+    spark: SparkSession,
+    df: DataFrame,
+    target: str,
+    layout: Layout,
+    row_id: str,
+    rows: int | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> None:
+    """Put rows in place of those partitions of a saved table that they fall in.
+
+    The other partitions keep their files.  The rows may come from the table itself: the new
+    files are complete before an old one goes.  A partition that gets no row stays as it is.
+    """
+    if not layout.partition_by:
+        raise ValueError("only partitions can be replaced, and the layout has none")
+    by = [*layout.partition_by, *layout.cluster_by]
+    ranged = cluster(df, by, row_id, None if rows is None else file_count(rows, rows_per_file))
+    if "/" in target:
+        (
+            ranged.write.format("parquet")
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
+            .option("maxRecordsPerFile", rows_per_file)
+            .partitionBy(*layout.partition_by)
+            .save(target)
+        )
+        return
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        ranged.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+    finally:
+        spark.conf.set(name, before)
+    spark.catalog.refreshTable(target)
+
+
+def overlapping_partitions(saved: DataFrame, partition: str, column: str) -> list:
+    """The partitions with files whose ranges of a column overlap by more than an end.
+
+    One row per file is looked at, within its partition; at most one per partition comes back.
+    The files of one clustered write don't overlap, those of an append lie across them.
+    """
+    files = saved.groupBy(partition, F.input_file_name().alias("_file")).agg(
+        F.min(column).alias("_low"), F.max(column).alias("_high")
+    )
+    before = Window.partitionBy(partition).orderBy("_low", "_high")
+    reached = F.max("_high").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    crossing = files.withColumn("_reached", reached).where(F.col("_low") < F.col("_reached"))
+    return sorted(r[0] for r in crossing.select(partition).distinct().collect())
+
+
+def recluster_appended(
+    spark: SparkSession,
+    target: str,
+    layout: Layout,
+    row_id: str,
+    rows: int | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> list:
+    """Cluster again those partitions of a saved table that appends have left overlapping.
+
+    Returns them; the others keep their files.  The layout's first columns decide.
+    """
+    partition, column = layout.partition_by[0], layout.cluster_by[0]
+    chosen = overlapping_partitions(read_table(spark, target), partition, column)
+    if chosen:
+        saved = read_table(spark, target).where(F.col(partition).isin(chosen))
+        replace_partitions(spark, saved, target, layout, row_id, rows, rows_per_file)
+    return chosen
+
+
 def recluster(
     spark: SparkSession,
     source: str,

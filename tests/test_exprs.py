@@ -17,6 +17,7 @@ from ledgerweave.functions.exprs import (
     shrinking_level_sizes,
     zero_pad,
 )
+from ledgerweave.sources.generate import Volumes, generate
 
 
 @given(st.integers(1, 10**9), st.integers(1, 40), st.integers(1, 12))
@@ -57,8 +58,9 @@ def test_case_without_branches_is_the_default(spark):
     assert spark.range(1).select(case([], F.lit("x"))).first()[0] == "x"
 
 
-def threshold_account(i: int, n: int) -> tuple[str, int]:
-    ratio, total, seen = (i % n) / n, sum(c.weight for c in pools.ACCOUNT_CLASSES), 0
+def threshold_account(i: int) -> tuple[str, int]:
+    total, seen = sum(c.weight for c in pools.ACCOUNT_CLASSES), 0
+    ratio = i * 61 % total / total
     for c in pools.ACCOUNT_CLASSES:
         seen += c.weight
         if ratio < seen / total:
@@ -69,20 +71,20 @@ def threshold_account(i: int, n: int) -> tuple[str, int]:
 
 @pytest.mark.parametrize("n", [7, 1_000, 8_000])
 def test_threshold_pick_matches_python(spark, n):
-    index = keys.account_class_index(F.col("id"), n)
+    index = keys.account_class_index(F.col("id"))
     rows = spark.range(1, n + 1).select(
         "id",
         keys.of_class(index, [c.name for c in pools.ACCOUNT_CLASSES]).alias("name"),
         keys.account_number(F.col("id"), index).alias("nbr"),
     )
     found = {r.id: (r.name, r.nbr) for r in rows.collect()}
-    assert found == {i: threshold_account(i, n) for i in range(1, n + 1)}
+    assert found == {i: threshold_account(i) for i in range(1, n + 1)}
     assert len({nbr for _, nbr in found.values()}) == n
 
 
 @pytest.mark.parametrize("n", [90_000, 2_500_000])
 def test_account_numbers_stay_distinct_and_in_their_class(spark, n):
-    index = keys.account_class_index(F.col("id"), n)
+    index = keys.account_class_index(F.col("id"))
     rows = spark.range(1, n + 1, 1, 4).select(
         keys.of_class(index, [c.start for c in pools.ACCOUNT_CLASSES]).alias("start"),
         keys.account_number(F.col("id"), index).alias("nbr"),
@@ -92,17 +94,24 @@ def test_account_numbers_stay_distinct_and_in_their_class(spark, n):
     assert rows.where(leading).count() == 0
 
 
-def test_an_account_keeps_its_number_whatever_their_count(spark):
-    one = spark.createDataFrame([(1,)], "id bigint")
-    found = {
-        one.select(keys.gl_account_nbr(F.col("id"), n)).first()[0] for n in (10, 999_999, 10_000_000)
-    }
-    assert found == {"1000001"}
+def test_accounts_keep_their_numbers_whatever_their_count(spark, salted):
+    def numbers(n):
+        accounts = generate(spark, "gl_account_dim", Volumes(rows={"gl_account_dim": n}), salted)
+        first = accounts.where("gl_accnt_id <= 8000")
+        return {r[0]: r[1] for r in first.select("gl_accnt_id", "gl_account_nbr").collect()}
 
+    first = numbers(8_000)
+    assert len(first) == len(set(first.values())) == 8_000
+    for n in (8_001, 16_000, 10_000_000):
+        assert numbers(n) == first
 
-def test_there_must_be_accounts():
-    with pytest.raises(ValueError):
-        keys.account_class_index(None, 0)
+
+def test_classes_share_the_accounts_by_weight(spark):
+    index = keys.account_class_index(F.col("id"))
+    counts = spark.range(1, 1_001).groupBy(index.alias("i")).count().orderBy("i").collect()
+    assert [r["count"] for r in counts] == [10 * c.weight for c in pools.ACCOUNT_CLASSES]
+    # Even a few accounts spread over the classes.
+    assert spark.range(1, 21).select(index.alias("i")).distinct().count() >= 7
 
 
 def test_listed_codes_then_synthetic_ones(spark):

@@ -128,7 +128,9 @@ def test_chained_lookups_hold_the_child_once(spark, physical_plan, tmp_path):
         Lookup(parent.withColumnRenamed("v", f"v{i}"), f"k{i}", "pk", [f"v{i}"]) for i in range(5)
     ]
     joined = lookups(child, steps, "id", 0, rows_per_task=500)
-    assert physical_plan(joined).count(f"{tmp_path}/child") == 1
+    # Only the child's scan reads k1; paths may be shortened in a plan.
+    scans = [s for s in physical_plan(joined).split("ReadSchema: ")[1:] if "k1:" in s.split(">")[0]]
+    assert len(scans) == 1
     first = joined.where("k = 7").select(*(f"v{i}" for i in range(5))).first()
     assert tuple(first) == (14, 16, 18, 20, 22)
 
