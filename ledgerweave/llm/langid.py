@@ -11,10 +11,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.llm.common import chunks, hash_sample, held_out, learnable
+from ledgerweave.llm.common import chunks, held_out, learnable
 
-#: About so many labelled documents train the model, however many there are.
-SAMPLE = 4000
+#: About so many labelled documents train the model, however many there are: each language in
+#: proportion, but LEAST of its documents, or all if it has fewer.
+SAMPLE, LEAST = 4000, 100
 BITS = 14
 ORDERS = (1, 2, 3)
 EPOCHS = 3
@@ -91,16 +92,52 @@ def follow_leader(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray,
     return weights[:, :-1], weights[:, -1]
 
 
+def sample_languages(usable: DataFrame, size: int, least: int = LEAST) -> DataFrame:
+    """About ``size`` rows by a hash of their ids, each language with its share or ``least``."""
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).collect()  # one per language
+    total = sum(r["n"] for r in counts)
+    shares = [(r["lang"], min(1.0, max(size * r["n"] / total, least) / r["n"])) for r in counts]
+    named = usable.sparkSession.createDataFrame(shares, "lang string, _share double")
+    drawn = F.pmod(F.xxhash64(F.lit(4), F.col("doc_id")), F.lit(1 << 40))
+    chosen = usable.join(F.broadcast(named), "lang").where(drawn < F.col("_share") * (1 << 40))
+    return chosen.select(*usable.columns)
+
+
+def document_frequencies(usable: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many of all rows each slot's n-grams stand, and how many have any.
+
+    Each task sums its own rows; what comes back is one number per slot.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((1 << BITS) + 1, np.int64)
+        for batch in chunks(batches):
+            for text in batch.column("text").to_pylist():
+                used = np.flatnonzero(gram_counts(text or ""))
+                sums[used] += 1
+                sums[-1] += len(used) > 0
+        slots = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(sums[slots])], ["slot", "n"])
+
+    each = usable.select("text").mapInArrow(run, "slot long, n long")
+    out = np.zeros((1 << BITS) + 1)
+    for slot, n in each.groupBy("slot").agg(F.sum("n")).collect():  # at most one per slot
+        out[slot] = n
+    return out[:-1], int(out[-1])
+
+
 def train(docs: DataFrame, sample_size: int = SAMPLE) -> Model:
     """Fit on about ``sample_size`` whole documents with a language, whose ids training may use.
 
-    Executors count the n-grams; only the sample's sparse counts come to the driver.  Four
-    fifths train the weights, the rest the temperature.
+    Executors count the n-grams; only the sample's sparse counts come to the driver.  Document
+    frequencies are those of all rows with a language that training may use.  Four fifths of
+    the sample train the weights, the rest the temperature.
     """
     usable = docs.where(learnable() & F.col("lang").isNotNull()).select(
         F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")
     )
-    sample = hash_sample(usable, "doc_id", sample_size, usable.count(), seed=4)
+    sample = sample_languages(usable, sample_size)
+    present, documents = document_frequencies(usable)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -122,10 +159,7 @@ def train(docs: DataFrame, sample_size: int = SAMPLE) -> Model:
     labels = np.array([names.index(r["lang"]) for r in fitted], int)
     slots = [np.frombuffer(bytes(r["slots"]), np.uint16).astype(int) for r in fitted]
     numbers = [np.frombuffer(bytes(r["numbers"]), np.uint32).astype(float) for r in fitted]
-    present = np.zeros(1 << BITS)
-    for s in slots:
-        present[s] += 1
-    idf = np.log((1 + len(fitted)) / (1 + present)) + 1
+    idf = np.log((1 + documents) / (1 + present)) + 1
     if len(names) < 2:
         shape = (1 << BITS, len(names))
         return Model(names, np.zeros(shape), np.zeros(len(names)), idf, 1.0)

@@ -219,9 +219,11 @@ def verified(docs: DataFrame, sets: DataFrame, clusters: DataFrame) -> DataFrame
     """
     sized = clusters.groupBy("component").agg(F.count("*").alias("members"))
     nodes = clusters.join(sized, "component").join(sets, "node")
-    wanted = nodes.select("node", "component", "members", "copies", "key_a", "key_b")
+    wanted = nodes.select(
+        "first_id", "node", "component", "members", "copies", "key_a", "key_b"
+    )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    picked = texts.join(wanted, texts["doc_id"] == wanted["node"])
+    picked = texts.join(wanted, texts["doc_id"] == wanted["first_id"])
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["component", "node", "members", "copies", "set", "signature"]
@@ -305,44 +307,68 @@ def _all_overlaps(sets: list[np.ndarray]) -> np.ndarray:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Links and classes of documents: doc_id, class_id, n_links, kept.
 
+    See ``classified``; of the rows with a kept id, those with the kept set are kept.
+    """
+    return classified(docs).select("doc_id", "class_id", "n_links", "kept")
+
+
+def classified(docs: DataFrame) -> DataFrame:
+    """Links and classes of documents: doc_id, key_a, key_b, class_id, n_links, kept.
+
     Two documents are linked if their five-word shingle sets have a Jaccard similarity of 0.8
     or more.  A class is what links reach; its smallest doc_id names it and is kept.  n_links
     counts the other documents linked directly, copies included.  Documents with equal sets
-    are joined as one set.  A document without words, null ones among them, has no links, nor
-    has a row without an id.  Rows with one id share their links' class.  A pair at exactly
-    0.8 is missed by the bands with a chance of 5e-5 and dropped by the pruning with 5e-5;
-    more similar pairs with less.
+    are joined as one set.  Of rows with one id, each has the links and the class of its own
+    text; if a class's smallest id stands on several of its texts, one of them is kept.  A
+    document without words, null ones among them, has no links, nor has a row without an id.
+    A pair at exactly 0.8 is missed by the bands with a chance of 5e-5 and dropped by the
+    pruning with 5e-5; more similar pairs with less.
     """
     rows = written(sketch(docs), "sketch")
     usable = rows.where("shingles > 0 and doc_id is not null")
     sets = written(
         usable.groupBy("key_a", "key_b", "shingles").agg(
-            F.min("doc_id").alias("node"),
+            F.min("doc_id").alias("first_id"),
             F.count("*").alias("copies"),
             F.first("signature").alias("signature"),
-        ),
+        )
+        .withColumn("node", F.monotonically_increasing_id()),  # fixed once it is written
         "sets",
     )
     clusters = components(candidate_edges(sets))
     found = written(verified(docs, sets.drop("signature"), clusters), "links")
-    classes = components(found.where("b is not null").select("a", "b"))
+    classes = written(components(found.where("b is not null").select("a", "b")), "classes")
+    first = (
+        classes.join(sets.select("node", "first_id"), "node")
+        .groupBy("component")
+        .agg(F.min(F.struct("first_id", "node")).alias("one"))
+    )
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("linked"))
-    sets = sets.drop("signature").join(classes, "node", "left").join(links, "node", "left")
+    named = (
+        sets.drop("signature")
+        .join(classes.join(first, "component"), "node", "left")
+        .join(links, "node", "left")
+        .withColumn("one", F.coalesce("one", F.struct("first_id", "node")))
+    )
     joined = rows.drop("signature").join(
-        sets.select("key_a", "key_b", "shingles", "node", "copies", "component", "linked"),
+        named.select("key_a", "key_b", "shingles", "node", "copies", "one", "linked"),
         ["key_a", "key_b", "shingles"],
         "left",
     )
     alone = F.col("doc_id").isNull() | F.col("node").isNull()
-    out = joined.select(
+    class_id = F.when(alone, F.col("doc_id")).otherwise(F.col("one.first_id"))
+    own = (F.col("doc_id") == class_id) & (F.col("node") == F.col("one.node"))
+    return joined.select(
         "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component", "node")).alias("class_id"),
+        "key_a",
+        "key_b",
+        class_id.alias("class_id"),
         F.when(alone, 0)
         .otherwise(F.col("copies") - 1 + F.coalesce("linked", F.lit(0)))
         .cast("long")
         .alias("n_links"),
+        (alone | own).alias("kept"),
     )
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
 def one_of_each_class(docs: DataFrame) -> DataFrame:
@@ -350,12 +376,21 @@ def one_of_each_class(docs: DataFrame) -> DataFrame:
 
     Rows with one id and equal sets are one document: one of them stays.
     """
-    key, a, b = (free_name(docs, n) for n in ("_kept", "_key_a", "_key_b"))
+    key, a, b, c, d = (free_name(docs, f"_{n}") for n in ("id", "a", "b", "c", "d"))
 
     def keys(batch: pa.RecordBatch) -> list[pa.Array]:
         return set_keys(*shingle_sets(batch))
 
-    dropped = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias(key)).distinct()
-    kept = docs.join(dropped, docs["doc_id"].cast("long") == dropped[key], "left_anti")
-    named = append_columns(kept, keys, [a, b], ["long", "long"])
-    return named.dropDuplicates(["doc_id", a, b]).select(*docs.columns)
+    dropped = classified(docs).where("not kept").select(
+        F.col("doc_id").alias(key), F.col("key_a").alias(c), F.col("key_b").alias(d)
+    )
+    named = append_columns(docs, keys, [a, b], ["long", "long"])
+    # By id and set, since an id may stand on other texts, too; the same keys then leave one of
+    # equal rows, so the texts are shuffled once.
+    same = (
+        (named["doc_id"].cast("long") == dropped[key])
+        & (named[a] == dropped[c])
+        & (named[b] == dropped[d])
+    )
+    kept = named.join(dropped.distinct(), same, "left_anti")
+    return kept.dropDuplicates(["doc_id", a, b]).select(*docs.columns)

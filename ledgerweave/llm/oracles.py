@@ -145,3 +145,61 @@ REPEATS = f"""
            coalesce(n_spans, 0) as n_spans, sha256(coalesce(unhex(rest), b)) as kept_sha256
     from texts left join sums using (row) left join pieces using (row)
 """
+
+
+_CLOSURE = """
+    reach(a, b) as (
+        select id, id from nodes
+        union
+        select reach.a, links.b from reach join links on reach.b = links.a
+    ), classes as (
+        select a as id, min(b) as class from reach group by a
+    ), counts as (
+        select a as id, count(*) as n from links group by a
+    )
+"""
+
+NGRAMS = rf"""
+    with recursive words as (
+        select doc_id as id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') as w
+        from documents
+    ), shingles as (
+        select distinct id, array_to_string(w[i:i + 4], ' ') as shingle
+        from (select id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) as i
+              from words)
+    ), sizes as (
+        select id, count(*) as size from shingles group by id
+    ), shared as (
+        select a.id as a, b.id as b, count(*) as common
+        from shingles a join shingles b on a.shingle = b.shingle and a.id <> b.id
+        group by a.id, b.id
+    ), links as materialized (
+        select a, b from shared join sizes x on x.id = a join sizes y on y.id = b
+        where 10 * common >= 8 * (x.size + y.size - common)
+    ), nodes as (
+        select id from words
+    ), {_CLOSURE}
+    select words.id as doc_id, class as class_id, coalesce(n, 0) as n_links,
+           words.id = class as kept
+    from words join classes using (id) left join counts using (id)
+"""
+
+VECTORS = f"""
+    with recursive usable as (
+        select vec_id as id, embedding::double[] as v
+        from embeddings
+        where len(embedding) > 0
+          and len(list_filter(embedding, lambda x: x is not null and isfinite(x)))
+              = len(embedding)
+          and len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links as materialized (
+        select a.id as a, b.id as b
+        from usable a join usable b on a.id <> b.id and len(a.v) = len(b.v)
+        where list_cosine_similarity(a.v, b.v) >= 0.9
+    ), nodes as (
+        select vec_id as id from embeddings
+    ), {_CLOSURE}
+    select nodes.id as vec_id, coalesce(n, 0) as n_links, class as component_id,
+           nodes.id = class as kept
+    from nodes join classes using (id) left join counts using (id)
+"""

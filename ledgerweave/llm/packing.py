@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from ledgerweave.llm.common import chunks, exclusive_total, written
 
@@ -48,6 +49,25 @@ def load_encoding(path: str):
     return tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
 
 
+def encoder(path: str) -> Callable[[str], list[int]]:
+    """From a text to its ids, special tokens included where the text spells them.
+
+    The fast encoder's pattern gives up on very long runs of white space; such texts go to the
+    library that the file is written for.
+    """
+    fast, exact = load_encoding(path), []
+
+    def ids(text: str) -> list[int]:
+        try:
+            return fast.encode(text, allowed_special="all")
+        except ValueError:
+            if not exact:
+                exact.append(Tokenizer.from_file(path))
+            return list(exact[0].encode(text, add_special_tokens=False).ids)
+
+    return ids
+
+
 def pieces_of(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> DataFrame:
     """The documents' token ids, cut every ``sequence`` ids: one row for each piece.
 
@@ -56,12 +76,11 @@ def pieces_of(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> DataFrame
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = load_encoding(path)
+        encode = encoder(path)
         for batch in chunks(batches):
             rows = []
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                ids = encoding.encode(text or "", allowed_special="all")
-                ids.append(SEPARATOR)
+                ids = [*encode(text or ""), SEPARATOR]
                 packed = np.array(ids, "<u4")
                 for start in range(0, len(ids), sequence):
                     piece = packed[start : start + sequence]

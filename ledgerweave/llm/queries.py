@@ -18,7 +18,7 @@ from ledgerweave.llm.license_scan import scan
 from ledgerweave.llm.mixing import mix_report
 from ledgerweave.llm.near_vectors import near_vectors
 from ledgerweave.llm.ngram_join import near_duplicates
-from ledgerweave.llm.oracles import LEXICAL, LOWERED, MEANS, REPEATS
+from ledgerweave.llm.oracles import LEXICAL, LOWERED, MEANS, NGRAMS, REPEATS, VECTORS
 from ledgerweave.llm.packing import pack
 from ledgerweave.llm.pii import find_pii
 from ledgerweave.llm.repeated_spans import without_repeats
@@ -118,6 +118,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 ORACLES = {
+    "op1_ngram_join": NGRAMS,
+    "op3_near_vectors": VECTORS,
     "op4_chat_format": r"""
         with given as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text

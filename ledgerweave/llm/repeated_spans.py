@@ -334,7 +334,7 @@ def in_blocks(contested: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, size = [], 0
-        for batch in batches:
+        for batch in chunks(batches, "bytes", BLOCK):
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if size >= BLOCK and row[0] != block[-1][0]:
                     yield results(block)
@@ -442,7 +442,7 @@ def repeats(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
     rows = rows.where("trigger is not null")
     parts = [known]
     for width in (*WIDTHS, None):
-        shared = rows.groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1 ")
+        shared = rows.groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1")
         # Equal stretches of one text were counted as one, but have told of themselves.
         rows = written(rows.join(shared.select("trigger"), "trigger", "left_semi"), "shared")
         classes = written(
