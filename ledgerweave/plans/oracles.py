@@ -1529,6 +1529,7 @@ FROM l, (SELECT max(fiscal_year_period_nbr // 100) AS y FROM l) GROUP BY fiscal_
 SELECT event_type, 2 * count(*) AS row_cnt, count(DISTINCT event_id) AS event_cnt
 FROM events GROUP BY event_type""",
     "build_report": _build_report(),
+    "build_resumed": _build_report().replace("'OK'", "'KEPT'"),
     "build_then_check": _built(),
     "clustered_write_stats": " UNION ALL ".join(
         f"SELECT '{layout}' AS layout, count(*) AS row_cnt, sum(l_partkey)::BIGINT AS sum_l_partkey, "

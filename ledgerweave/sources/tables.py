@@ -105,7 +105,8 @@ def save_table(
 
     A layout ranges the rows by partition and cluster columns before the write, so a task
     touches few partitions and every file covers a narrow range of the cluster columns.
-    ``already_partitioned`` rows are only sorted where they are.
+    ``already_partitioned`` rows are only sorted where they are.  An overwrite is written beside
+    the table, which takes its place when it is complete: if it fails, the former one stays.
     """
     by = [*layout.partition_by, *layout.cluster_by]
     if by and already_partitioned:
@@ -120,10 +121,69 @@ def save_table(
     )
     if layout.partition_by:
         writer = writer.partitionBy(*layout.partition_by)
-    if "/" in target:
-        writer.save(target)
+    spark = df.sparkSession
+    if mode != "overwrite":
+        writer.save(target) if "/" in target else writer.saveAsTable(target)
+    elif "/" in target:
+        fresh = f"{target.rstrip('/')}__{uuid.uuid4().hex}"
+        writer.save(fresh)
+        _swap_folders(spark, fresh, target.rstrip("/"))
     else:
-        writer.saveAsTable(target)
+        fresh = f"{target}__{uuid.uuid4().hex}"
+        # A place of its own, which stays the table's whatever its name will be.
+        writer.option("path", _place_of(spark, fresh)).saveAsTable(fresh)
+        _swap_tables(spark, fresh, target)
+
+
+def _place_of(spark: SparkSession, name: str) -> str:
+    """A folder for a new table, beside its database's others."""
+    *database, table = name.split(".")
+    found = spark.catalog.getDatabase(".".join(database) or spark.catalog.currentDatabase())
+    return f"{found.locationUri.rstrip('/')}/{table}"
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    """Where a table's files are."""
+    described = spark.sql(f"describe table extended {name}").collect()
+    return next(r["data_type"] for r in described if r["col_name"] == "Location")
+
+
+def _swap_folders(spark: SparkSession, fresh: str, target: str) -> None:
+    """Put a complete folder in a former one's place; only then does the former one go."""
+    jvm = spark.sparkContext._jvm
+    new, place, former = (
+        jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, target, f"{fresh}_former")
+    )
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = store.exists(place)
+    if there and not store.rename(place, former):
+        raise OSError(f"can't move {target}")
+    if not store.rename(new, place):
+        if there:
+            store.rename(former, place)
+        raise OSError(f"can't move {fresh} to {target}")
+    if there:
+        store.delete(former, True)
+
+
+def _swap_tables(spark: SparkSession, fresh: str, target: str) -> None:
+    """Give a complete table a former one's name; only then does the former one go."""
+    if not spark.catalog.tableExists(target):
+        spark.sql(f"alter table {fresh} rename to {target}")
+        return
+    former = f"{fresh}_former"
+    spark.sql(f"alter table {target} rename to {former}")
+    spark.sql(f"alter table {fresh} rename to {target}")
+    place = _location(spark, former)
+    spark.sql(f"drop table {former}")
+    _delete(spark, place)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder that no table has any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.delete(place, True)
 
 
 def save_declared(
