@@ -1523,8 +1523,8 @@ FROM l, (SELECT max(fiscal_year_period_nbr // 100) AS y FROM l) GROUP BY fiscal_
     "recluster_appended": from_ledger("""
 SELECT fiscal_year_period_nbr, count(*) AS row_cnt,
        sum(transaction_currency_amt)::DECIMAL(38,5) AS amt,
-       fiscal_year_period_nbr // 100 <> y AS files_kept, false AS overlapping
-FROM l, (SELECT max(fiscal_year_period_nbr // 100) AS y FROM l) GROUP BY fiscal_year_period_nbr, y"""),
+       false AS overlapping, true AS as_needed, true AS late_only
+FROM l GROUP BY fiscal_year_period_nbr"""),
     "sized_append_write": """
 SELECT event_type, 2 * count(*) AS row_cnt, count(DISTINCT event_id) AS event_cnt
 FROM events GROUP BY event_type""",

@@ -984,7 +984,8 @@ def replaced_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reclustered_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A ledger that gets the last fiscal year's later rows by an append, clustered again there.
 
-    Per period its totals, whether its files stayed, and how many of them overlap afterwards.
+    Per period its totals, whether files overlap afterwards, whether its files stayed unless
+    they overlapped, and whether only that year's did.
     """
     path = scratch_path(spark, LEDGER)
     sized = volumes(spark, sf_dir)
@@ -996,12 +997,18 @@ def reclustered_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
     save_declared(rows.where(late), LEDGER, path, sized.ledger_rows, mode="append")
     before = saved_files(spark, path)
     layout = LAYOUTS[LEDGER]
-    recluster_appended(spark, path, layout, row_key(LEDGER))
+    period = F.col("fiscal_year_period_nbr")
+    crossed = period.isin(recluster_appended(spark, path, layout, row_key(LEDGER)))
     left = overlapping_partitions(
         read_table(spark, path), layout.partition_by[0], layout.cluster_by[0]
     )
-    return period_totals(spark, path, before).withColumn(
-        "overlapping", F.col("fiscal_year_period_nbr").isin(left)
+    return period_totals(spark, path, before).select(
+        "fiscal_year_period_nbr",
+        "row_cnt",
+        "amt",
+        period.isin(left).alias("overlapping"),
+        (F.col("files_kept") == ~crossed).alias("as_needed"),
+        (~crossed | (F.floor(period / 100) == sized.last_fiscal_year)).alias("late_only"),
     )
 
 
