@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -34,9 +35,25 @@ NOTICES = {
     "this is free and unencumbered software released into the public domain": "unlicense",
     "permission to use, copy, modify, and/or distribute this software": "isc",
     "the author has waived all copyright and related or neighboring rights": "cc0",
+    "gnu affero general public license": "agpl",
+    "you may not use this file except in compliance with the license": "apache-2.0",
+    "neither the name of the copyright holder nor the names of its contributors": "bsd-3-clause",
+    "redistributions of source code must retain the above copyright notice": "bsd",
+    "distributed under the boost software license, version 1.0": "bsl-1.0",
+    "licensed under a creative commons attribution 4.0 international license": "cc-by-4.0",
+    "creative commons attribution-noncommercial": "cc-by-nc",
+    "creative commons attribution-sharealike": "cc-by-sa",
+    "made available under the terms of the eclipse public license": "epl",
+    "licensed under the european union public licence": "eupl",
+    "modify it under the terms of the gnu general public license": "gpl",
+    'the software is provided "as is", without warranty of any kind': "mit",
+    "no part of this publication may be reproduced": "no-reproduction",
+    "this software is provided 'as-is', without any express or implied warranty": "zlib",
 }
 #: One edit for so many characters of a notice.
 CHARACTERS_PER_EDIT = 12
+#: An edit touches so many grams of a notice at most, so a window lacking more holds no match.
+GRAM = 4
 WORD_BYTES = byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 _WORD = rb"[0-9a-z\x80-\xff]"
 
@@ -61,7 +78,7 @@ class Notices:
 
     def __init__(self) -> None:
         self.seeds = ahocorasick.Automaton()
-        self.notices = []
+        self.notices, self.grams = [], []
         found: dict[str, list[tuple[int, int]]] = {}
         for number, (notice, label) in enumerate(NOTICES.items()):
             edits = len(notice) // CHARACTERS_PER_EDIT
@@ -71,35 +88,52 @@ class Notices:
             pattern = regex.compile(
                 f"(?:{regex.escape(notice)}){{e<={edits}}}", regex.BESTMATCH | regex.VERSION1
             )
+            grams = [notice[i : i + GRAM] for i in range(len(notice) - GRAM + 1)]
             self.notices.append((notice, label, edits, pattern))
+            self.grams.append(grams)
         for seed, places in found.items():
             self.seeds.add_word(seed, (len(seed), places))
         self.seeds.make_automaton()
 
     def spans(self, text: str) -> list[tuple[int, int, str, float]]:
         """(start, end, label, score) of the notices in a lower-cased text."""
-        windows = set()
+        exact: set[tuple[int, int]] = set()
+        others: set[tuple[int, int]] = set()
         for end, (size, places) in self.seeds.iter(text):
             for number, at in places:
-                notice, _, edits, _ = self.notices[number]
-                begin = max(0, end + 1 - size - at - edits)
-                stop = min(len(text), end + 1 - size - at + len(notice) + edits)
-                windows.add((number, begin, stop))
+                place = (number, end + 1 - size - at)
+                if place not in exact and place not in others:
+                    begin = place[1]
+                    whole = begin >= 0 and text.startswith(self.notices[number][0], begin)
+                    (exact if whole else others).add(place)
+        out = set()
+        for number, begin in exact:
+            notice, label, _, _ = self.notices[number]
+            out.add((begin, begin + len(notice), label, 1.0))
         # Each by itself: a window holds one place at most, and the best match of a longer
         # stretch would hide the places before it.
-        out = set()
-        for number, begin, stop in windows:
-            notice, label, _, pattern = self.notices[number]
-            match = pattern.search(text, begin, stop)
+        for number, begin in others:
+            notice, label, edits, pattern = self.notices[number]
+            # A notice without an edit inside the window is its best match.
+            if any((number, begin + d) in exact for d in range(-edits, edits + 1)):
+                continue
+            stop = min(len(text), begin + len(notice) + edits)
+            window = text[max(0, begin - edits) : stop]
+            if sum(gram not in window for gram in self.grams[number]) > GRAM * edits:
+                continue
+            match = pattern.search(text, max(0, begin - edits), stop)
             if match:
-                edits = sum(match.fuzzy_counts)
-                out.add((match.start(), match.end(), label, 1 - edits / len(notice)))
-        # Notices resemble one another: of spans that overlap the best one counts.
+                made = sum(match.fuzzy_counts)
+                out.add((match.start(), match.end(), label, 1 - made / len(notice)))
+        # Notices resemble one another: of spans that overlap the best one counts.  Those kept
+        # lie apart, so only the neighbours of a new one can meet it.
         kept: list[tuple[int, int, str, float]] = []
         for span in sorted(out, key=lambda s: (-s[3], s[0] - s[1], s)):
-            if all(span[1] <= k[0] or span[0] >= k[1] for k in kept):
-                kept.append(span)
-        return sorted(kept)
+            at = bisect.bisect(kept, span)
+            before = at == 0 or kept[at - 1][1] <= span[0]
+            if before and (at == len(kept) or span[1] <= kept[at][0]):
+                kept.insert(at, span)
+        return kept
 
 
 def scan(docs: DataFrame) -> DataFrame:

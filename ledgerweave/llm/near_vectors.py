@@ -6,6 +6,7 @@ import functools
 import logging
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,10 @@ BLOCK = 256
 AUDITED, MOST_AUDITED = 256, 4096
 EVIDENCE, SMALL = 100, 64
 RECALL = 0.97
+#: Vectors with a neighbour so far below the threshold are audited besides those drawn from all.
+LIKELY = 0.05
+#: Draws in a row that may join nothing new while the audit still misses links.
+BARREN = 2
 LIST = "array<struct<sim: float, node: long, other: boolean>>"
 
 
@@ -309,6 +314,18 @@ def links_within(clusters: DataFrame, units: DataFrame) -> DataFrame:
     )
 
 
+class Audit(NamedTuple):
+    """A recall, or None where too few links were seen to tell, and what it rests on."""
+
+    recall: float | None
+    links: int
+    vectors: int
+
+    @property
+    def reached(self) -> bool:
+        return self.recall is not None and self.recall >= RECALL
+
+
 def lowest_recall(totals: np.ndarray, found: np.ndarray) -> float:
     """The least mean recall of vectors with about equally many links, or 1 without links.
 
@@ -321,25 +338,59 @@ def lowest_recall(totals: np.ndarray, found: np.ndarray) -> float:
     return min((float(shares[classes == c].mean()) for c in np.unique(classes)), default=1.0)
 
 
-def audit(located: DataFrame, count: int) -> float:
+def audit(located: DataFrame, count: int, lists: DataFrame | None = None) -> Audit:
     """The lowest recall of links by brute force between some vectors and all.
 
-    A link within a cluster is found, since all its pairs are compared.  More vectors are drawn
-    until small groups have shown enough links, up to MOST_AUDITED.
+    A link within a cluster is found, since all its pairs are compared.  Half of the vectors are
+    drawn from all, half from those that ``lists`` show with a neighbour near the threshold,
+    where links are likely.  More are drawn until small groups have shown enough links, up to
+    MOST_AUDITED of each half; then the recall is unknown, unless every vector was audited.
     """
+    likely = None
+    if lists is not None:
+        near = lists.where(F.exists("list", lambda to: to["sim"] >= THRESHOLD - LIKELY))
+        likely = written(located.join(near.select("node"), "node", "left_semi"), "likely")
+    likely_count = likely.count() if likely is not None else 0
     asked = AUDITED
     while True:
-        totals, found = counted(located, count, asked)
+        chosen = hash_sample(located, "node", asked, count, seed=9)
+        if likely is not None:
+            chosen = chosen.union(hash_sample(likely, "node", asked, likely_count, seed=10))
+        totals, found, drawn = counted(located, chosen.dropDuplicates(["node"]))
         evidence = int(totals[totals <= SMALL].sum())
-        if evidence >= EVIDENCE or asked >= min(count, MOST_AUDITED):
-            logger.info("an audit of %d vectors saw %d links in small groups", asked, evidence)
-            return lowest_recall(totals, found)
+        known = evidence >= EVIDENCE or drawn == count
+        if known or asked >= MOST_AUDITED:
+            return Audit(lowest_recall(totals, found) if known else None, evidence, drawn)
         asked = min(4 * asked, MOST_AUDITED)
 
 
-def counted(located: DataFrame, count: int, asked: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of about ``asked`` vectors the links with all others, and those within the own cluster."""
-    chosen = hash_sample(located, "node", asked, count, seed=9).collect()  # bounded
+def recaptured(edges: DataFrame, located: DataFrame, count: int) -> tuple[Audit, int]:
+    """The share of a fresh draw's links that lay within the clusters before it, and the others.
+
+    The draw's planes are independent of all earlier ones, so what it meets stands for all
+    links.  Links of small clusters are judged apart, so that large ones can't hide them.
+    """
+    size = Window.partitionBy("component")
+    at = located.select("node", "component")
+    at = at.select("node", "component", (F.count("*").over(size) <= SMALL).alias("small"))
+    a, b = F.least("node", "joined"), F.greatest("node", "joined")
+    pairs = edges.select(a.alias("a"), b.alias("b")).distinct()
+    pairs = pairs.join(at.toDF("a", "from", "small_from"), "a")
+    pairs = pairs.join(at.toDF("b", "to", "small_to"), "b")
+    sums = (
+        pairs.groupBy((F.col("small_from") & F.col("small_to")).alias("small"))
+        .agg(F.count("*").alias("met"), F.count_if(F.col("from") != F.col("to")).alias("new"))
+        .collect()  # two rows
+    )
+    met, new = sum(r["met"] for r in sums), sum(r["new"] for r in sums)
+    shares = [1 - r["new"] / r["met"] for r in sums if r["met"] >= EVIDENCE]
+    known = min([*shares, 1 - new / met]) if met >= EVIDENCE else None
+    return Audit(known, met, count), new
+
+
+def counted(located: DataFrame, drawn: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Of some vectors the links with all others, those within the own cluster; how many."""
+    chosen = drawn.collect()  # bounded
     by_size: dict[int, list[int]] = {}
     for i, r in enumerate(chosen):
         by_size.setdefault(len(r["unit"]), []).append(i)
@@ -379,11 +430,16 @@ def counted(located: DataFrame, count: int, asked: int) -> tuple[np.ndarray, np.
     parts = located.mapInArrow(run, "query long, every long, within long")
     sums = parts.groupBy("query").agg(F.sum("every"), F.sum("within")).collect()  # per query
     totals = np.array([r[1] for r in sums], np.int64)
-    return totals, np.array([r[2] for r in sums], np.int64)
+    return totals, np.array([r[2] for r in sums], np.int64), asked_count
 
 
 def near_vectors(vectors: DataFrame) -> DataFrame:
-    """Links and components of vectors: vec_id, n_links, component_id, kept.
+    """Links and components of vectors, as of ``search_vectors``, without its audit."""
+    return search_vectors(vectors)[0]
+
+
+def search_vectors(vectors: DataFrame) -> tuple[DataFrame, Audit]:
+    """Links and components of vectors: vec_id, n_links, component_id, kept; and the recall.
 
     Two vectors are linked if their cosine is 0.9 or more in double precision.  Equal vectors
     are searched for as one.  Each vector starts with the nearest of a few hash buckets; then
@@ -393,8 +449,11 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     clusters, all of whose pairs are compared.  Buckets are drawn in so many tables that a
     pair at the threshold meets with one chance at any size; a bucket over the block size is
     dealt out, which lowers it.  An audit compares some vectors with all; while any class of
-    vectors by number of links is below its target, new buckets are drawn.  Null, zero and non-finite vectors
-    link with nothing.  Rows with one id are one vector, of which the least usable one counts.
+    vectors by number of links is below its target, new buckets are drawn.  Where the audit meets
+    too few links to tell, the next draw's links are the evidence; where these are few, too, the
+    search ends with the first draw that joins nothing new, its recall unknown (None).  It also
+    ends, with the recall it has, when further draws join nothing new.  Null, zero and non-finite
+    vectors link with nothing.  Rows with one id are one vector, of which the least usable one counts.
     A row without an id is returned without links.  Equal vectors link like others.
     """
     rows = written(unit_vectors(vectors), "vectors")
@@ -402,9 +461,15 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     count = units.count()
     start = units.select("node", "unit", F.col("node").alias("component"), F.lit(False).alias("full"))
     lists, clusters, located, round_ = None, None, start, 0
+    result, barren = None, 0
     while True:
         seen = written(in_buckets(located, round_, count), "seen")
         round_ += 1
+        fresh = None
+        if result is not None:
+            edges = seen.where("joined is not null").select("node", "joined")
+            fresh, new = recaptured(edges, located, count)
+            barren = 0 if new else barren + 1
         joined = [seen.where("joined is not null").select("node", "joined")]
         drawn = seen.where("list is not null").select("node", "list")
         if lists is not None:
@@ -426,10 +491,15 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
         located = written(placed(units, clusters, lists), "located")
         if located.where("full").count() if first else close_entries(lists).where("other").count():
             continue
-        recall = audit(located, count)
-        logger.info("recall of audited links after %d draws: %.4f", round_, recall)
-        if recall >= RECALL:
+        result = audit(located, count, lists)
+        if result.recall is None and fresh is not None:
+            result = fresh
+        logger.info("after %d draws: %s", round_, result)
+        # Two unknowns with nothing new between them: there are hardly any links.
+        if result.reached or barren >= (1 if result.recall is None else BARREN):
             break
+    if not result.reached:
+        logger.warning("near vectors: the search ended with %s", result)
     found = written(links_within(clusters, units), "links")
     final = components(found.where("b is not null").select("a", "b"))
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("n"))
@@ -447,9 +517,10 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     ids = ids.where("vec_id is not null").distinct().union(ids.where("vec_id is null"))
     joined = ids.join(results, ids["vec_id"] == results["node"], "left")
     component = F.coalesce("component", "vec_id")
-    return joined.select(
+    report = joined.select(
         "vec_id",
         F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
         F.col("vec_id").eqNullSafe(component).alias("kept"),
     )
+    return report, result

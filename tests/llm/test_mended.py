@@ -3,10 +3,13 @@ replays of what SQL can't state."""
 
 from __future__ import annotations
 
+import random
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from awkward import COLUMNS, prose, row
@@ -14,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from ledgerweave.llm import langid, ngram_join, packing
+from ledgerweave.llm import langid, license_scan, near_vectors, ngram_join, packing
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -165,3 +168,103 @@ def test_the_packing_plan_is_near_the_best_one(seed):
     assert (covered >= demand).all()
     assert all((pattern * np.arange(1, capacity + 1)).sum() <= capacity for pattern, _ in plan)
     assert exact <= sum(times for _, times in plan) <= exact + np.count_nonzero(demand)
+
+
+# license scan: texts full of notices ---------------------------------------------------
+
+
+def edited(text: str, edits: int, rng: random.Random) -> str:
+    chars = list(text)
+    for _ in range(edits):
+        at, kind = rng.randrange(len(chars)), rng.randrange(3)
+        chars[at : at + (kind != 1)] = [["#"], ["#"], []][kind]
+    return "".join(chars)
+
+
+def spans_by_brute_force(notices: license_scan.Notices, text: str) -> list:
+    """The best match around every place, without seeds, filters or sorted neighbours."""
+    found = set()
+    for notice, label, edits, pattern in notices.notices:
+        for at in range(-edits, len(text)):
+            begin, stop = max(0, at - edits), min(len(text), at + len(notice) + edits)
+            pieces = (len(notice) * i // (edits + 1) for i in range(edits + 1))
+            ends = [len(notice) * (i + 1) // (edits + 1) for i in range(edits + 1)]
+            if any(
+                at + a >= 0 and text.startswith(notice[a:b], at + a) for a, b in zip(pieces, ends)
+            ):
+                match = pattern.search(text, begin, stop)
+                if match:
+                    score = 1 - sum(match.fuzzy_counts) / len(notice)
+                    found.add((match.start(), match.end(), label, score))
+    kept = []
+    for span in sorted(found, key=lambda s: (-s[3], s[0] - s[1], s)):
+        if all(span[1] <= k[0] or span[0] >= k[1] for k in kept):
+            kept.append(span)
+    return sorted(kept)
+
+
+def test_notices_side_by_side_equal_brute_force():
+    rng, notices = random.Random(5), license_scan.Notices()
+    short = [n for n in license_scan.NOTICES if len(n) < 50]
+    for _ in range(12):
+        many = [edited(rng.choice(short), rng.randrange(4), rng) for _ in range(rng.randrange(4))]
+        text = rng.choice(["", " ", "\n"]).join(many)
+        assert notices.spans(text) == spans_by_brute_force(notices, text)
+
+
+@pytest.mark.parametrize("edits", [0, 2])
+def test_thousands_of_notices_take_no_quadratic_time(edits):
+    rng, notices = random.Random(6), license_scan.Notices()
+    names = [*license_scan.NOTICES]
+    texts = [edited(rng.choice(names), edits, rng) for _ in range(4000)]
+    started = time.monotonic()
+    spans = notices.spans(" ".join(texts))
+    assert time.monotonic() - started < 10  # under a second where it was written
+    assert len(spans) > 3990
+    assert len(license_scan.NOTICES) >= 24
+
+
+# near vectors: recall that was measured -----------------------------------------------
+
+
+def sparse_pairs(spark, n: int, pairs: int, partitions: int = 8):
+    """Unrelated vectors, of which the first have one partner each at a cosine of 0.93."""
+    rng = np.random.default_rng(11)
+    units = rng.normal(size=(n, 32))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    side = rng.normal(size=(pairs, 32))
+    a = units[:pairs]
+    side -= (side * a).sum(1)[:, None] * a
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    units[n - pairs :] = 0.93 * a + np.sqrt(1 - 0.93**2) * side
+    rows = pd.DataFrame({"vec_id": np.arange(n), "embedding": units.tolist()})
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(partitions)
+
+
+def test_sparse_pairs_are_found_and_the_recall_rests_on_links(spark):
+    n, pairs = 20_000, 120
+    report, audit = near_vectors.search_vectors(sparse_pairs(spark, n, pairs))
+    got = report.toPandas().set_index("vec_id")
+    found = sum(got.component_id[n - pairs + i] == i for i in range(pairs))
+    assert found >= 0.9 * pairs
+    assert audit.reached and audit.links >= 100
+
+
+def test_recall_without_links_is_unknown_unless_all_were_audited(spark, monkeypatch):
+    assert near_vectors.search_vectors(sparse_pairs(spark, 200, 0))[1] == (1.0, 0, 200)
+    monkeypatch.setattr(near_vectors, "AUDITED", 20)
+    monkeypatch.setattr(near_vectors, "MOST_AUDITED", 40)
+    report, audit = near_vectors.search_vectors(sparse_pairs(spark, 400, 0))
+    assert audit.recall is None and audit.links == 0
+    assert report.where("n_links > 0 or not kept").count() == 0
+
+
+def test_a_fresh_draw_tells_links_that_were_missed(spark):
+    nodes = [(i, i // 2 * 2 if i < 100 else i) for i in range(400)]
+    located = spark.createDataFrame(nodes, "node long, component long")
+    rows = [(i, i + 1) for i in range(0, 400, 2)] + [(1, 0)]
+    edges = spark.createDataFrame(rows, "node long, joined long")
+    audit, new = near_vectors.recaptured(edges, located, 400)
+    assert (audit, new) == ((0.25, 200, 400), 150)
+    few = edges.where("node < 50")
+    assert near_vectors.recaptured(few, located, 400)[0].recall is None
