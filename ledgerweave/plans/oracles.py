@@ -6,6 +6,7 @@ text macros: DuckDB has no 64-bit xxHash, so ``u`` spells it out on 128-bit inte
 
 from __future__ import annotations
 
+import math
 import struct
 import zlib
 from collections.abc import Sequence
@@ -1250,6 +1251,75 @@ _LEVELS = {
 }
 
 
+def _weights_fit() -> str:
+    """Chi-square of value counts against declared shares; critical values at 0.1 %."""
+    currency = dict(zip(pools.CURRENCIES, pools.CURRENCY_WEIGHTS))
+    negative = pools.NEGATIVE_SHARE
+    period = dict(enumerate(pools.PERIOD_WEIGHTS, start=1))
+    listed = {
+        "currency": ("transaction_currency_cd", currency),
+        "sign": ("transaction_currency_amt < 0", {"true": negative, "false": 1 - negative}),
+        "period": ("fiscal_year_period_nbr % 100", period),
+        "currency, all alike": ("transaction_currency_cd", dict.fromkeys(currency, 1)),
+        "currency, one missing": (
+            "transaction_currency_cd", {c: w for c, w in currency.items() if c != "USD"}
+        ),
+    }
+    parts = []
+    for name, (column, weights) in listed.items():
+        shares = ", ".join(f"('{v}', {w / sum(weights.values())!r})" for v, w in weights.items())
+        degrees = len(weights) - 1
+        # The tabled quantiles.
+        limit = {1: 10.828, 12: 32.909, 13: 34.528, 14: 36.123}[degrees]
+        parts.append(f"""
+SELECT '{name}' AS declaration, row_cnt, row_cnt - m AS undeclared_cnt,
+       x::DECIMAL(18,6) AS chi_square, {degrees} AS degrees, row_cnt = m AND x <= {limit!r} AS fits
+FROM (SELECT sum(o)::BIGINT AS m, sum((o - all_o * s) ** 2 / (all_o * s)) AS x
+      FROM (SELECT s, count(r.v) AS o, sum(count(r.v)) OVER () AS all_o
+            FROM (VALUES {shares}) AS d(v, s)
+            LEFT JOIN (SELECT ({column})::VARCHAR AS v FROM l) AS r ON r.v = d.v GROUP BY d.v, s)),
+     (SELECT count(*) AS row_cnt FROM l)""")
+    return f"WITH l AS MATERIALIZED ({LEDGER_WEIGHTED}) " + " UNION ALL ".join(parts)
+
+
+def _amounts_fit() -> str:
+    """The largest gap between counted and declared shares below each edge, class by class."""
+    rows = []
+    for c in pools.ACCOUNT_CLASSES:
+        a = pools.AMOUNTS[c.amounts]
+        variance = math.log(1 + (a.std_dev / a.mean) ** 2)
+        mu = math.log(a.mean) - variance / 2
+        rows.append(f"('{c.label}', {mu!r}, {math.sqrt(variance)!r}, {a.low}::DOUBLE, {a.high}::DOUBLE)")
+    cells = [(k, (1 + math.erf(k / 32 / math.sqrt(2))) / 2) for k in range(-192, 193)]
+    edges = ", ".join(f"({k}, {share!r}::DOUBLE)" for k, share in cells)
+    limit = math.sqrt(math.log(2000) / 2)
+    return f"""WITH l AS MATERIALIZED (
+    SELECT gl_account_nbr, transaction_currency_amt FROM ({LEDGER})
+), p AS (
+    SELECT account_class, mu + shift AS mu, sigma, low, high, shift
+    FROM (VALUES {", ".join(rows)}) AS t(account_class, mu, sigma, low, high),
+         (VALUES (0.0::DOUBLE), (0.5::DOUBLE)) AS s(shift)
+), z AS MATERIALIZED (
+    SELECT p.*, (ln(abs(amt)::DOUBLE) - mu) / sigma AS score, abs(amt) BETWEEN low AND high AS inside
+    FROM (SELECT {CLASS_OF_NUMBER} AS account_class, transaction_currency_amt AS amt FROM l)
+    JOIN p USING (account_class)
+), g AS (
+    SELECT account_class, shift, mu, sigma, low, high, count(*) AS row_cnt,
+           count(*) FILTER (inside) AS inside_cnt FROM z GROUP BY ALL
+), d AS (
+    SELECT g.account_class, g.shift, k,
+           abs(count(*) FILTER (z.inside AND z.score * 32 < k) / any_value(inside_cnt) - any_value(share)) AS gap
+    FROM g JOIN (VALUES {edges}) AS e(k, share)
+      ON k / 32 > (ln(g.low) - g.mu) / g.sigma AND k / 32 < (ln(g.high) - g.mu) / g.sigma
+    JOIN z ON z.account_class = g.account_class AND z.shift = g.shift
+    GROUP BY ALL
+), m AS (SELECT account_class, shift, max(gap) AS gap FROM d GROUP BY ALL)
+SELECT account_class, shift, row_cnt, row_cnt - inside_cnt AS outside_cnt,
+       gap::DECIMAL(18,9) AS distance,
+       row_cnt = inside_cnt AND gap * sqrt(inside_cnt) <= {limit!r} AS fits
+FROM g JOIN m USING (account_class, shift)"""
+
+
 def _nesting() -> str:
     """The nodes of each level, none of which may have two parents."""
     made = dimensions()
@@ -1504,6 +1574,8 @@ SELECT count(*) AS row_cnt, count(*) FILTER (transaction_currency_amt < 0) AS ne
        sum(abs(transaction_currency_amt))::DECIMAL(38,5) AS abs_total,
        min(abs(transaction_currency_amt)) AS abs_min, max(abs(transaction_currency_amt)) AS abs_max,
        skewness(abs(transaction_currency_amt)::DOUBLE) > 0 AS is_right_skewed FROM l"""),
+    "declared_weights_fit": _weights_fit(),
+    "declared_amounts_fit": _amounts_fit(),
     "calendar_check": f"""
 SELECT y::INTEGER AS fiscal_year_nbr, 13::BIGINT AS period_cnt, make_date(y, 6, 1) AS first_day,
        make_date(y + 1, 6, 30) AS last_day, 13::BIGINT AS month_cnt, true AS is_valid

@@ -27,13 +27,14 @@ from ledgerweave.functions.exprs import (
     cyclic_pick,
     every,
     level_nodes,
+    literal_array,
     nested_level_sizes,
     parent_code,
     shrinking_level_sizes,
     zero_pad,
 )
-from ledgerweave.functions.rng import RowRandom, from_units, to_units
-from ledgerweave.operators import agg, checks, fk
+from ledgerweave.functions.rng import RowRandom, from_units, log_normal_params_of, to_units
+from ledgerweave.operators import agg, checks, fit, fk
 from ledgerweave.operators.joins import Lookup, lookup, lookups
 from ledgerweave.operators.refresh import (
     create_aggregate,
@@ -868,6 +869,56 @@ def amount_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.amount_distribution(ledger(spark, sf_dir), "transaction_currency_amt")
 
 
+def declared_weights_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chi-square of the ledger's picks against their weights, and against wrong ones."""
+    sized = replace(volumes(spark, sf_dir), periods="weighted")
+    rows = ledger(spark, sf_dir, sized)
+    currency, negative = F.col("transaction_currency_cd"), F.col("transaction_currency_amt") < 0
+    period = F.col("fiscal_year_period_nbr") % 100
+    declared = {
+        "currency": (currency, dict(zip(pools.CURRENCIES, pools.CURRENCY_WEIGHTS))),
+        "sign": (negative, {True: pools.NEGATIVE_SHARE, False: 1 - pools.NEGATIVE_SHARE}),
+        "period": (period, dict(enumerate(pools.PERIOD_WEIGHTS, start=1))),
+        "currency, all alike": (currency, dict.fromkeys(pools.CURRENCIES, 1)),
+        "currency, one missing": (currency, dict(zip(pools.CURRENCIES[1:], pools.CURRENCY_WEIGHTS[1:]))),
+    }
+    return checks.union_all(
+        fit.weight_fit(rows, column, weights)
+        .withColumn("chi_square", F.col("chi_square").cast("decimal(18,6)"))
+        .withColumn("declaration", F.lit(name))
+        for name, (column, weights) in declared.items()
+    )
+
+
+def declared_amounts_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distance of each account class's amounts from its log-normal, and from a shifted one."""
+    step = 100_000
+    labels = [""] * (max(c.end for c in pools.ACCOUNT_CLASSES) // step + 1)
+    for c in pools.ACCOUNT_CLASSES:
+        slots = range(c.start // step, c.end // step + 1)
+        labels[slots.start : slots.stop] = [c.label] * len(slots)
+    number = F.pmod(F.col("gl_account_nbr").cast("bigint"), F.lit(keys.ROUND))
+    by = F.get(literal_array(labels), F.floor(number / step).cast("int"))
+    amounts = {c.label: pools.AMOUNTS[c.amounts] for c in pools.ACCOUNT_CLASSES}
+    rows, amount = ledger(spark, sf_dir), F.col("transaction_currency_amt")
+
+    def shifted(shift: float) -> dict[str, tuple[float, float, float, float]]:
+        params = {label: (*log_normal_params_of(a), a.low, a.high) for label, a in amounts.items()}
+        return {label: (mu + shift, *rest) for label, (mu, *rest) in params.items()}
+
+    return checks.union_all(
+        fit.log_normal_fit(rows, amount, by, shifted(shift)).select(
+            F.col("grp").alias("account_class"),
+            F.lit(shift).alias("shift"),
+            "row_cnt",
+            "outside_cnt",
+            F.col("distance").cast("decimal(18,9)").alias("distance"),
+            "fits",
+        )
+        for shift in (0.0, 0.5)
+    )
+
+
 def calendar_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.calendar_check(orders_calendar(spark, sf_dir))
 
@@ -1154,6 +1205,8 @@ QUERIES: dict[str, Query] = {
     "schema_conformance": schema_conformance,
     "schema_projection": conformed_customers,
     "amount_distribution": amount_distribution,
+    "declared_weights_fit": declared_weights_fit,
+    "declared_amounts_fit": declared_amounts_fit,
     "calendar_check": calendar_check,
     "hierarchy_nesting_check": hierarchy_nesting,
     "ledger_rules": ledger_rules,
