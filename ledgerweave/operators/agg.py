@@ -58,7 +58,12 @@ def measure_sums(rows: str = "row_cnt", count: Column | None = None) -> list[Col
 def ledger_aggregate(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
     """Ledger rows summed to the grain: one broadcast join and one shuffle of partial sums."""
     used = ledger.select(LEDGER_KEY, "gl_account_nbr", *GRAIN[:-1], *AMOUNTS)
-    return with_account_class(used, accounts).groupBy(*GRAIN).agg(*measure_sums())
+    return sum_to_grain(with_account_class(used, accounts))
+
+
+def sum_to_grain(rows: DataFrame) -> DataFrame:
+    """Ledger rows that know their account's class, summed to the grain."""
+    return rows.groupBy(*GRAIN).agg(*measure_sums())
 
 
 def roll_up(aggregate: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -1334,6 +1334,33 @@ def _nesting() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _closure() -> str:
+    """Nodes of the consolidation hierarchies with all their ancestors, by recursion."""
+    made, parts = dimensions(), []
+    for table, name in (
+        ("consolidation_functional_area_hierarchy", "consolidation_functional_area_hierarchy"),
+        ("consolidation_segment_hierarchy_dim", "consolidation_segment_hierarchy"),
+    ):
+        source = f"FROM ({made['dim_' + table]})"
+        parts.append(f"SELECT '{table} parents' AS h, {name}_cd AS c, {name}_parent_cd AS p {source}")
+        stem, levels = _LEVELS[table]
+        for k in range(1, levels + 1):
+            above = f"{stem}{k - 1}_cd" if k > 1 else "NULL"
+            parts.append(f"SELECT '{table} levels', {stem}{k}_cd, {above} {source}")
+    return f"""
+WITH RECURSIVE e AS MATERIALIZED (SELECT DISTINCT h, c, p FROM ({" UNION ALL ".join(parts)})),
+up AS (
+  SELECT h, c, p, 1 AS d FROM e WHERE p IS NOT NULL
+  UNION
+  SELECT up.h, up.c, e.p, d + 1 FROM up JOIN e ON e.h = up.h AND e.c = up.p WHERE e.p IS NOT NULL
+)
+SELECT h AS hierarchy, n AS node, coalesce(max(d), 0)::INTEGER AS depth, count(p) AS ancestor_cnt,
+       CASE WHEN max(d) IS NULL THEN 'root' ELSE 'chain' END AS state
+FROM (SELECT h, c AS n FROM e UNION SELECT h, p FROM e WHERE p IS NOT NULL)
+LEFT JOIN (SELECT h AS h2, c, p, min(d) AS d FROM up GROUP BY ALL) ON h = h2 AND n = c
+GROUP BY h, n"""
+
+
 def _hierarchy_levels() -> str:
     n = "(SELECT count(*) FROM customer)"
     nested = ", ".join(f"'PCL{k}_' || (i % sz[{k}] + 1) AS level_{k}_cd" for k in range(1, 10))
@@ -1510,6 +1537,7 @@ SELECT 'FY' || (fiscal_year_period_nbr // 100) || 'Q' || ({QUARTER_OF_PERIOD})
          AS fiscal_year_quarter_cd,
        {CENTER_REGION} AS geography_nm, {CLASS_OF_NUMBER} AS account_class, {SUMS}
 FROM l GROUP BY ALL"""),
+    "agg_bucketed": from_ledger(AGGREGATE),
     "agg_refresh": from_ledger(AGGREGATE),
     "measures_from_aggregate": from_ledger(f"""
 SELECT (fiscal_year_period_nbr // 100 * 10 + ({QUARTER_OF_PERIOD}))::INTEGER AS fiscal_quarter,
@@ -1541,6 +1569,9 @@ FROM l JOIN (VALUES {_RATES}) v(cd, per_usd) ON transaction_currency_cd = cd
 GROUP BY cd, per_usd, fiscal_year"""),
     "events_with_segment": """
 SELECT event_id, user_id, event_type, c_mktsegment FROM events LEFT JOIN customer
+ON user_id = c_custkey""",
+    "events_with_segment_bucketed": """
+SELECT event_id, user_id, event_type, c_mktsegment FROM events LEFT JOIN customer
 ON user_id = c_custkey""",
     "row_counts": _row_counts(),
     "fk_orphans_all": _orphans(
@@ -1549,6 +1580,9 @@ ON user_id = c_custkey""",
     "fk_orphans_ledger": _ledger_orphans(),
     "fk_orphans_filtered_part": """
 SELECT l_partkey, count(*) AS child_rows FROM lineitem
+WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 40) GROUP BY l_partkey""",
+    "fk_orphans_bucketed": """
+SELECT l_partkey, count(*) AS child_rows FROM lineitem
 WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 40) GROUP BY l_partkey""",
     "pk_duplicates_lineitem": """
 SELECT l_orderkey, l_linenumber, count(*) AS row_cnt FROM lineitem
@@ -1581,6 +1615,7 @@ SELECT y::INTEGER AS fiscal_year_nbr, 13::BIGINT AS period_cnt, make_date(y, 6,
        make_date(y + 1, 6, 30) AS last_day, 13::BIGINT AS month_cnt, true AS is_valid
 FROM (SELECT unnest(range({FIRST_YEAR}, {LAST_YEAR} + 1)) AS y)""",
     "hierarchy_nesting_check": _nesting(),
+    "hierarchy_closure": _closure(),
     "ledger_rules": _rules(),
     "partitioned_write": from_ledger("""
 SELECT fiscal_year_period_nbr, count(*) AS row_cnt,
@@ -1600,6 +1635,10 @@ FROM l GROUP BY fiscal_year_period_nbr"""),
     "sized_append_write": """
 SELECT event_type, 2 * count(*) AS row_cnt, count(DISTINCT event_id) AS event_cnt
 FROM events GROUP BY event_type""",
+    "files_by_bytes": " UNION ALL ".join(
+        f"SELECT '{layout}' AS layout, count(*) AS row_cnt, true AS most_near FROM lineitem"
+        for layout in ("narrow", "wide")
+    ),
     "build_report": _build_report(),
     "build_resumed": _build_report().replace("'OK'", "'KEPT'"),
     "build_then_check": _built(),

@@ -35,6 +35,13 @@ from ledgerweave.functions.exprs import (
 )
 from ledgerweave.functions.rng import RowRandom, from_units, log_normal_params_of, to_units
 from ledgerweave.operators import agg, checks, fit, fk
+from ledgerweave.operators.buckets import (
+    Bucketed,
+    bucketed_lookup,
+    bucketed_orphans,
+    save_bucketed,
+)
+from ledgerweave.operators.hierarchy import level_edges, node_report, parent_edges
 from ledgerweave.operators.joins import Lookup, lookup, lookups
 from ledgerweave.operators.refresh import (
     create_aggregate,
@@ -57,14 +64,18 @@ from ledgerweave.sources.schema import (
 from ledgerweave.sources.spec import ID, Spec, ids_from
 from ledgerweave.sources.tables import (
     ROWS_PER_FILE,
+    file_count,
+    file_sizes,
     overlapping_partitions,
     read_table,
     recluster,
     recluster_appended,
     replace_partitions,
+    save_by_bytes,
     save_declared,
     save_table,
     scratch_path,
+    scratch_table,
     size_files,
 )
 
@@ -146,6 +157,14 @@ HIERARCHIES = {
     "DisChannel_profit_center_hierarchy": ("profit_center_level_", 9),
     "PartDisChannel_profit_center_hierarchy": ("profit_center_level_", 9),
 }
+# The codes of a row and of its parent.
+PARENT_CODES = {
+    f"consolidation_{table}": (f"consolidation_{name}_cd", f"consolidation_{name}_parent_cd")
+    for table, name in (
+        ("functional_area_hierarchy", "functional_area_hierarchy"),
+        ("segment_hierarchy_dim", "segment_hierarchy"),
+    )
+}
 LEDGER_RULES = {
     "period belongs to a fiscal year": "fiscal_year_period_nbr % 100 between 1 and 13",
     "one sign per row": (
@@ -773,6 +792,40 @@ def events_with_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup(events, customers, ("user_id", "c_custkey"), ["c_mktsegment"], "event_id")
 
 
+def bucketed(
+    spark: SparkSession, child: DataFrame, parent: DataFrame, on: tuple[str, str], row_id: str
+) -> Bucketed:
+    """A child and its parent in buckets of the key, as many as the child has tasks' worth."""
+    names = scratch_table("child"), scratch_table("parent")
+    return save_bucketed(child, parent, on, row_id, names, file_count(child.count()))
+
+
+def events_with_segment_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with its customer's market segment, joined bucket by bucket."""
+    events = read(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    saved = bucketed(spark, events, customers, ("user_id", "c_custkey"), "event_id")
+    return bucketed_lookup(spark, saved, ["c_mktsegment"])
+
+
+def orphans_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of line items that aren't among the smaller parts, counted where the items lie."""
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    parts = read(spark, sf_dir, "part").where("p_size < 40").select("p_partkey")
+    lines = lines.withColumn("line", F.xxhash64("l_orderkey", "l_linenumber"))
+    saved = bucketed(spark, lines, parts, ("l_partkey", "p_partkey"), "line")
+    return bucketed_orphans(spark, saved)
+
+
+def aggregate_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The aggregate of a ledger that lies in the buckets of its accounts."""
+    rows, (accounts,) = with_parents(spark, sf_dir, "gl_account_dim")
+    used = rows.select(agg.LEDGER_KEY, "gl_account_nbr", *agg.GRAIN[:-1], *agg.AMOUNTS)
+    key = "gl_account_nbr"
+    saved = bucketed(spark, used, agg.account_class(accounts), (key, key), agg.LEDGER_KEY)
+    return agg.sum_to_grain(bucketed_lookup(spark, saved, ["account_class"]))
+
+
 # -- checks ------------------------------------------------------------------------------
 
 
@@ -933,6 +986,16 @@ def hierarchy_nesting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hierarchy_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The consolidation hierarchies' nodes, by parent codes and by levels: depth, ancestors."""
+    edges = []
+    for table, (child, parent) in PARENT_CODES.items():
+        rows = dimension_query(table)(spark, sf_dir)
+        edges.append(parent_edges(rows, f"{table} parents", child, parent))
+        edges.append(level_edges(rows, f"{table} levels", *HIERARCHIES[table]))
+    return node_report(checks.union_all(edges))
+
+
 def cyclic_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ledger row per order with every pick and key by row number."""
     ids = ids_from(read(spark, sf_dir, "orders"), F.col("o_orderkey"))
@@ -1076,6 +1139,25 @@ def sized_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def files_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A narrow and a wide table written in files of an eighth of their bytes: rows, and whether
+    most files hold between half and twice that."""
+    wide = read(spark, sf_dir, "lineitem")
+    found = []
+    for name, df in (("narrow", wide.select("l_orderkey", "l_partkey")), ("wide", wide)):
+        path = scratch_path(spark, name)
+        save_table(df, f"{path}/whole")
+        total = file_sizes(spark, f"{path}/whole").agg(F.sum("length")).first()[0]
+        wanted = max(1, total // 8)
+        save_by_bytes(df, f"{path}/sized", bytes_per_file=wanted)
+        near = F.col("length").between(wanted // 2, wanted * 2)
+        most = file_sizes(spark, f"{path}/sized").agg(F.count_if(near) * 2 > F.count("*"))
+        rows = read_table(spark, f"{path}/sized").agg(F.count("*").alias("row_cnt"))
+        is_near = F.lit(most.first()[0]).alias("most_near")
+        found.append(rows.select(F.lit(name).alias("layout"), "row_cnt", is_near))
+    return checks.union_all(found)
+
+
 def clustered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as written and clustered by an interleaved key: rows, key sums, and whether a
     file spans less than three quarters of either key's range on average."""
@@ -1193,10 +1275,13 @@ QUERIES: dict[str, Query] = {
     "agg_reconcile": aggregate_reconciled,
     "fx_convert_ledger": ledger_in_dollars,
     "events_with_segment": events_with_segment,
+    "events_with_segment_bucketed": events_with_segment_bucketed,
+    "agg_bucketed": aggregate_bucketed,
     "row_counts": row_counts,
     "fk_orphans_all": orphans_all,
     "fk_orphans_ledger": orphans_ledger,
     "fk_orphans_filtered_part": orphans_filtered_part,
+    "fk_orphans_bucketed": orphans_bucketed,
     "pk_duplicates_lineitem": duplicate_lines,
     "pk_uniqueness_all": key_uniqueness,
     "pk_income_statement": statement_keys,
@@ -1209,11 +1294,13 @@ QUERIES: dict[str, Query] = {
     "declared_amounts_fit": declared_amounts_fit,
     "calendar_check": calendar_check,
     "hierarchy_nesting_check": hierarchy_nesting,
+    "hierarchy_closure": hierarchy_closure,
     "ledger_rules": ledger_rules,
     "partitioned_write": partitioned_ledger,
     "replace_period": replaced_periods,
     "recluster_appended": reclustered_appends,
     "sized_append_write": sized_files,
+    "files_by_bytes": files_by_bytes,
     "clustered_write_stats": clustered_files,
     "build_report": build_report,
     "build_resumed": build_resumed,

@@ -13,6 +13,10 @@ SETTINGS = {
     # instead, and the ledger is generated about eight times faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
+    # Chains end by themselves; by default a recursive query fails beyond 100 steps or a
+    # million rows.
+    "spark.sql.cteRecursionLevelLimit": "-1",
+    "spark.sql.cteRecursionRowLimit": "-1",
 }
 
 

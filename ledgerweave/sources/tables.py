@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from ledgerweave.sources.schema import LAYOUTS, Layout, row_key
 
 ROWS_PER_FILE = 2_500_000  # about 128 MB of ledger rows
+BYTES_PER_FILE = 128 << 20
+TRIAL_ROWS = 400_000  # written to see how many bytes a row takes
+TRIAL_FILES = 4
 ZORDER_BITS = 6
 FINE_RANGES = 4
 
@@ -28,6 +31,64 @@ def size_files(df: DataFrame, rows: int, rows_per_file: int = ROWS_PER_FILE) ->
     return df.repartition(file_count(rows, rows_per_file))
 
 
+def file_sizes(spark: SparkSession, target: str) -> DataFrame:
+    """The bytes of each data file of a saved table; only the files' list is read."""
+    place = target if "/" in target else _location(spark, target)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return files.option("pathGlobFilter", "*.parquet").load(place).select("path", "length")
+
+
+def saved_row_bytes(spark: SparkSession, target: str) -> float:
+    """How many bytes of its files a row of a saved table takes; 0 if it has no rows.
+
+    Read from the files' list and their footers.
+    """
+    rows = read_table(spark, target).count()
+    return file_sizes(spark, target).agg(F.sum("length")).first()[0] / rows if rows else 0.0
+
+
+def trial_row_bytes(df: DataFrame, rows: int, trial_rows: int = TRIAL_ROWS) -> float:
+    """How many bytes of a file a row takes, by writing a sample of about ``trial_rows`` rows."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "trial")
+    sample = df if rows <= trial_rows else df.sample(trial_rows / rows, seed=1)
+    save_table(sample.repartition(TRIAL_FILES), path, rows_per_file=0)
+    return saved_row_bytes(spark, path)
+
+
+def save_by_bytes(
+    df: DataFrame,
+    target: str,
+    mode: str = "overwrite",
+    rows: int | None = None,
+    bytes_per_file: int = BYTES_PER_FILE,
+    row_bytes: float | None = None,
+) -> int:
+    """Write a table in files of about ``bytes_per_file``, whatever its rows' width.
+
+    An append takes the width from the table's own files, another write from a trial, unless
+    ``row_bytes`` says it.  Rows are dealt round, so files differ little even where wide rows
+    stand together.  Returns the number of files.
+    """
+    spark = df.sparkSession
+    rows = df.count() if rows is None else rows
+    if row_bytes is None and mode == "append" and _exists(spark, target):
+        row_bytes = saved_row_bytes(spark, target)
+    row_bytes = row_bytes or (trial_row_bytes(df, rows) if rows else 0.0)
+    files = max(1, round(rows * row_bytes / bytes_per_file))
+    save_table(df.repartition(files), target, mode=mode, rows_per_file=0)
+    return files
+
+
+def _exists(spark: SparkSession, target: str) -> bool:
+    """Whether there is such a table."""
+    if "/" not in target:
+        return spark.catalog.tableExists(target)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.exists(place)
+
+
 def cluster(
     df: DataFrame, by: Sequence[str], row_id: str, partitions: int | None = None
 ) -> DataFrame:
@@ -100,6 +161,8 @@ def save_table(
     mode: str = "overwrite",
     rows_per_file: int = ROWS_PER_FILE,
     already_partitioned: bool = False,
+    buckets: int | None = None,
+    bucket_by: Sequence[str] = (),
 ) -> None:
     """Write a table, by catalog name or by path (anything with a slash).
 
@@ -107,9 +170,14 @@ def save_table(
     touches few partitions and every file covers a narrow range of the cluster columns.
     ``already_partitioned`` rows are only sorted where they are.  An overwrite is written beside
     the table, which takes its place when it is complete: if it fails, the former one stays.
+    ``bucket_by`` deals a catalog table into ``buckets`` by those columns, one task each.
     """
     by = [*layout.partition_by, *layout.cluster_by]
-    if by and already_partitioned:
+    if bucket_by and ("/" in target or by):
+        raise ValueError("only catalog tables without another layout have buckets")
+    if bucket_by:
+        df = df.repartition(buckets, *bucket_by)
+    elif by and already_partitioned:
         df = df.sortWithinPartitions(*by)
     elif by:
         df = cluster(df, by, row_id, None if rows is None else file_count(rows, rows_per_file))
@@ -121,6 +189,8 @@ def save_table(
     )
     if layout.partition_by:
         writer = writer.partitionBy(*layout.partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     spark = df.sparkSession
     if mode != "overwrite":
         writer.save(target) if "/" in target else writer.saveAsTable(target)
@@ -313,6 +383,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 
+def scratch_table(name: str) -> str:
+    """A catalog name that no other job uses, for tables written on the way."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 def _cell(value: Column, bounds: Sequence, cells: int) -> Column:
     """The cell of a value by how many of the bounds lie at or below it; null counts as lowest.
 

@@ -15,8 +15,10 @@ from ledgerweave.sources.schema import DIMENSIONS, FACTS, RELATIONS, TABLES, Lay
 from ledgerweave.sources.tables import (
     cluster,
     file_count,
+    file_sizes,
     read_table,
     recluster,
+    save_by_bytes,
     save_table,
     scratch_path,
     size_files,
@@ -236,3 +238,42 @@ def test_a_failure_skips_its_children_only(spark, salted, monkeypatch):
     }
     assert report["division_text"].error == "RuntimeError: no space"
     assert "division_text" in report["general_ledger_fact"].error
+
+
+def test_files_of_narrow_and_wide_rows_have_the_wanted_bytes(spark, tmp_path):
+    hashes = [F.sha2(F.concat("id", F.lit(str(i))), 256).alias(f"c{i}") for i in range(8)]
+    tables = {
+        "narrow": spark.range(1_000_000).select(F.xxhash64("id").alias("id")),
+        "wide": spark.range(30_000).select("id", *hashes),
+    }
+    wanted = 1 << 19
+    for table, df in tables.items():
+        path = f"{tmp_path}/{table}"
+        files = save_by_bytes(df, path, bytes_per_file=wanted)
+        assert files > 8 and len(near_files(spark, path, wanted)) == files
+        # An append is measured by the table's own files.
+        assert save_by_bytes(df, path, "append", bytes_per_file=wanted) == files
+        assert len(near_files(spark, path, wanted)) == 2 * files
+        saved = read_table(spark, path)
+        assert saved.count() == 2 * df.count() and saved.exceptAll(df.unionAll(df)).count() == 0
+
+
+def near_files(spark, path, wanted):
+    sizes = [r.length for r in file_sizes(spark, path).collect()]
+    return [s for s in sizes if wanted / 2 <= s <= 2 * wanted]
+
+
+def test_files_by_bytes_where_wide_rows_stand_together(spark, tmp_path):
+    text = F.when(F.col("id") > 150_000, F.sha2(F.col("id").cast("string"), 512)).otherwise("")
+    path = f"{tmp_path}/t"
+    files = save_by_bytes(spark.range(200_000).select("id", text), path, bytes_per_file=1 << 18)
+    assert files > 8 and len(near_files(spark, path, 1 << 18)) == files
+
+
+def test_by_bytes_takes_empty_tables_and_appends_to_them(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    assert save_by_bytes(spark.range(0), path) == 1
+    assert save_by_bytes(spark.range(10), path, mode="append") == 1
+    assert save_by_bytes(spark.range(10), f"{tmp_path}/new", mode="append") == 1
+    assert read_table(spark, path).count() == read_table(spark, f"{tmp_path}/new").count()
+    assert save_by_bytes(spark.range(100), path, bytes_per_file=100, row_bytes=8.0) == 8
