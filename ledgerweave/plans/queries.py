@@ -71,6 +71,7 @@ from ledgerweave.sources.tables import (
     recluster,
     recluster_appended,
     replace_partitions,
+    rows_per_file,
     save_by_bytes,
     save_declared,
     save_table,
@@ -83,8 +84,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SPEC = Spec(as_of=dt.date(2025, 1, 1), seed=42)
 CYCLIC = replace(SPEC, style="cyclic")
-#: Rows per file of the layout that is measured; production files hold ROWS_PER_FILE.
-SMALL_FILE = 500
+#: Least rows per file of the layout that is measured, and its files before they hold more rows;
+#: production files hold ROWS_PER_FILE.
+SMALL_FILE, SMALL_FILES = 500, 1_200
 LEDGER = "general_ledger_fact"
 SUM = "decimal(38,5)"
 
@@ -1165,8 +1167,9 @@ def clustered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     by = ["l_partkey", "l_suppkey"]
     rows = lines.count()
-    save_table(size_files(lines, rows, SMALL_FILE), f"{path}/written")
-    recluster(spark, f"{path}/written", f"{path}/clustered", by, "l_orderkey", rows, SMALL_FILE)
+    held = rows_per_file(rows, SMALL_FILE, SMALL_FILES)
+    save_table(size_files(lines, rows, held), f"{path}/written")
+    recluster(spark, f"{path}/written", f"{path}/clustered", by, "l_orderkey", rows, held)
     return checks.union_all(
         checks.file_spans(read_table(spark, f"{path}/{layout}"), by).select(
             F.lit(layout).alias("layout"),

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from ledgerweave.operators import checks
 from ledgerweave.plans import build as build_module
+from ledgerweave.plans import queries as queries_module
 from ledgerweave.plans.build import build, build_order, parents_of, resolve_scope, table_of
 from ledgerweave.sources.generate import Volumes, generate
+from ledgerweave.sources import tables as tables_module
 from ledgerweave.sources.schema import DIMENSIONS, FACTS, RELATIONS, TABLES, Layout
 from ledgerweave.sources.tables import (
     cluster,
@@ -18,6 +20,7 @@ from ledgerweave.sources.tables import (
     file_sizes,
     read_table,
     recluster,
+    rows_per_file,
     save_by_bytes,
     save_table,
     scratch_path,
@@ -277,3 +280,39 @@ def test_by_bytes_takes_empty_tables_and_appends_to_them(spark, tmp_path):
     assert save_by_bytes(spark.range(10), f"{tmp_path}/new", mode="append") == 1
     assert read_table(spark, path).count() == read_table(spark, f"{tmp_path}/new").count()
     assert save_by_bytes(spark.range(100), path, bytes_per_file=100, row_bytes=8.0) == 8
+
+
+def test_zorder_cells_count_the_bounds_that_a_value_has_passed(spark):
+    values = [None, float("-inf"), -1.5, -0.0, 0.0, 2.5, 7.0, float("inf"), float("nan")]
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    for bounds in ([], [0.0], [-1.5, 0.0], [-1.5, 0.0, 2.5], [float(n) for n in range(-3, 9)]):
+        cell = tables_module._cell(F.col("x"), bounds, len(bounds) + 1)
+        passed = [r[0] for r in rows.select(cell).collect()]
+        # Spark takes NaN as larger than any number.
+        assert passed == [
+            0 if v is None else sum(not v < bound for bound in bounds) for v in values
+        ]
+
+
+def test_files_of_a_larger_table_hold_more_rows():
+    assert [rows_per_file(n, 500, 1_200) for n in (0, 600_000, 600_001, 36_000_000)] == [
+        500, 500, 501, 30_000
+    ]
+    assert rows_per_file(10**12, 500, 1_200) == 2_500_000
+
+
+def test_clustered_layout_is_measured_on_a_bounded_number_of_files(spark, tmp_path, monkeypatch):
+    lines = spark.range(4_000).select(
+        F.col("id").alias("l_orderkey"),
+        *(F.pmod(F.xxhash64("id", F.lit(c)), F.lit(900)).alias(c) for c in ("l_partkey", "l_suppkey")),
+    )
+    save_table(lines, f"{tmp_path}/sf/lineitem.parquet")
+    monkeypatch.setattr(queries_module, "SMALL_FILE", 10)
+    monkeypatch.setattr(queries_module, "SMALL_FILES", 40, raising=False)
+    monkeypatch.setattr(queries_module, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    found = queries_module.clustered_files(spark, f"{tmp_path}/sf").collect()
+    assert [(r.layout, r.row_cnt, r.narrow_l_partkey) for r in found] == [
+        ("written", 4_000, False), ("clustered", 4_000, True)
+    ]
+    for layout in ("written", "clustered"):
+        assert 30 <= len(files_of(f"{tmp_path}/lineitem/{layout}")) <= 40
