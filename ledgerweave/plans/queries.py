@@ -63,6 +63,7 @@ from ledgerweave.sources.schema import (
 )
 from ledgerweave.sources.spec import ID, Spec, ids_from
 from ledgerweave.sources.tables import (
+    BYTES_PER_FILE,
     ROWS_PER_FILE,
     file_count,
     file_sizes,
@@ -1142,15 +1143,15 @@ def sized_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A narrow and a wide table written in files of an eighth of their bytes: rows, and whether
-    most files hold between half and twice that."""
+    """A narrow and a wide table written in files of an eighth of their bytes, BYTES_PER_FILE at
+    most, since one task writes a file: rows, and whether most hold between half and twice that."""
     wide = read(spark, sf_dir, "lineitem")
     found = []
     for name, df in (("narrow", wide.select("l_orderkey", "l_partkey")), ("wide", wide)):
         path = scratch_path(spark, name)
         save_table(df, f"{path}/whole")
         total = file_sizes(spark, f"{path}/whole").agg(F.sum("length")).first()[0]
-        wanted = max(1, total // 8)
+        wanted = max(1, min(total // 8, BYTES_PER_FILE))
         save_by_bytes(df, f"{path}/sized", bytes_per_file=wanted)
         near = F.col("length").between(wanted // 2, wanted * 2)
         most = file_sizes(spark, f"{path}/sized").agg(F.count_if(near) * 2 > F.count("*"))

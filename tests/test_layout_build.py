@@ -316,3 +316,17 @@ def test_clustered_layout_is_measured_on_a_bounded_number_of_files(spark, tmp_pa
     ]
     for layout in ("written", "clustered"):
         assert 30 <= len(files_of(f"{tmp_path}/lineitem/{layout}")) <= 40
+
+
+def test_files_by_bytes_are_bounded_in_a_larger_table(spark, tmp_path, monkeypatch):
+    columns = ("l_orderkey", "l_partkey", "l_suppkey")
+    lines = spark.range(40_000).select(*(F.xxhash64("id", F.lit(c)).alias(c) for c in columns))
+    save_table(lines, f"{tmp_path}/sf/lineitem.parquet")
+    bound = 16 << 10
+    monkeypatch.setattr(queries_module, "BYTES_PER_FILE", bound, raising=False)
+    monkeypatch.setattr(queries_module, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    found = queries_module.files_by_bytes(spark, f"{tmp_path}/sf").collect()
+    assert [tuple(r) for r in found] == [("narrow", 40_000, True), ("wide", 40_000, True)]
+    for layout in ("narrow", "wide"):
+        sizes = [r.length for r in file_sizes(spark, f"{tmp_path}/{layout}/sized").collect()]
+        assert len(sizes) > 30 and max(sizes) <= 2 * bound
