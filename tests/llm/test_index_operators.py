@@ -9,10 +9,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from awkward import COLUMNS, EDGES, prose, row
 
-from ledgerweave.llm import heap_clusters, lexical_search, repeated_spans
+from ledgerweave.llm import common, heap_clusters, lexical_search, repeated_spans
 
 VECTORS = "vec_id long, embedding array<float>, label int, cluster string"
 
@@ -256,6 +257,48 @@ def test_block_order_finds_every_repeat(seed):
     assert got.tolist() == want
 
 
+def test_repeats_write_few_files(spark, monkeypatch, tmp_path):
+    """Files start processes, which count as their executor's memory: few, and none by partition."""
+    monkeypatch.setattr(repeated_spans, "MOST", 3)
+    monkeypatch.setattr(
+        common, "scratch_path", lambda _, name: str(tmp_path / f"{name}-{len(list(tmp_path.iterdir()))}")
+    )
+    many = {
+        "spark.sql.shuffle.partitions": "30",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in many}
+    held = len(spark.sparkContext._jsc.getPersistentRDDs())
+    try:
+        for name, value in many.items():
+            spark.conf.set(name, value)
+        rows = repeating_texts()
+        docs = spark.createDataFrame([row(i, t) for i, t in rows], COLUMNS)
+        result = repeated_spans.without_repeats(docs)
+        assert Counter(map(tuple, result.collect())) == brute_repeats(rows, 400)
+        cores = spark.sparkContext.defaultParallelism
+        assert result.rdd.getNumPartitions() <= cores
+        files = {p.name: len(list(p.glob("part-*"))) for p in tmp_path.iterdir()}
+        assert {n.split("-")[0] for n in files} >= {"shared", "classes", "cuts", "changed"}
+        assert all(n <= cores * (4 if "stretches" in name else 1) for name, n in files.items())
+        assert len(spark.sparkContext._jsc.getPersistentRDDs()) == held
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_bytes_of_stretches_come_in_small_batches(monkeypatch):
+    monkeypatch.setattr(repeated_spans, "SLICE", 5000)
+    text = prose(400, 3)
+    rows = [(7, i, 1, 0, 1) for i in range(1000)]
+    fields = [dict(zip(["trigger", "start", "windows", "at", "copies"], r)) for r in rows]
+    batch = pa.RecordBatch.from_pydict({"key": [b"k"], "text": [text], "rows": [fields]})
+    out = list(repeated_spans.bytes_of(iter([batch]), 400))
+    assert max(sum(map(len, b.column("bytes").to_pylist())) for b in out) < 5400
+    got = [tuple(r.values()) for b in out for r in b.to_pylist()]
+    assert got == [(b"k", *r, text.encode()[r[1] : r[1] + 400]) for r in rows]
+
+
 def test_repeats_of_awkward_texts(edges, no_docs):
     got = Counter(map(tuple, repeated_spans.without_repeats(edges).collect()))
     assert got == brute_repeats([(r[0], r[1]) for r in EDGES], 400)
